@@ -2,7 +2,8 @@
 
 Outputs are shaped for the oracle comparison: every computed column is aliased,
 derived doubles are rounded to 6 places (2 for annualised percent), raw prices are
-left unrounded (short decimals can be exact rounding ties).
+left unrounded (short decimals can be exact rounding ties).  Every query reads the
+whole test tables.
 """
 
 from __future__ import annotations
@@ -11,20 +12,231 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volpanel.operators import features as feat
-from volpanel.sources import panels
+from volpanel.operators import linear, market, splits
+from volpanel.operators.metrics import summarise_folds
+from volpanel.plans import evaluate, publish, serve
+from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
+from volpanel.sources import files, panels
 
 R6_V1 = ["ret", "vol_5", "vol_10", "vol_30", "target_vol_fwd"]
+R6_V2 = R6_V1 + ["range_hl", "range_5", "parkinson_5"]
+R6_V3 = R6_V2 + ["vix_5", "vix_chg"]
+METRIC_COLS = ["RMSE", "MAE", "R2"]
 
 
 def rounded(df: DataFrame, cols: list[str], k: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(c), k).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+# ---- building blocks shared by several queries -----------------------------
+
+def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.clean_v1(feat.add_features(panels.supplier_day(spark, sf_dir)))
+
+
+def v2_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.add_features_v2(panels.supplier_day(spark, sf_dir))
+
+
+def v3_panel(spark: SparkSession, sf_dir: str, mode: str = "calendar") -> DataFrame:
+    return market.add_market(v2_panel(spark, sf_dir), panels.market_day(spark, sf_dir), mode)
+
+
+def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shipped model: linear on v1, refitted on all clean rows."""
+    coefs = linear.fit(clean_panel(spark, sf_dir), V1, TARGET)
+    return serve.model_row(coefs, V1)
+
+
+# ---- features ---------------------------------------------------------------
+
 def q_features_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(clean_panel(spark, sf_dir), R6_V1)
+
+
+def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, warm-up and tail NULLs included (std form of the volatility)."""
+    f = feat.add_features(panels.supplier_day(spark, sf_dir), method="std")
+    return rounded(f, R6_V1)
+
+
+def q_features_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(v2_panel(spark, sf_dir), R6_V2)
+
+
+def q_features_v2_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(feat.add_features_v2(panels.flag_day(spark, sf_dir)), R6_V2)
+
+
+def q_market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = panels.market_day(spark, sf_dir)
+    return rounded(market.market_features(m), ["vix_5", "vix_chg"])
+
+
+def _v3(mode: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(v3_panel(spark, sf_dir, mode), R6_V3)
+
+    q.__name__ = f"q_features_v3_{mode}"
+    return q
+
+
+# ---- splits -------------------------------------------------------------------
+
+def q_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = splits.cutoff_dates(clean_panel(spark, sf_dir), [1.0 - 0.2, 0.6, 0.8])
+    return c.select(F.col("c0").alias("cutoff_80"), F.col("c1").alias("d1_60"), F.col("c2").alias("d2_80"))
+
+
+def q_split_two_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = splits.split_two(clean_panel(spark, sf_dir))
+    return s.groupBy("set").agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.min("date").alias("start"), F.max("date").alias("end")
+    )
+
+
+def q_split_three_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = splits.split_three(v2_panel(spark, sf_dir))
+    return s.groupBy("set").agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.min("date").alias("start"), F.max("date").alias("end")
+    )
+
+
+def q_fold_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.fold_calendar(clean_panel(spark, sf_dir))
+
+
+def q_fold_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.fold_profile(splits.assign_folds(clean_panel(spark, sf_dir)))
+
+
+# ---- evaluation ---------------------------------------------------------------
+
+def q_naive_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = splits.assign_folds(clean_panel(spark, sf_dir))
+    return rounded(evaluate.naive_walk_forward(folded), METRIC_COLS)
+
+
+def q_walk_forward_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = splits.assign_folds(clean_panel(spark, sf_dir))
+    return rounded(evaluate.walk_forward_metrics(folded, V1), METRIC_COLS)
+
+
+def q_walk_forward_linear_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = splits.assign_folds(v2_panel(spark, sf_dir))
+    return rounded(evaluate.walk_forward_metrics(folded, V2), METRIC_COLS)
+
+
+def q_walk_forward_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear candidates on v1/v2/v3 over ``features_v3`` + the naive row: mean and std of fold RMSE."""
+    folded = splits.assign_folds(v3_panel(spark, sf_dir)).cache()
+    board = evaluate.linear_board(folded, FEATURE_SETS)
+    base = summarise_folds(
+        evaluate.naive_walk_forward(folded).withColumn("features", F.lit("vol_5")).withColumn("model", F.lit("Naive")),
+        ["features", "model"],
+    )
+    out = board.unionByName(base).drop("fold_RMSEs")
+    return rounded(out, ["mean_RMSE", "std_RMSE"])
+
+
+def q_walk_forward_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = evaluate.walk_forward_predictions(clean_panel(spark, sf_dir))
+    return rounded(p.select("date", "ticker", "fold", "set", TARGET, "pred"), [TARGET, "pred"])
+
+
+def q_documented_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.documented_metrics(clean_panel(spark, sf_dir)).drop("fold_RMSEs")
+
+
+def q_split_two_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.split_two_scored(clean_panel(spark, sf_dir)), METRIC_COLS)
+
+
+# ---- publication and serving --------------------------------------------------
+
+def q_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.dashboard(clean_panel(spark, sf_dir))
+
+
+def q_dashboard_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(publish.dashboard_mae(publish.dashboard(clean_panel(spark, sf_dir))), ["mae", "mean_abs_error"])
+
+
+def q_latest_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.latest_table(publish.dashboard(clean_panel(spark, sf_dir)))
+
+
+def q_final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coefs = linear.fit(clean_panel(spark, sf_dir), V1, TARGET)
+    return rounded(coefs.drop("_all"), [f"b{i}" for i in range(len(V1))] + ["intercept"], 8)
+
+
+def q_forecast_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = panels.supplier_day(spark, sf_dir)
-    return rounded(feat.clean_v1(feat.add_features(prices)), R6_V1)
+    as_of = prices.agg(F.max("date")).first()[0]
+    return publish.forecast_latest(prices, final_model(spark, sf_dir), as_of=as_of, months=6)
+
+
+def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = feat.add_features(panels.supplier_day(spark, sf_dir))
+    req = serve.requests_from_features(features, V1)
+    out = serve.score_requests(req, final_model(spark, sf_dir))
+    return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
+
+
+# ---- profiles -----------------------------------------------------------------
+
+def q_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = panels.supplier_day(spark, sf_dir)
+    return p.agg(
+        F.count(F.lit(1)).cast("long").alias("rows"),
+        F.count_distinct("ticker").cast("long").alias("tickers"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+
+
+def q_missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested universe (every supplier) minus the tickers that have bars."""
+    sup = panels.table(spark, sf_dir, "supplier").select(panels.supplier_ticker(F.col("s_suppkey")).alias("ticker"))
+    got = panels.supplier_day(spark, sf_dir).select("ticker")
+    return sup.join(got, "ticker", "left_anti")
+
+
+def q_prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flag-day bars pivoted to the wide quote layout and stacked back to long rows."""
+    flags = ["A", "N", "R"]
+    wide = files.to_wide(panels.flag_day(spark, sf_dir), flags)
+    return files.to_long(wide, flags)
 
 
 REGISTRY = {
     "features_clean": q_features_clean,
+    "features": q_features,
+    "features_v2": q_features_v2,
+    "features_v2_flag": q_features_v2_flag,
+    "market_features": q_market_features,
+    "features_v3_calendar": _v3("calendar"),
+    "features_v3_ticker": _v3("ticker"),
+    "features_v3_panel": _v3("panel"),
+    "cutoffs": q_cutoffs,
+    "split_two_profile": q_split_two_profile,
+    "split_three_profile": q_split_three_profile,
+    "fold_calendar": q_fold_calendar,
+    "fold_profile": q_fold_profile,
+    "naive_walk_forward": q_naive_walk_forward,
+    "walk_forward_linear": q_walk_forward_linear,
+    "walk_forward_linear_v2": q_walk_forward_linear_v2,
+    "walk_forward_board": q_walk_forward_board,
+    "walk_forward_predictions": q_walk_forward_predictions,
+    "documented_metrics": q_documented_metrics,
+    "split_two_metrics": q_split_two_metrics,
+    "dashboard": q_dashboard,
+    "dashboard_mae": q_dashboard_mae,
+    "latest_flag": q_latest_flag,
+    "forecast_latest": q_forecast_latest,
+    "score_requests": q_score_requests,
+    "profile": q_profile,
+    "missing_tickers": q_missing_tickers,
+    "prices_long": q_prices_long,
 }
