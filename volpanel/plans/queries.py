@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volpanel.operators import features as feat
-from volpanel.operators import linear, market, splits
+from volpanel.operators import garch, linear, market, splits
+from volpanel.operators import metrics as metrics_mod
 from volpanel.operators.metrics import summarise_folds
 from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
@@ -184,6 +185,38 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
 
 
+# ---- GARCH ----------------------------------------------------------------------
+
+def _garch_split(spark: SparkSession, sf_dir: str):
+    clean = clean_panel(spark, sf_dir)
+    cut = splits.cutoff_dates(clean, [1.0 - 0.2])
+    j = clean.crossJoin(F.broadcast(cut)).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
+    return j.where("is_train"), j.where(~F.col("is_train"))
+
+
+def q_garch_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _garch_split(spark, sf_dir)
+    g = garch.garch_grid(train)
+    return g.select(
+        "ticker", "alpha", "beta", F.round("omega", 6).alias("omega"), F.round("loglik", 4).alias("loglik"),
+        F.round("garch_vol", 6).alias("garch_vol"),
+    )
+
+
+def q_garch_split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single 80/20 split: GARCH(1,1) grid forecast, one constant per ticker over its test rows."""
+    train, test = _garch_split(spark, sf_dir)
+    fc = garch.garch_grid(train).select("ticker", F.col("garch_vol").alias("pred"))
+    scored = test.join(fc, "ticker")
+    return rounded(metrics_mod.metrics(scored, TARGET, "pred").withColumn("model", F.lit("GARCH(1,1)")), METRIC_COLS)
+
+
+def q_garch_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-ω likelihood fit per ticker (NumPy per group); approximate, rows-only check."""
+    train, _ = _garch_split(spark, sf_dir)
+    return garch.garch_fit(train)
+
+
 # ---- profiles -----------------------------------------------------------------
 
 def q_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +269,9 @@ REGISTRY = {
     "latest_flag": q_latest_flag,
     "forecast_latest": q_forecast_latest,
     "score_requests": q_score_requests,
+    "garch_grid": q_garch_grid,
+    "garch_split_metrics": q_garch_split_metrics,
+    "garch_forecast": q_garch_forecast,
     "profile": q_profile,
     "missing_tickers": q_missing_tickers,
     "prices_long": q_prices_long,
