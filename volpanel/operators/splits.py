@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from volpanel.schemas import N_FOLDS, SPLIT_THREE, TEST_FRAC
+from volpanel.session import reuse
 
 
 def floor_index(n: Column, q: float) -> Column:
@@ -39,6 +40,7 @@ def cutoff_dates(df: DataFrame, qs: list[float], col: str = "date") -> DataFrame
 
 def split_two(df: DataFrame, test_frac: float = TEST_FRAC, col: str = "date") -> DataFrame:
     """Adds ``set`` = train (date < cutoff) / test (date ≥ cutoff); cutoff at 1 − test_frac."""
+    df = reuse(df)
     cut = cutoff_dates(df, [1.0 - test_frac], col)
     return df.crossJoin(F.broadcast(cut)).select(
         *df.columns,
@@ -49,6 +51,7 @@ def split_two(df: DataFrame, test_frac: float = TEST_FRAC, col: str = "date") ->
 
 def split_three(df: DataFrame, qs: tuple[float, float] = SPLIT_THREE, col: str = "date") -> DataFrame:
     """Adds ``set`` = train / val / test on half-open ranges [.., d1) [d1, d2) [d2, ..)."""
+    df = reuse(df)
     cut = cutoff_dates(df, list(qs), col)
     return df.crossJoin(F.broadcast(cut)).select(
         *df.columns,
@@ -94,6 +97,7 @@ def fold_expr(n_folds: int = N_FOLDS, col: str = "date") -> Column:
 
 def assign_folds(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:
     """Adds ``fold`` (0 … n−1) to every row; one broadcast row of edges, no panel shuffle."""
+    df = reuse(df)
     edges = fold_edges(df, n_folds, col)
     j = df.crossJoin(F.broadcast(edges))
     return j.where(F.col("_ok")).select(*df.columns, fold_expr(n_folds, col).alias("fold"))

@@ -47,3 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def reuse(df):
+    """Persist a DataFrame an operator reads more than once (memory, spilling to disk).
+
+    A lost executor's blocks are recomputed from lineage, so this is safe on a
+    cluster; callers release it with ``unpersist`` or ``spark.catalog.clearCache()``.
+    """
+    from pyspark import StorageLevel
+
+    if df.storageLevel == StorageLevel.NONE:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
