@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from volpanel.session import cpu_partitions
+
 LN_2PI = math.log(2.0 * math.pi)
 
 # fixed search grid: α in 0.02…0.14 step 0.03, β in 0.50…0.95, kept where α + β < 1
@@ -70,17 +72,6 @@ def mean_forecast(vbar: Column, s2_next: Column, phi: Column, h: int) -> Column:
     return vbar + (s2_next - vbar) * geo / F.lit(float(h))
 
 
-def cpu_partitions(df: DataFrame) -> int:
-    """Task count for CPU-heavy per-ticker stages.
-
-    The per-ticker input is small in bytes, so adaptive execution would coalesce it
-    into a few tasks; an explicit ``repartition(n, ticker)`` keeps it spread over the
-    cluster (AQE leaves a user-specified partition count alone).
-    """
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float]] = GRID) -> DataFrame:
     """Per ticker: best (α, β) on the grid, ω, log-likelihood and the volatility forecast."""
     train = train.select("ticker", "date", "ret").repartition(cpu_partitions(train), "ticker")

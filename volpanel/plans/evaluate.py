@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from volpanel.operators import linear, metrics
 from volpanel.operators.splits import assign_folds, cutoff_dates, label_set
 from volpanel.schemas import BASELINE, N_FOLDS, TARGET, V1
+from volpanel.session import reuse
 
 
 def naive(df: DataFrame, out: str = "pred") -> DataFrame:
@@ -98,3 +99,121 @@ def split_two_scored(df: DataFrame, feats: list[str] = V1, test_frac: float = 0.
     m_lin = metrics.metrics(lin, TARGET, "pred").withColumn("model", F.lit("Linear regression"))
     m_base = metrics.metrics(naive(test), TARGET, "pred").withColumn("model", F.lit("Naive baseline (vol_5)"))
     return m_base.unionByName(m_lin)
+
+
+# ---- tree candidates, selection and single-split benchmarks ----------------------
+
+def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: list[str], workers: int = 4) -> DataFrame:
+    """Scoreboard over feature sets × models: mean / population std of the fold RMSEs.
+
+    Linear candidates use the one-pass sufficient-statistics fit; the others are Spark
+    ML fits, four per candidate, run from a driver thread pool.
+    """
+    from volpanel.operators import trees
+
+    folded = reuse(folded)
+    jobs = {}
+    for sname, feats in sets.items():
+        for mname in models:
+            if mname == "Linear":
+                jobs[(sname, mname)] = (lambda f=feats: metrics.metrics(linear_walk_forward(folded, f), TARGET, "pred", ["fold"]))
+            else:
+                jobs[(sname, mname)] = (
+                    lambda f=feats, m=mname: metrics.metrics(
+                        trees.walk_forward(folded, f, trees.MODELS[m]), TARGET, "pred", ["fold"]
+                    )
+                )
+    per_fold = trees.run_parallel(jobs, workers)
+    out = None
+    for (sname, mname), df in per_fold.items():
+        s = metrics.summarise_folds(df.withColumn("features", F.lit(sname)).withColumn("model", F.lit(mname)), ["features", "model"])
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def _split_frames(df: DataFrame, qs: list[float]):
+    cut = cutoff_dates(df, qs)
+    return df.crossJoin(F.broadcast(cut))
+
+
+def benchmark_split(clean: DataFrame, feats: list[str] = V1, test_frac: float = 0.20, log_target: bool = False) -> DataFrame:
+    """Single chronological split scoreboard: naive, linear, forest (200 trees, depth 6), GARCH(1,1).
+
+    With ``log_target`` the linear and forest models learn ln(y + 1e-6) and predict
+    exp(·); scores are always in volatility units.
+    """
+    from volpanel.operators import garch, trees
+
+    clean = reuse(clean)
+    j = reuse(_split_frames(clean, [1.0 - test_frac]).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0"))
+    train, test = j.where("is_train"), j.where(~F.col("is_train"))
+    lin = trees.fit_predict(train, test, feats, trees.linear_ml(), log_target)
+    rf = trees.fit_predict(train, test, feats, trees.forest(200, 6), log_target)
+    fc = garch.garch_grid(train).select("ticker", F.col("garch_vol").alias("pred"))
+    boards = [
+        metrics.metrics(naive(test), TARGET, "pred").withColumn("model", F.lit("Naive baseline (vol_5)")),
+        metrics.metrics(lin, TARGET, "pred").withColumn("model", F.lit("Linear regression")),
+        metrics.metrics(rf, TARGET, "pred").withColumn("model", F.lit("Random forest")),
+        metrics.metrics(test.join(fc, "ticker"), TARGET, "pred").withColumn("model", F.lit("GARCH(1,1)")),
+    ]
+    out = boards[0]
+    for b in boards[1:]:
+        out = out.unionByName(b)
+    return out
+
+
+def choose_model(board: DataFrame) -> DataFrame:
+    """The model to ship: the best by RMSE, but linear when the baseline or GARCH wins."""
+    best = metrics.best(board, "RMSE", ["model"])
+    return best.select(
+        F.when(F.col("model").isin("Linear regression", "Random forest"), F.col("model"))
+        .otherwise(F.lit("Linear regression"))
+        .alias("shipped"),
+        F.col("model").alias("best"),
+    )
+
+
+def select_on_validation(df: DataFrame, sets: dict[str, list[str]], models: list[str], qs=(0.60, 0.80), workers: int = 4) -> DataFrame:
+    """60/20/20: choose on validation, refit on train ∪ validation, score the test set once.
+
+    Rows: every candidate's validation RMSE (role ``val``), then the test scores of the
+    naive baseline, the chosen model and the shipped linear v1 model (role ``test``).
+    """
+    from volpanel.operators import trees
+
+    df = reuse(df)
+    j = reuse(_split_frames(df, list(qs)))
+    train = j.where(F.col("date") < F.col("c0"))
+    val = j.where((F.col("date") >= F.col("c0")) & (F.col("date") < F.col("c1")))
+    trainval = j.where(F.col("date") < F.col("c1"))
+    test = j.where(F.col("date") >= F.col("c1"))
+    jobs = {
+        (s, m): (lambda f=feats, m=m: metrics.metrics(fit_predict_any(train, val, f, m), TARGET, "pred").first()["RMSE"])
+        for s, feats in sets.items()
+        for m in models
+    }
+    scores = trees.run_parallel(jobs, workers)
+    (ws, wm) = min(scores, key=lambda k: (scores[k], k))
+    spark = df.sparkSession
+    val_rows = spark.createDataFrame(
+        [("val", s, m, float(v)) for (s, m), v in scores.items()], "role string, features string, model string, RMSE double"
+    )
+    final = metrics.metrics(fit_predict_any(trainval, test, sets[ws], wm), TARGET, "pred")
+    shipped = metrics.metrics(fit_predict_any(trainval, test, V1, "Linear"), TARGET, "pred")
+    base = metrics.metrics(naive(test), TARGET, "pred")
+    test_rows = (
+        base.select(F.lit("test").alias("role"), F.lit("vol_5").alias("features"), F.lit("Naive baseline (vol_5)").alias("model"), "RMSE", "MAE", "R2")
+        .unionByName(final.select(F.lit("test").alias("role"), F.lit(ws).alias("features"), F.lit(f"Final model: {wm}").alias("model"), "RMSE", "MAE", "R2"))
+        .unionByName(shipped.select(F.lit("test").alias("role"), F.lit("v1 (original)").alias("features"), F.lit("Linear v1 (shipped)").alias("model"), "RMSE", "MAE", "R2"))
+    )
+    return val_rows.unionByName(test_rows, allowMissingColumns=True)
+
+
+def fit_predict_any(train: DataFrame, test: DataFrame, feats: list[str], model: str) -> DataFrame:
+    """``test`` with ``pred`` from a model fitted on ``train`` (linear via sufficient statistics)."""
+    from volpanel.operators import trees
+
+    if model == "Linear":
+        coefs = linear.fit(train, feats, TARGET)
+        return linear.predict(test.withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
+    return trees.fit_predict(train, test, feats, trees.MODELS[model]())

@@ -185,6 +185,30 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
 
 
+# ---- tree candidates and selection (rows-only checks) ---------------------------
+
+def q_walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = splits.assign_folds(v3_panel(spark, sf_dir))
+    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["RF depth=4", "RF depth=8"]).drop("fold_RMSEs")
+
+
+def q_walk_forward_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = splits.assign_folds(v3_panel(spark, sf_dir))
+    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["XGB depth=3", "XGB depth=5"]).drop("fold_RMSEs")
+
+
+def q_select_on_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.select_on_validation(v3_panel(spark, sf_dir), FEATURE_SETS, ["Linear", "RF depth=4", "RF depth=8"])
+
+
+def q_benchmark_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.benchmark_split(clean_panel(spark, sf_dir))
+
+
+def q_benchmark_split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.benchmark_split(clean_panel(spark, sf_dir), log_target=True)
+
+
 # ---- GARCH ----------------------------------------------------------------------
 
 def _garch_split(spark: SparkSession, sf_dir: str):
@@ -272,6 +296,11 @@ REGISTRY = {
     "garch_grid": q_garch_grid,
     "garch_split_metrics": q_garch_split_metrics,
     "garch_forecast": q_garch_forecast,
+    "walk_forward_forest": q_walk_forward_forest,
+    "walk_forward_gbt": q_walk_forward_gbt,
+    "select_on_validation": q_select_on_validation,
+    "benchmark_split": q_benchmark_split,
+    "benchmark_split_log": q_benchmark_split_log,
     "profile": q_profile,
     "missing_tickers": q_missing_tickers,
     "prices_long": q_prices_long,

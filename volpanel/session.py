@@ -60,3 +60,14 @@ def reuse(df):
     if df.storageLevel == StorageLevel.NONE:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
+
+
+def cpu_partitions(df) -> int:
+    """Task count for CPU-heavy stages whose input is small in bytes.
+
+    Adaptive execution would coalesce such input into a few tasks; an explicit
+    ``repartition(n)`` keeps it spread over the cluster (AQE leaves a user-specified
+    partition count alone).
+    """
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
