@@ -72,3 +72,20 @@ def test_log_space_model_is_exponentiated(spark):
     req = spark.createDataFrame([(json.dumps(DEMO_REQUEST),)], "request string")
     r = serve.score_requests(req, m).first()
     assert r["pred_daily_vol"] == 0.02
+
+
+def test_finalize_bundle_round_trip_with_fallback(spark):
+    from conftest import SF001
+    from volpanel.plans import queries as q
+    from volpanel.plans.finalize import finalize_and_save
+    from volpanel.sources.models import load_meta, load_model
+
+    path = tempfile.mkdtemp(prefix="volpanel-bundle-", dir="/tmp") + "/bundle"
+    finalize_and_save(q.clean_panel(spark, SF001), path)
+    m = load_model(spark, ["/tmp/volpanel-does-not-exist", path]).first()
+    assert m["features"] == V1 and len(m["coef"]) == 4
+    dm = m["documented_metrics"]
+    assert dm["method"] == "walk-forward, 4 out-of-sample folds" and len(dm["fold_RMSEs"]) == 4
+    meta = load_meta(spark, path).first()
+    assert meta["n_rows"] == 4984 and meta["n_tickers"] == 10
+    assert spark.read.parquet(path + "/tickers").count() == 10

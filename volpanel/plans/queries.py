@@ -253,6 +253,20 @@ def q_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_model_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from volpanel.sources.models import model_meta
+
+    return model_meta(clean_panel(spark, sf_dir))
+
+
+def q_market_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the v2 panel and how many of them found no market date (before any fill)."""
+    v2 = v2_panel(spark, sf_dir)
+    m = market.market_features(market.market_for(v2, panels.market_day(spark, sf_dir)))
+    j = v2.join(m.select("date", "vix"), "date", "left")
+    return j.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.count_if(F.col("vix").isNull()).cast("long").alias("missing"))
+
+
 def q_missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested universe (every supplier) minus the tickers that have bars."""
     sup = panels.table(spark, sf_dir, "supplier").select(panels.supplier_ticker(F.col("s_suppkey")).alias("ticker"))
@@ -303,5 +317,7 @@ REGISTRY = {
     "benchmark_split_log": q_benchmark_split_log,
     "profile": q_profile,
     "missing_tickers": q_missing_tickers,
+    "model_meta": q_model_meta,
+    "market_misses": q_market_misses,
     "prices_long": q_prices_long,
 }
