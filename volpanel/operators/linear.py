@@ -4,9 +4,9 @@ One aggregation pass collects, per group (e.g. per fold), the count, Σxᵢ, Σy
 Σxᵢxⱼ and Σxᵢy — a partial + final aggregate whose size is (p+1)² numbers per
 group, independent of the row count.  Expanding training sets (``fold < k``) are
 prefix sums over the few group rows.  The normal equations of the centred problem
-are solved by a Cholesky factorisation written as column expressions, one
-projection per step, so coefficients never leave the JVM.  Coefficient rows (one
-per fold) are broadcast back to the rows to score.
+are solved by Gauss–Jordan elimination written as one array expression, so
+coefficients never leave the JVM.  Coefficient rows (one per fold) are broadcast
+back to the rows to score.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from volpanel.functions.scalar import dot, ratio
+from volpanel.functions.scalar import dot
 
 
 def _pairs(p: int):
@@ -54,56 +54,40 @@ def expanding(g: DataFrame, p: int, order: str = "fold", include_first: bool = F
 def solve(stats: DataFrame, p: int, keep: list[str]) -> DataFrame:
     """Coefficients b0…b{p−1} and intercept from the sufficient statistics.
 
-    Centred normal equations C·b = c with C = Σxxᵀ/n − x̄x̄ᵀ, c = Σxy/n − x̄ȳ, solved
-    by Cholesky (C = LLᵀ) in staged projections; intercept = ȳ − x̄·b.
+    Centred normal equations C·b = c with C = Σxxᵀ/n − x̄x̄ᵀ (symmetric positive
+    definite for non-collinear features), c = Σxy/n − x̄ȳ.  The augmented matrix
+    [C | c] is an array column and Gauss–Jordan elimination is one ``aggregate`` over
+    the pivot index, so the whole solve is a single projection; intercept = ȳ − x̄·b.
     """
     n = F.col("n")
-    cur = stats.select(
-        *keep,
-        (F.col("sy") / n).alias("my"),
-        *[(F.col(f"s{i}") / n).alias(f"m{i}") for i in range(p)],
-        *[F.col(f"s{i}_{j}") for i, j in _pairs(p)],
-        *[F.col(f"s{i}y") for i in range(p)],
-        n,
-    )
-    cur = cur.select(
-        *keep, "my", *[f"m{i}" for i in range(p)],
-        *[(F.col(f"s{i}_{j}") / n - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"a{i}_{j}") for i, j in _pairs(p)],
-        *[(F.col(f"s{i}y") / n - F.col(f"m{i}") * F.col("my")).alias(f"c{i}") for i in range(p)],
-    )
-    base = keep + ["my"] + [f"m{i}" for i in range(p)] + [f"c{i}" for i in range(p)]
-    # L[i][j] for i >= j, column by column
-    done: list[str] = []
-    for j in range(p):
-        diag = F.col(f"a{j}_{j}")
-        for k in range(j):
-            diag = diag - F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}")
-        cur = cur.select("*", F.sqrt(diag).alias(f"l{j}_{j}"))
-        cols = []
-        for i in range(j + 1, p):
-            num = F.col(f"a{j}_{i}")
-            for k in range(j):
-                num = num - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
-            cols.append(ratio(num, F.col(f"l{j}_{j}")).alias(f"l{i}_{j}"))
-        if cols:
-            cur = cur.select("*", *cols)
-        done += [f"l{i}_{j}" for i in range(j, p)]
-    # forward substitution L z = c
-    for i in range(p):
-        num = F.col(f"c{i}")
-        for k in range(i):
-            num = num - F.col(f"l{i}_{k}") * F.col(f"z{k}")
-        cur = cur.select("*", ratio(num, F.col(f"l{i}_{i}")).alias(f"z{i}"))
-    # back substitution Lᵀ b = z
-    for i in reversed(range(p)):
-        num = F.col(f"z{i}")
-        for k in range(i + 1, p):
-            num = num - F.col(f"l{k}_{i}") * F.col(f"b{k}")
-        cur = cur.select("*", ratio(num, F.col(f"l{i}_{i}")).alias(f"b{i}"))
-    intercept = F.col("my")
+    mean = [F.col(f"s{i}") / n for i in range(p)]
+    my = F.col("sy") / n
+
+    def s(i: int, j: int) -> Column:
+        return F.col(f"s{min(i, j)}_{max(i, j)}")
+
+    rows = [
+        F.array(*[s(i, j) / n - mean[i] * mean[j] for j in range(p)], F.col(f"s{i}y") / n - mean[i] * my)
+        for i in range(p)
+    ]
+
+    def step(m: Column, k: Column) -> Column:
+        piv = F.get(m, k)
+        d = F.get(piv, k)
+        return F.transform(
+            m,
+            lambda row, i: F.when(i == k, F.transform(row, lambda x: F.try_divide(x, d))).otherwise(
+                F.zip_with(row, piv, lambda a, b: a - F.try_divide(F.get(row, k) * b, d))
+            ),
+        )
+
+    solved = F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), F.array(*rows), step)
+    cur = stats.select(*keep, my.alias("_my"), *[m.alias(f"_m{i}") for i, m in enumerate(mean)], solved.alias("_aug"))
+    b = [F.get(F.get(F.col("_aug"), F.lit(i)), F.lit(p)) for i in range(p)]
+    intercept = F.col("_my")
     for i in range(p):
-        intercept = intercept - F.col(f"m{i}") * F.col(f"b{i}")
-    return cur.select(*keep, *[F.col(f"b{i}") for i in range(p)], intercept.alias("intercept"))
+        intercept = intercept - F.col(f"_m{i}") * b[i]
+    return cur.select(*keep, *[b[i].alias(f"b{i}") for i in range(p)], intercept.alias("intercept"))
 
 
 def fit(df: DataFrame, feats: list[str], y: str, by: list[str] | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from volpanel.operators import metrics as metrics_mod
 from volpanel.operators.metrics import summarise_folds
 from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
+from volpanel.session import reuse
 from volpanel.sources import files, panels
 
 R6_V1 = ["ret", "vol_5", "vol_10", "vol_30", "target_vol_fwd"]
@@ -179,9 +180,10 @@ def q_forecast_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = feat.add_features(panels.supplier_day(spark, sf_dir))
+    features = reuse(feat.add_features(panels.supplier_day(spark, sf_dir)))
     req = serve.requests_from_features(features, V1)
-    out = serve.score_requests(req, final_model(spark, sf_dir))
+    model = serve.model_row(linear.fit(feat.clean_v1(features), V1, TARGET), V1)
+    out = serve.score_requests(req, model)
     return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
 
 
