@@ -45,3 +45,22 @@ def test_universe_upper_case_keeps_duplicates(spark):
     u = publish.universe(spark, ["aapl", "msft", "aapl"])
     assert [r["ticker"] for r in u.collect()] == ["AAPL", "MSFT", "AAPL"]
     assert [r["ticker"] for r in publish.universe(spark, []).collect()] == ["AAPL"]
+
+
+def test_forecast_universe_and_missing(spark):
+    rows = [(i, t, 100.0 + math.sin(i + k)) for k, t in enumerate(["AAA", "BBB"]) for i in range(40)]
+    prices = prices_df(spark, rows)
+    u = publish.universe(spark, ["aaa", "zzz"])
+    fc = publish.forecast_latest(prices, _model(spark), tickers=u).collect()
+    assert [r["ticker"] for r in fc] == ["AAA"]
+    assert [r["ticker"] for r in publish.missing_tickers(u, prices).collect()] == ["ZZZ"]
+
+
+def test_assert_unique(spark):
+    import pytest
+    from volpanel.sources.files import assert_unique
+
+    ok = prices_df(spark, [(0, "A", 1.0), (1, "A", 2.0)])
+    assert_unique(ok)
+    with pytest.raises(ValueError, match="duplicate keys"):
+        assert_unique(prices_df(spark, [(0, "A", 1.0), (0, "A", 2.0)]))

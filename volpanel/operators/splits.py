@@ -1,8 +1,9 @@
 """Chronological splits: row-weighted cutoffs, two/three-way splits, walk-forward folds.
 
 Everything that needs a global order works on the *distinct dates* (bounded by the
-calendar span), never on panel rows; the result goes back to the panel as a one-row
-table of edge dates, which is broadcast (one row is a proven bound) and compared
+calendar span), never on panel rows: they are gathered into one sorted array by a
+partial + final aggregate, and the result goes back to the panel as a one-row table of
+edge dates, which is broadcast (one row is a proven bound) and compared
 against each row's date, so the panel itself is never re-shuffled for a split.
 """
 
@@ -23,19 +24,30 @@ def floor_index(n: Column, q: float) -> Column:
 def cutoff_dates(df: DataFrame, qs: list[float], col: str = "date") -> DataFrame:
     """One row: for each q, the date of the row at 0-based index int(n·q) in date order.
 
-    Row-weighted: dates are weighted by their row counts (groupBy date → running sum
-    over the distinct dates).  Columns ``c0, c1, …`` in the order of ``qs``.
+    Row-weighted: (date, rows) pairs from a partial + final count, gathered into one
+    date-sorted array (one entry per calendar day, bounded by the calendar span) and
+    scanned by a fold that keeps the running row count.  Columns ``c0, c1, …`` in the
+    order of ``qs``.
     """
     per_date = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(col)
-    cum = per_date.select(
-        col,
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
-    return cum.agg(
-        *[F.min(F.when(F.col("_cum") > floor_index(F.col("_total"), q), F.col(col))).alias(f"c{i}") for i, q in enumerate(qs)]
-    )
+    arr = per_date.agg(F.array_sort(F.collect_list(F.struct(F.col(col).alias("d"), F.col("_n").alias("n")))).alias("_a"))
+    total = F.aggregate(F.col("_a"), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    arr = arr.select("_a", total.alias("_total"))
+
+    def at(q: float):
+        k = floor_index(F.col("_total"), q)
+        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("date").alias("hit"))
+        res = F.aggregate(
+            F.col("_a"),
+            init,
+            lambda acc, x: F.struct(
+                (acc["cum"] + x["n"]).alias("cum"),
+                F.when(acc["hit"].isNull() & (acc["cum"] + x["n"] > k), x["d"]).otherwise(acc["hit"]).alias("hit"),
+            ),
+        )
+        return res["hit"]
+
+    return arr.select(*[at(q).alias(f"c{i}") for i, q in enumerate(qs)])
 
 
 def split_two(df: DataFrame, test_frac: float = TEST_FRAC, col: str = "date") -> DataFrame:
@@ -67,18 +79,15 @@ def split_three(df: DataFrame, qs: tuple[float, float] = SPLIT_THREE, col: str =
 def fold_edges(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:
     """One row of edge dates ``e1 … e{n−1}``: edge i is the distinct date at index int(m·i/n).
 
-    Bins are left-closed: fold = number of edges ≤ date.  With fewer distinct dates
-    than folds the edges would repeat, which is an error (raised inside the plan).
+    The distinct dates are gathered into one sorted array (a partial + final
+    aggregate; one entry per calendar day, bounded by the calendar span).  Bins are
+    left-closed: fold = number of edges ≤ date.  With fewer distinct dates than folds
+    the edges would repeat, which is an error (raised inside the plan).
     """
-    dates = df.select(col).distinct()
-    cal = dates.select(
-        col,
-        (F.row_number().over(Window.orderBy(col)) - 1).alias("_r"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("_m"),
-    )
-    edges = cal.agg(
-        F.max("_m").alias("m"),
-        *[F.min(F.when(F.col("_r") == floor_index(F.col("_m"), i / n_folds), F.col(col))).alias(f"e{i}") for i in range(1, n_folds)],
+    dates = df.agg(F.array_sort(F.collect_set(col)).alias("_d")).select("_d", F.size("_d").alias("m"))
+    edges = dates.select(
+        "m",
+        *[F.get(F.col("_d"), floor_index(F.col("m"), i / n_folds).cast("int")).alias(f"e{i}") for i in range(1, n_folds)],
     )
     return edges.select(
         "*",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from volpanel.operators import linear, metrics
 from volpanel.operators.splits import assign_folds, cutoff_dates, label_set
 from volpanel.schemas import BASELINE, N_FOLDS, TARGET, V1
-from volpanel.session import reuse
+from volpanel.session import reuse, stable
 
 
 def naive(df: DataFrame, out: str = "pred") -> DataFrame:
@@ -111,7 +111,7 @@ def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: li
     """
     from volpanel.operators import trees
 
-    folded = reuse(folded)
+    folded = stable(folded)
     jobs = {}
     for sname, feats in sets.items():
         for mname in models:
@@ -181,8 +181,7 @@ def select_on_validation(df: DataFrame, sets: dict[str, list[str]], models: list
     """
     from volpanel.operators import trees
 
-    df = reuse(df)
-    j = reuse(_split_frames(df, list(qs)))
+    j = stable(_split_frames(reuse(df), list(qs)))
     train = j.where(F.col("date") < F.col("c0"))
     val = j.where((F.col("date") >= F.col("c0")) & (F.col("date") < F.col("c1")))
     trainval = j.where(F.col("date") < F.col("c1"))

@@ -69,7 +69,12 @@ def enough_history(prices: DataFrame, n: int = MIN_CLOSES) -> DataFrame:
     return prices.withColumn("_n", F.count("close").over(Window.partitionBy("ticker"))).where(F.col("_n") >= n).drop("_n")
 
 
-def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int = 6) -> DataFrame:
+def missing_tickers(requested: DataFrame, prices: DataFrame) -> DataFrame:
+    """Requested tickers that did not arrive in the panel (anti join)."""
+    return requested.join(prices.select("ticker").distinct(), "ticker", "left_anti")
+
+
+def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int = 6, tickers: DataFrame | None = None) -> DataFrame:
     """Latest forecast per ticker from the last ``months`` of closes before ``as_of``.
 
     Output: ticker, as_of (last close date), recent_vol_5, pred_daily_vol, pred_annual_%
@@ -77,6 +82,8 @@ def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int
     trained in log space is scored back in volatility units.
     """
     closes = prices.select("date", "ticker", "close").where(F.col("close").isNotNull())
+    if tickers is not None:
+        closes = closes.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
     if as_of is not None:
         closes = lookback(closes, as_of, months)
     closes = enough_history(closes)

@@ -272,8 +272,7 @@ def q_market_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested universe (every supplier) minus the tickers that have bars."""
     sup = panels.table(spark, sf_dir, "supplier").select(panels.supplier_ticker(F.col("s_suppkey")).alias("ticker"))
-    got = panels.supplier_day(spark, sf_dir).select("ticker")
-    return sup.join(got, "ticker", "left_anti")
+    return publish.missing_tickers(sup, panels.supplier_day(spark, sf_dir))
 
 
 def q_prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (a machine-local folder is not safe on a cluster)")
     path = tempfile.mkdtemp(prefix="volpanel-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -71,3 +73,13 @@ def cpu_partitions(df) -> int:
     """
     spark = df.sparkSession
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def stable(df):
+    """Write ``df`` to the shared checkpoint folder and cut its lineage (reliable checkpoint).
+
+    For inputs of long multi-job work (tree candidates): a lost executor then costs a
+    re-read of the checkpoint, not a recomputation from the source tables.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

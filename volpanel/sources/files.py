@@ -79,6 +79,14 @@ def require_rows(df: DataFrame, msg: str) -> DataFrame:
     return df
 
 
+def assert_unique(df: DataFrame, keys: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
+    """Raise when a key occurs twice (windows assume one row per (ticker, date))."""
+    dup = df.groupBy(*keys).count().where(F.col("count") > 1)
+    if not dup.isEmpty():
+        raise ValueError(f"duplicate keys {keys}: e.g. {dup.first().asDict()}")
+    return df
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
