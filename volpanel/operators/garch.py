@@ -9,7 +9,7 @@ training rows.  Two forms:
   ``transform`` over a literal array: pure built-in expressions, checkable in SQL.
 * ``garch_fit`` – the same likelihood maximised per ticker with ω free by a coarse
   grid and local refinement, all candidates of a round evaluated as one vector
-  recursion (NumPy inside ``applyInPandas``, one group per ticker).
+  recursion (NumPy inside ``mapInPandas`` over one array row per ticker).
 
 A ticker's return array holds one value per trading day, so its size is bounded by
 the calendar span, not by the data volume.  The forecast is the mean of the 1…h
@@ -74,8 +74,9 @@ def mean_forecast(vbar: Column, s2_next: Column, phi: Column, h: int) -> Column:
 
 def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float]] = GRID) -> DataFrame:
     """Per ticker: best (α, β) on the grid, ω, log-likelihood and the volatility forecast."""
-    train = train.select("ticker", "date", "ret").repartition(cpu_partitions(train), "ticker")
-    arr = return_arrays(train).where((F.col("n") >= 2) & (F.col("vbar") > 0))
+    arr = return_arrays(train.select("ticker", "date", "ret")).where((F.col("n") >= 2) & (F.col("vbar") > 0))
+    # one row per ticker, small in bytes but CPU-heavy: spread round-robin over the cluster
+    arr = arr.repartition(cpu_partitions(train))
     g = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in grid])
 
     def score(p):
@@ -121,14 +122,11 @@ def _candidates(a_c, b_c, m_c, da, db, dm, vbar, k=5):
     return A, B, M, M * vbar * (1.0 - A - B)
 
 
-def _fit_group(pdf: pd.DataFrame, horizon: int) -> pd.DataFrame:
-    cols = ["ticker", "omega", "alpha", "beta", "loglik", "garch_vol"]
-    pdf = pdf.sort_values("date")
-    r = pdf["ret"].to_numpy(dtype=float) * 100.0
+def _fit_series(ticker: str, r: np.ndarray, horizon: int):
     r2 = r * r
     vbar = float(r2.mean()) if len(r2) else 0.0
     if len(r2) < 2 or vbar <= 0:
-        return pd.DataFrame([], columns=cols)
+        return None
     # coarse grid over (α, β, ω multiplier), then three rounds of local refinement
     a, b, m = np.meshgrid(np.linspace(0.01, 0.30, 12), np.linspace(0.30, 0.98, 18), np.array([0.5, 1.0, 2.0]), indexing="ij")
     A, B, M = a.ravel(), b.ravel(), m.ravel()
@@ -148,15 +146,25 @@ def _fit_group(pdf: pd.DataFrame, horizon: int) -> pd.DataFrame:
     for _ in range(horizon):
         total += f
         f = omega + (alpha + beta) * f
-    vol = math.sqrt(total / horizon) / 100.0
-    return pd.DataFrame([[pdf["ticker"].iloc[0], omega, alpha, beta, llv, vol]], columns=cols)
+    return (ticker, omega, alpha, beta, llv, math.sqrt(total / horizon) / 100.0)
+
+
+FIT_SCHEMA = "ticker string, omega double, alpha double, beta double, loglik double, garch_vol double"
 
 
 def garch_fit(train: DataFrame, horizon: int = 5) -> DataFrame:
-    """Per ticker likelihood maximisation (ω, α, β free) and the volatility forecast."""
-    rows = train.where(F.col("ret").isNotNull()).select("ticker", "date", "ret")
-    rows = rows.repartition(cpu_partitions(rows), "ticker")
-    return rows.groupBy("ticker").applyInPandas(
-        lambda pdf: _fit_group(pdf, horizon),
-        schema="ticker string, omega double, alpha double, beta double, loglik double, garch_vol double",
-    )
+    """Per ticker likelihood maximisation (ω, α, β free) and the volatility forecast.
+
+    Each ticker's ordered percent returns are one array row (bounded by the calendar);
+    the rows are spread round-robin and fitted batch by batch in ``mapInPandas``.
+    """
+    arr = return_arrays(train.select("ticker", "date", "ret"), scale=1.0).select("ticker", "r")
+    arr = arr.repartition(cpu_partitions(train))
+
+    def fit_batches(batches):
+        for pdf in batches:
+            out = [_fit_series(t, np.asarray(r, dtype=float) * 100.0, horizon) for t, r in zip(pdf["ticker"], pdf["r"])]
+            out = [o for o in out if o is not None]
+            yield pd.DataFrame(out, columns=["ticker", "omega", "alpha", "beta", "loglik", "garch_vol"])
+
+    return arr.mapInPandas(fit_batches, FIT_SCHEMA)
