@@ -45,3 +45,21 @@ def test_walk_forward_no_python_and_broadcast_coefficients(spark):
     plan = evaluate.linear_walk_forward(folded)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_purged_walk_forward_equals_direct_fit_on_purged_rows(spark):
+    from volpanel.operators import features as feat
+    from volpanel.sources import panels
+
+    f = feat.clean_v1(feat.add_features(panels.supplier_day(spark, SF01), target_end=True))
+    folded = splits.assign_folds(f, purge_col="target_end")
+    wf = {r["fold"]: r for r in linear.fit_walk_forward(folded, V1, TARGET, purge=True).collect()}
+    plain = {r["fold"]: r for r in linear.fit_walk_forward(folded, V1, TARGET).collect()}
+    edges = splits.fold_edges(f).first()
+    for k in (1, 2, 4):
+        train = folded.where((F.col("fold") < k) & (F.col("target_end") < F.lit(edges[f"e{k}"])))
+        assert train.count() < folded.where(F.col("fold") < k).count()
+        direct = linear.fit(train, V1, TARGET).first()
+        for name in [f"b{i}" for i in range(4)] + ["intercept"]:
+            assert abs(wf[k][name] - direct[name]) <= 1e-9 * (1 + abs(direct[name]))
+        assert wf[k]["b0"] != plain[k]["b0"]

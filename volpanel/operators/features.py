@@ -63,15 +63,22 @@ def add_target(df: DataFrame, horizon: int = HORIZON, key: str = "ticker", order
     return df.withColumn(TARGET, F.lead(f"vol_{horizon}", horizon).over(by_ticker(key, order)))
 
 
-def add_features(prices: DataFrame, method: str = "sumsq", horizon: int = HORIZON) -> DataFrame:
+def add_features(prices: DataFrame, method: str = "sumsq", horizon: int = HORIZON, target_end: bool = False) -> DataFrame:
     """``features``: date, ticker, close, ret, vol_5, vol_10, vol_30, target_vol_fwd.
 
     One row per input row (warm-up and tail rows keep NULLs).  ``method`` picks the
-    variance form: ``sumsq`` (window sums) or ``std`` (``stddev_samp``).
+    variance form: ``sumsq`` (window sums) or ``std`` (``stddev_samp``).  With
+    ``target_end`` a column ``target_end`` holds the date of the last bar the target
+    looks at (``lead(date, h)``), used to purge training rows whose target overlaps a
+    test period.
     """
     base = prices.select("date", "ticker", "close")
     out = add_target(add_vols(add_return(base), method), horizon)
-    return out.select("date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30", TARGET)
+    cols = ["date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30", TARGET]
+    if target_end:
+        out = out.withColumn("target_end", F.lead("date", horizon).over(by_ticker()))
+        cols.append("target_end")
+    return out.select(*cols)
 
 
 def clean_v1(features: DataFrame) -> DataFrame:

@@ -97,10 +97,20 @@ def fit(df: DataFrame, feats: list[str], y: str, by: list[str] | None = None) ->
     return solve(g, len(feats), by or ["_all"])
 
 
-def fit_walk_forward(folded: DataFrame, feats: list[str], y: str, include_first: bool = False) -> DataFrame:
-    """Coefficients for each test fold k, trained on folds < k (fold 0 in-sample if asked)."""
+def fit_walk_forward(folded: DataFrame, feats: list[str], y: str, include_first: bool = False, purge: bool = False) -> DataFrame:
+    """Coefficients for each test fold k, trained on folds < k (fold 0 in-sample if asked).
+
+    With ``purge`` the statistics are grouped by ``train_fold`` (the fold in which a
+    row's target ends), so rows whose target overlaps fold k do not train its model.
+    """
     p = len(feats)
-    g = gram(folded, feats, y, ["fold"])
+    if purge:
+        g = gram(folded.withColumn("fold", F.col("train_fold")), feats, y, ["fold"])
+        # every test fold needs a row even if no target ends inside it
+        folds = folded.select("fold").distinct()
+        g = folds.join(g, "fold", "left").na.fill(0.0, subset=stat_names(p))
+    else:
+        g = gram(folded, feats, y, ["fold"])
     return solve(expanding(g, p, "fold", include_first), p, ["fold"])
 
 

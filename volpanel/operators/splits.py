@@ -104,12 +104,21 @@ def fold_expr(n_folds: int = N_FOLDS, col: str = "date") -> Column:
     return total.cast("int")
 
 
-def assign_folds(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:
-    """Adds ``fold`` (0 … n−1) to every row; one broadcast row of edges, no panel shuffle."""
+def assign_folds(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date", purge_col: str | None = None) -> DataFrame:
+    """Adds ``fold`` (0 … n−1) to every row; one broadcast row of edges, no panel shuffle.
+
+    With ``purge_col`` (e.g. ``target_end``) a second column ``train_fold`` holds the
+    fold of that date: a row may train a model for test fold k only if its target ends
+    before fold k starts (``train_fold < k``).
+    """
     df = reuse(df)
     edges = fold_edges(df, n_folds, col)
-    j = df.crossJoin(F.broadcast(edges))
-    return j.where(F.col("_ok")).select(*df.columns, fold_expr(n_folds, col).alias("fold"))
+    j = df.crossJoin(F.broadcast(edges)).where(F.col("_ok"))
+    extra = []
+    if purge_col:
+        # a target that runs past the last date belongs to no test fold: treat it as the last fold
+        extra = [F.when(F.col(purge_col).isNull(), F.lit(n_folds - 1)).otherwise(fold_expr(n_folds, purge_col)).alias("train_fold")]
+    return j.select(*df.columns, fold_expr(n_folds, col).alias("fold"), *extra)
 
 
 def fold_calendar(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:

@@ -28,18 +28,22 @@ def naive_walk_forward(folded: DataFrame) -> DataFrame:
     return metrics.metrics(scored, TARGET, "pred", ["fold"])
 
 
-def linear_walk_forward(folded: DataFrame, feats: list[str] = V1, include_first: bool = False) -> DataFrame:
+def linear_walk_forward(folded: DataFrame, feats: list[str] = V1, include_first: bool = False, purge: bool = False) -> DataFrame:
     """Rows of the scored folds with ``pred`` from a model fitted on earlier folds.
 
     ``include_first`` also scores fold 0 with its own in-sample fit (dashboard).
+    ``purge`` drops training rows whose target window reaches into the test fold
+    (needs ``train_fold`` from ``assign_folds(..., purge_col="target_end")``); by
+    default, as in the source, the last rows before a test fold keep their overlapping
+    targets.
     """
-    coefs = linear.fit_walk_forward(folded, feats, TARGET, include_first)
+    coefs = linear.fit_walk_forward(folded, feats, TARGET, include_first, purge)
     return linear.predict(folded, coefs, feats, ["fold"])
 
 
-def walk_forward_metrics(folded: DataFrame, feats: list[str] = V1) -> DataFrame:
+def walk_forward_metrics(folded: DataFrame, feats: list[str] = V1, purge: bool = False) -> DataFrame:
     """Per out-of-sample fold: rows, RMSE, MAE, R² of the walk-forward linear model."""
-    return metrics.metrics(linear_walk_forward(folded, feats), TARGET, "pred", ["fold"])
+    return metrics.metrics(linear_walk_forward(folded, feats, purge=purge), TARGET, "pred", ["fold"])
 
 
 def linear_board(folded: DataFrame, sets: dict[str, list[str]]) -> DataFrame:

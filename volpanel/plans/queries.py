@@ -124,6 +124,13 @@ def q_walk_forward_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.walk_forward_metrics(folded, V1), METRIC_COLS)
 
 
+def q_walk_forward_linear_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walk-forward linear v1 without the rows whose 5-day target overlaps the test fold."""
+    f = feat.clean_v1(feat.add_features(panels.supplier_day(spark, sf_dir), target_end=True))
+    folded = splits.assign_folds(f, purge_col="target_end")
+    return rounded(evaluate.walk_forward_metrics(folded, V1, purge=True), METRIC_COLS)
+
+
 def q_walk_forward_linear_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = splits.assign_folds(v2_panel(spark, sf_dir))
     return rounded(evaluate.walk_forward_metrics(folded, V2), METRIC_COLS)
@@ -298,6 +305,7 @@ REGISTRY = {
     "fold_profile": q_fold_profile,
     "naive_walk_forward": q_naive_walk_forward,
     "walk_forward_linear": q_walk_forward_linear,
+    "walk_forward_linear_purged": q_walk_forward_linear_purged,
     "walk_forward_linear_v2": q_walk_forward_linear_v2,
     "walk_forward_board": q_walk_forward_board,
     "walk_forward_predictions": q_walk_forward_predictions,
