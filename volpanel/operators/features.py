@@ -101,12 +101,12 @@ def parkinson_term() -> Column:
     return F.pow(lr, F.lit(2.0)) / F.lit(4.0 * math.log(2.0))
 
 
-def add_features_v2(prices: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def add_features_v2(prices: DataFrame, horizon: int = HORIZON, clean: bool = True) -> DataFrame:
     """``features_v2``: v1 features with ``stddev_samp`` volatility, plus range and volume.
 
     range_hl = (H − L)/C; range_5 = 5-row mean of range_hl; parkinson_5 =
     sqrt(5-row mean of ln(H/L)²/(4 ln 2)); vol_ratio = volume / its 20-row mean.
-    Rows with a NULL/NaN in any output column are dropped.
+    Rows with a NULL/NaN in any output column are dropped (unless ``clean=False``).
     """
     df = add_return(prices.select("date", "ticker", "close", "high", "low", "volume"))
     df = df.select(
@@ -128,4 +128,4 @@ def add_features_v2(prices: DataFrame, horizon: int = HORIZON) -> DataFrame:
         "date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30",
         "range_hl", "range_5", "parkinson_5", "vol_ratio", TARGET,
     ]
-    return clean_any(df.select(*cols), cols)
+    return clean_any(df.select(*cols), cols) if clean else df.select(*cols)

@@ -70,6 +70,40 @@ def q_features_v2_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feat.add_features_v2(panels.flag_day(spark, sf_dir)), R6_V2)
 
 
+def q_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = feat.add_return(panels.supplier_day(spark, sf_dir).select("date", "ticker", "close"))
+    return rounded(r, ["ret"])
+
+
+def q_rolling_vol_sumsq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = feat.add_features(panels.supplier_day(spark, sf_dir), method="sumsq")
+    return rounded(f.select("date", "ticker", "vol_5", "vol_10", "vol_30"), ["vol_5", "vol_10", "vol_30"])
+
+
+def q_forward_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = feat.add_features(panels.supplier_day(spark, sf_dir))
+    return rounded(f.select("date", "ticker", "vol_5", TARGET), ["vol_5", TARGET])
+
+
+def _v2_raw(spark: SparkSession, sf_dir: str, panel) -> DataFrame:
+    return feat.add_features_v2(panel(spark, sf_dir), clean=False)
+
+
+def q_range_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _v2_raw(spark, sf_dir, panels.flag_day)
+    return rounded(v.select("date", "ticker", "range_hl", "range_5"), ["range_hl", "range_5"])
+
+
+def q_parkinson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _v2_raw(spark, sf_dir, panels.flag_day)
+    return rounded(v.select("date", "ticker", "parkinson_5"), ["parkinson_5"])
+
+
+def q_volume_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _v2_raw(spark, sf_dir, panels.supplier_day)
+    return v.select("date", "ticker", "vol_ratio")
+
+
 def q_market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = panels.market_day(spark, sf_dir)
     return rounded(market.market_features(m), ["vix_5", "vix_chg"])
@@ -157,6 +191,12 @@ def q_documented_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.documented_metrics(clean_panel(spark, sf_dir)).drop("fold_RMSEs")
 
 
+def q_naive_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive forecast on the test rows of the single 80/20 split: rows, RMSE, MAE, R²."""
+    s = splits.split_two(clean_panel(spark, sf_dir)).where(F.col("set") == "test")
+    return rounded(metrics_mod.metrics(evaluate.naive(s), TARGET, "pred"), METRIC_COLS)
+
+
 def q_split_two_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.split_two_scored(clean_panel(spark, sf_dir)), METRIC_COLS)
 
@@ -294,6 +334,12 @@ REGISTRY = {
     "features": q_features,
     "features_v2": q_features_v2,
     "features_v2_flag": q_features_v2_flag,
+    "returns": q_returns,
+    "rolling_vol_sumsq": q_rolling_vol_sumsq,
+    "forward_target": q_forward_target,
+    "range_features": q_range_features,
+    "parkinson": q_parkinson,
+    "volume_ratio": q_volume_ratio,
     "market_features": q_market_features,
     "features_v3_calendar": _v3("calendar"),
     "features_v3_ticker": _v3("ticker"),
@@ -310,6 +356,7 @@ REGISTRY = {
     "walk_forward_board": q_walk_forward_board,
     "walk_forward_predictions": q_walk_forward_predictions,
     "documented_metrics": q_documented_metrics,
+    "naive_metrics": q_naive_metrics,
     "split_two_metrics": q_split_two_metrics,
     "dashboard": q_dashboard,
     "dashboard_mae": q_dashboard_mae,
