@@ -290,6 +290,22 @@ def q_garch_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return garch.garch_fit(train)
 
 
+def q_score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request scoring of ``score_requests`` run as a Structured Streaming query."""
+    from volpanel.streaming.scoring import score_through_stream
+
+    features = reuse(feat.add_features(panels.supplier_day(spark, sf_dir)))
+    # date and ticker ride along in the request (extra keys are ignored by the scorer)
+    req = features.select(F.to_json(F.struct("date", "ticker", *[F.col(f) for f in V1])).alias("request"))
+    model = serve.model_row(linear.fit(feat.clean_v1(features), V1, TARGET), V1)
+    out = score_through_stream(req, model)
+    return out.select(
+        F.get_json_object("request", "$.date").cast("date").alias("date"),
+        F.get_json_object("request", "$.ticker").alias("ticker"),
+        "statusCode", "pred_daily_vol", "pred_annual_pct", "error",
+    )
+
+
 # ---- profiles -----------------------------------------------------------------
 
 def q_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,6 +379,7 @@ REGISTRY = {
     "latest_flag": q_latest_flag,
     "forecast_latest": q_forecast_latest,
     "score_requests": q_score_requests,
+    "score_requests_stream": q_score_requests_stream,
     "garch_grid": q_garch_grid,
     "garch_split_metrics": q_garch_split_metrics,
     "garch_forecast": q_garch_forecast,

@@ -54,3 +54,24 @@ def start_scoring(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def score_through_stream(requests: DataFrame, model: DataFrame, workdir: str | None = None) -> DataFrame:
+    """Run request lines through the streaming query and return the sink's contents.
+
+    ``requests`` holds a ``request`` column of JSON text.  The lines are written under
+    ``workdir`` (default: the shared folder named by ``spark.checkpoint.dir``), scored by
+    an ``availableNow`` stream with its own checkpoint, and the Parquet sink is read back.
+    """
+    import uuid
+
+    from volpanel.session import ensure_checkpoint_dir
+
+    spark = requests.sparkSession
+    base = (workdir or ensure_checkpoint_dir(spark)).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    requests.select("request").write.mode("overwrite").text(f"{base}/requests")
+    q = start_scoring(spark, f"{base}/requests", model, f"{base}/responses", f"{base}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"scoring stream failed: {q.exception()}")
+    return spark.read.parquet(f"{base}/responses")
