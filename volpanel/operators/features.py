@@ -17,26 +17,27 @@ from volpanel.functions.scalar import ratio
 from volpanel.schemas import HORIZON, RANGE_WINDOW, TARGET, VOL_WINDOWS, VOLUME_WINDOW
 
 
-def by_ticker(key: str = "ticker", order: str = "date"):
-    return Window.partitionBy(key).orderBy(order)
+def by_ticker(key: str | list[str] = "ticker", order: str = "date"):
+    keys = [key] if isinstance(key, str) else list(key)
+    return Window.partitionBy(*keys).orderBy(order)
 
 
-def trailing(n: int, key: str = "ticker", order: str = "date"):
+def trailing(n: int, key="ticker", order: str = "date"):
     return by_ticker(key, order).rowsBetween(-(n - 1), Window.currentRow)
 
 
-def full_window(expr: Column, c: Column, n: int, key: str = "ticker", order: str = "date") -> Column:
+def full_window(expr: Column, c: Column, n: int, key="ticker", order: str = "date") -> Column:
     """``expr`` only where the trailing n-row frame holds n non-null values of ``c``."""
     return F.when(F.count(c).over(trailing(n, key, order)) == n, expr)
 
 
-def add_return(df: DataFrame, price: str = "close", out: str = "ret", key: str = "ticker", order: str = "date") -> DataFrame:
+def add_return(df: DataFrame, price: str = "close", out: str = "ret", key="ticker", order: str = "date") -> DataFrame:
     """One-row simple return; a zero or missing previous price gives NULL, not an error."""
     prev = F.lag(price).over(by_ticker(key, order))
     return df.withColumn(out, ratio(F.col(price), prev) - F.lit(1.0))
 
 
-def rolling_vol_sumsq(c: Column, n: int, key: str = "ticker", order: str = "date") -> Column:
+def rolling_vol_sumsq(c: Column, n: int, key="ticker", order: str = "date") -> Column:
     """Sample std from window sums: sqrt(max(0, (Σx² − (Σx)²/n) / (n−1)))."""
     w = trailing(n, key, order)
     s = F.sum(c).over(w)
@@ -44,21 +45,21 @@ def rolling_vol_sumsq(c: Column, n: int, key: str = "ticker", order: str = "date
     return full_window(F.sqrt(F.greatest(F.lit(0.0), var)), c, n, key, order)
 
 
-def rolling_vol(c: Column, n: int, key: str = "ticker", order: str = "date") -> Column:
+def rolling_vol(c: Column, n: int, key="ticker", order: str = "date") -> Column:
     """Sample std (ddof 1) over the trailing n rows, full windows only."""
     return full_window(F.stddev_samp(c).over(trailing(n, key, order)), c, n, key, order)
 
 
-def rolling_mean(c: Column, n: int, key: str = "ticker", order: str = "date") -> Column:
+def rolling_mean(c: Column, n: int, key="ticker", order: str = "date") -> Column:
     return full_window(F.avg(c).over(trailing(n, key, order)), c, n, key, order)
 
 
-def add_vols(df: DataFrame, method: str = "sumsq", windows=VOL_WINDOWS, key: str = "ticker", order: str = "date") -> DataFrame:
+def add_vols(df: DataFrame, method: str = "sumsq", windows=VOL_WINDOWS, key="ticker", order: str = "date") -> DataFrame:
     fn = rolling_vol_sumsq if method == "sumsq" else rolling_vol
     return df.select("*", *[fn(F.col("ret"), n, key, order).alias(f"vol_{n}") for n in windows])
 
 
-def add_target(df: DataFrame, horizon: int = HORIZON, key: str = "ticker", order: str = "date") -> DataFrame:
+def add_target(df: DataFrame, horizon: int = HORIZON, key="ticker", order: str = "date") -> DataFrame:
     """Forward target: the ``vol_h`` of the row ``h`` rows ahead (the next h returns)."""
     return df.withColumn(TARGET, F.lead(f"vol_{horizon}", horizon).over(by_ticker(key, order)))
 
@@ -129,3 +130,54 @@ def add_features_v2(prices: DataFrame, horizon: int = HORIZON, clean: bool = Tru
         "range_hl", "range_5", "parkinson_5", "vol_ratio", TARGET,
     ]
     return clean_any(df.select(*cols), cols) if clean else df.select(*cols)
+
+
+# ---- skew-safe form for long per-ticker series (tick data) ------------------------
+
+def sequence_numbers(df: DataFrame, key: str = "ticker", order: str = "date", n_parts: int | None = None) -> DataFrame:
+    """Adds ``seq``: the 0-based position of each row in its key's ``order`` (keys unique).
+
+    No window over a whole key: rows are range-partitioned on (key, order) — a hot key
+    is split across many partitions at sampled boundaries — and numbered inside each
+    sorted partition; a small table of per-(key, partition) counts (at most
+    #keys + #partitions rows) gives each piece its offset.
+    """
+    from volpanel.session import cpu_partitions, reuse
+
+    n = n_parts or cpu_partitions(df)
+    r = df.repartitionByRange(n, key, order).sortWithinPartitions(key, order)
+    r = reuse(r.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_id")))
+    part = r.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"))
+    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select(key, "_pid", "_id0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    return r.join(part, [key, "_pid"]).select(*df.columns, (F.col("_off") + F.col("_id") - F.col("_id0")).alias("seq"))
+
+
+HALO_BACK = max(VOL_WINDOWS)  # a row's 30-return window reaches 30 closes back
+HALO_AHEAD = HORIZON  # its target reaches 5 closes ahead
+
+
+def add_features_blocked(
+    prices: DataFrame, rows_per_block: int = 100_000, method: str = "sumsq", horizon: int = HORIZON, n_parts: int | None = None
+) -> DataFrame:
+    """``add_features`` with every window group bounded by ``rows_per_block`` + halo.
+
+    Each key's rows are cut into blocks of ``rows_per_block`` consecutive rows (by
+    ``seq``); a block also receives the 30 rows before it and the 5 rows after it, the
+    windows run per (key, block), and only the block's own rows are kept — the same
+    values as the unblocked windows, without sending a hot key to one task.
+    """
+    if rows_per_block < HALO_BACK + HALO_AHEAD + 1:
+        raise ValueError("rows_per_block must exceed the halo")
+    seq = sequence_numbers(prices.select("date", "ticker", "close"), "ticker", "date", n_parts)
+    r = F.lit(rows_per_block)
+    blk = F.floor(F.col("seq") / r)
+    pos = F.col("seq") - blk * r
+    serves = F.array_compact(
+        F.array(blk, F.when(pos >= r - HALO_BACK, blk + 1), F.when((pos < HALO_AHEAD) & (blk > 0), blk - 1))
+    )
+    rows = seq.select("*", blk.alias("_own"), F.explode(serves).alias("_blk"))
+    keys = ["ticker", "_blk"]
+    out = add_target(add_vols(add_return(rows, key=keys, order="seq"), method, key=keys, order="seq"), horizon, key=keys, order="seq")
+    out = out.where(F.col("_blk") == F.col("_own"))
+    return out.select("date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30", TARGET)

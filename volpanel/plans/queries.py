@@ -104,6 +104,12 @@ def q_volume_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("date", "ticker", "vol_ratio")
 
 
+def q_tick_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v1 features on the tick panel (one close per event), in the skew-safe blocked form."""
+    f = feat.add_features_blocked(panels.user_ticks(spark, sf_dir))
+    return rounded(f, R6_V1)
+
+
 def q_market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = panels.market_day(spark, sf_dir)
     return rounded(market.market_features(m), ["vix_5", "vix_chg"])
@@ -356,6 +362,7 @@ REGISTRY = {
     "range_features": q_range_features,
     "parkinson": q_parkinson,
     "volume_ratio": q_volume_ratio,
+    "tick_features": q_tick_features,
     "market_features": q_market_features,
     "features_v3_calendar": _v3("calendar"),
     "features_v3_ticker": _v3("ticker"),
