@@ -20,7 +20,9 @@ from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
 from volpanel.session import reuse
 from volpanel.sources import files, panels
 
-R6_V1 = ["ret", "vol_5", "vol_10", "vol_30", "target_vol_fwd"]
+# ret is left unrounded: it is one IEEE division in both engines (bit-identical), and a
+# quotient of short decimals can be an exact rounding tie (H7)
+R6_V1 = ["vol_5", "vol_10", "vol_30", "target_vol_fwd"]
 R6_V2 = R6_V1 + ["range_hl", "range_5", "parkinson_5"]
 R6_V3 = R6_V2 + ["vix_5", "vix_chg"]
 METRIC_COLS = ["RMSE", "MAE", "R2"]
@@ -71,8 +73,7 @@ def q_features_v2_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = feat.add_return(panels.supplier_day(spark, sf_dir).select("date", "ticker", "close"))
-    return rounded(r, ["ret"])
+    return feat.add_return(panels.supplier_day(spark, sf_dir).select("date", "ticker", "close"))
 
 
 def q_rolling_vol_sumsq(spark: SparkSession, sf_dir: str) -> DataFrame:
