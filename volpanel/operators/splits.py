@@ -3,7 +3,7 @@
 Everything that needs a global order works on the *distinct dates* (bounded by the
 calendar span), never on panel rows: they are gathered into one sorted array by a
 partial + final aggregate, and the result goes back to the panel as a one-row table of
-edge dates, which is broadcast (one row is a proven bound) and compared
+edge dates, attached as a scalar subquery (computed once, no join) and compared
 against each row's date, so the panel itself is never re-shuffled for a split.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from volpanel.schemas import N_FOLDS, SPLIT_THREE, TEST_FRAC
 from volpanel.session import reuse
+from volpanel.functions.rows import with_row
 
 
 def floor_index(n: Column, q: float) -> Column:
@@ -54,7 +55,7 @@ def split_two(df: DataFrame, test_frac: float = TEST_FRAC, col: str = "date") ->
     """Adds ``set`` = train (date < cutoff) / test (date ≥ cutoff); cutoff at 1 − test_frac."""
     df = reuse(df)
     cut = cutoff_dates(df, [1.0 - test_frac], col)
-    return df.crossJoin(F.broadcast(cut)).select(
+    return with_row(df, cut).select(
         *df.columns,
         F.when(F.col(col) < F.col("c0"), F.lit("train")).otherwise(F.lit("test")).alias("set"),
         F.col("c0").alias("cutoff"),
@@ -65,7 +66,7 @@ def split_three(df: DataFrame, qs: tuple[float, float] = SPLIT_THREE, col: str =
     """Adds ``set`` = train / val / test on half-open ranges [.., d1) [d1, d2) [d2, ..)."""
     df = reuse(df)
     cut = cutoff_dates(df, list(qs), col)
-    return df.crossJoin(F.broadcast(cut)).select(
+    return with_row(df, cut).select(
         *df.columns,
         F.when(F.col(col) < F.col("c0"), F.lit("train"))
         .when(F.col(col) < F.col("c1"), F.lit("val"))
@@ -105,7 +106,7 @@ def fold_expr(n_folds: int = N_FOLDS, col: str = "date") -> Column:
 
 
 def assign_folds(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date", purge_col: str | None = None) -> DataFrame:
-    """Adds ``fold`` (0 … n−1) to every row; one broadcast row of edges, no panel shuffle.
+    """Adds ``fold`` (0 … n−1) to every row; one row of edges as a scalar subquery, no panel shuffle.
 
     With ``purge_col`` (e.g. ``target_end``) a second column ``train_fold`` holds the
     fold of that date: a row may train a model for test fold k only if its target ends
@@ -113,7 +114,7 @@ def assign_folds(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date", purge
     """
     df = reuse(df)
     edges = fold_edges(df, n_folds, col)
-    j = df.crossJoin(F.broadcast(edges)).where(F.col("_ok"))
+    j = with_row(df, edges).where(F.col("_ok"))
     extra = []
     if purge_col:
         # a target that runs past the last date belongs to no test fold: treat it as the last fold

@@ -15,6 +15,7 @@ from volpanel.operators import linear, metrics
 from volpanel.operators.splits import assign_folds, cutoff_dates, label_set
 from volpanel.schemas import BASELINE, N_FOLDS, TARGET, V1
 from volpanel.session import reuse, stable
+from volpanel.functions.rows import with_row
 
 
 def naive(df: DataFrame, out: str = "pred") -> DataFrame:
@@ -96,7 +97,7 @@ def walk_forward_predictions(clean: DataFrame, feats: list[str] = V1, n_folds: i
 def split_two_scored(df: DataFrame, feats: list[str] = V1, test_frac: float = 0.20) -> DataFrame:
     """Single chronological split: naive and linear metrics on the test rows."""
     cut = cutoff_dates(df, [1.0 - test_frac])
-    j = df.crossJoin(F.broadcast(cut)).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
+    j = with_row(df, cut).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
     coefs = linear.fit(j.where("is_train"), feats, TARGET)
     test = j.where(~F.col("is_train"))
     lin = linear.predict(test.withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
@@ -137,7 +138,7 @@ def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: li
 
 def _split_frames(df: DataFrame, qs: list[float]):
     cut = cutoff_dates(df, qs)
-    return df.crossJoin(F.broadcast(cut))
+    return with_row(df, cut)
 
 
 def benchmark_split(clean: DataFrame, feats: list[str] = V1, test_frac: float = 0.20, log_target: bool = False) -> DataFrame:

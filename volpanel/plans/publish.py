@@ -11,6 +11,7 @@ from volpanel.operators import linear
 from volpanel.plans.evaluate import walk_forward_predictions
 from volpanel.schemas import MIN_CLOSES, N_FOLDS, TARGET, V1
 from volpanel.sources.files import fmt_date, lookback
+from volpanel.functions.rows import with_row
 
 
 def flag_latest(df: DataFrame, key: str = "ticker", col: str = "date") -> DataFrame:
@@ -92,7 +93,7 @@ def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int
     f = feat.clean_any(f, V1)
     latest = f.groupBy("ticker").agg(F.max_by(F.struct(*V1), F.col("date")).alias("x")).select("ticker", "x.*")
     m = model.select("coef", "intercept", F.coalesce(F.col("log_space"), F.lit(False)).alias("log_space"))
-    scored = latest.crossJoin(F.broadcast(m))
+    scored = with_row(latest, m)
     raw = linear.score_with(scored, m, V1, "raw")
     scored = scored.select("ticker", "vol_5", F.when(F.col("log_space"), F.exp(raw)).otherwise(raw).alias("pred"))
     out = scored.join(last_close, "ticker").select(

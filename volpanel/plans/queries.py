@@ -19,6 +19,7 @@ from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
 from volpanel.session import reuse
 from volpanel.sources import files, panels
+from volpanel.functions.rows import with_row
 
 # ret is left unrounded: it is one IEEE division in both engines (bit-identical), and a
 # quotient of short decimals can be an exact rounding tie (H7)
@@ -270,7 +271,7 @@ def q_benchmark_split_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _garch_split(spark: SparkSession, sf_dir: str):
     clean = clean_panel(spark, sf_dir)
     cut = splits.cutoff_dates(clean, [1.0 - 0.2])
-    j = clean.crossJoin(F.broadcast(cut)).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
+    j = with_row(clean, cut).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
     return j.where("is_train"), j.where(~F.col("is_train"))
 
 

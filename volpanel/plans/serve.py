@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from volpanel.functions.scalar import annualise, dot, to_double
 from volpanel.schemas import HORIZON, LINEAR_MODEL
+from volpanel.functions.rows import with_row
 
 STR_MAP = T.MapType(T.StringType(), T.StringType())
 
@@ -31,7 +32,7 @@ def model_row(coefs: DataFrame, feats: list[str], metrics: DataFrame | None = No
         F.lit(log_space).alias("log_space"),
     )
     if metrics is not None:
-        row = row.crossJoin(F.broadcast(metrics.select(F.struct(*metrics.columns).alias("documented_metrics"))))
+        row = with_row(row, metrics.select(F.struct(*metrics.columns).alias("documented_metrics")))
     else:
         row = row.withColumn("documented_metrics", F.lit(None).cast(LINEAR_MODEL["documented_metrics"].dataType))
     return row
@@ -74,7 +75,7 @@ def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "re
         F.col("intercept").alias("_mi"),
         F.coalesce(F.col("log_space"), F.lit(False)).alias("_ml"),
     )
-    j = requests.crossJoin(F.broadcast(m))
+    j = with_row(requests, m)
     feats = unwrap_request(F.col(request_col))
     j = j.withColumn("_f", feats)
     missing = F.filter(F.col("_mf"), lambda f: ~F.coalesce(F.map_contains_key(F.col("_f"), f), F.lit(False)))
