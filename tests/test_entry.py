@@ -9,7 +9,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-ROWS_ONLY = {"garch_forecast", "walk_forward_forest", "walk_forward_gbt", "select_on_validation", "benchmark_split", "benchmark_split_log"}
+ROWS_ONLY = {
+    "garch_forecast", "walk_forward_forest", "walk_forward_gbt", "select_on_validation", "select_on_validation_v2",
+    "benchmark_split", "benchmark_split_log",
+}
 
 
 def test_entry_smoke(spark):

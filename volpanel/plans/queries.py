@@ -258,6 +258,12 @@ def q_select_on_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.select_on_validation(v3_panel(spark, sf_dir), FEATURE_SETS, ["Linear", "RF depth=4", "RF depth=8"])
 
 
+def q_select_on_validation_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first selection run: features_v2 with the original and enriched sets."""
+    sets = {"v1 (original)": V1, "v2 (enriched)": V2}
+    return evaluate.select_on_validation(v2_panel(spark, sf_dir), sets, ["Linear", "RF depth=4", "RF depth=8"])
+
+
 def q_benchmark_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.benchmark_split(clean_panel(spark, sf_dir))
 
@@ -395,6 +401,7 @@ REGISTRY = {
     "walk_forward_forest": q_walk_forward_forest,
     "walk_forward_gbt": q_walk_forward_gbt,
     "select_on_validation": q_select_on_validation,
+    "select_on_validation_v2": q_select_on_validation_v2,
     "benchmark_split": q_benchmark_split,
     "benchmark_split_log": q_benchmark_split_log,
     "profile": q_profile,
