@@ -135,3 +135,35 @@ def coef_arrays(coefs: DataFrame, feats: list[str], keep: list[str]) -> DataFram
 def score_with(df: DataFrame, model: DataFrame, feats: list[str], out: str = "pred") -> Column:
     """Positional dot product against a model row carrying ``coef`` / ``intercept`` arrays."""
     return dot(F.col("coef"), F.array(*[F.col(f) for f in feats]), F.col("intercept")).alias(out)
+
+
+def sub_stats(g: DataFrame, feats: list[str], subset: list[str], keep: list[str]) -> DataFrame:
+    """The sufficient statistics of a feature subset, read off a superset's statistics."""
+    idx = [feats.index(f) for f in subset]
+    cols = [F.col("n"), F.col("sy")]
+    cols += [F.col(f"s{a}").alias(f"s{i}") for i, a in enumerate(idx)]
+    for i, j in _pairs(len(idx)):
+        a, b = sorted((idx[i], idx[j]))
+        cols.append(F.col(f"s{a}_{b}").alias(f"s{i}_{j}"))
+    cols += [F.col(f"s{a}y").alias(f"s{i}y") for i, a in enumerate(idx)]
+    return g.select(*keep, *cols)
+
+
+def fit_walk_forward_sets(folded: DataFrame, sets: dict[str, list[str]], y: str) -> DataFrame:
+    """Walk-forward coefficients of several feature sets from ONE statistics pass.
+
+    The statistics are gathered once over the union of the sets (a set's statistics
+    are a sub-block of the union's); each set is solved on the few fold rows.  Returns
+    one row per test fold with ``c{t}_b{i}`` / ``c{t}_intercept`` for set number t.
+    """
+    union: list[str] = []
+    for feats in sets.values():
+        union += [f for f in feats if f not in union]
+    g = gram(folded, union, y, ["fold"])
+    out = None
+    for t, feats in enumerate(sets.values()):
+        p = len(feats)
+        c = solve(expanding(sub_stats(g, union, feats, ["fold"]), p, "fold"), p, ["fold"])
+        c = c.select("fold", *[F.col(f"b{i}").alias(f"c{t}_b{i}") for i in range(p)], F.col("intercept").alias(f"c{t}_intercept"))
+        out = c if out is None else out.join(c, "fold")
+    return out

@@ -47,16 +47,34 @@ def walk_forward_metrics(folded: DataFrame, feats: list[str] = V1, purge: bool =
     return metrics.metrics(linear_walk_forward(folded, feats, purge=purge), TARGET, "pred", ["fold"])
 
 
-def linear_board(folded: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
-    """Scoreboard rows (features, model, mean_RMSE, std_RMSE, fold_RMSEs) for linear candidates."""
-    boards = []
-    for name, feats in sets.items():
-        per_fold = walk_forward_metrics(folded, feats).withColumn("features", F.lit(name)).withColumn("model", F.lit("Linear"))
-        boards.append(metrics.summarise_folds(per_fold, ["features", "model"]))
-    out = boards[0]
-    for b in boards[1:]:
-        out = out.unionByName(b)
-    return out
+def linear_board(folded: DataFrame, sets: dict[str, list[str]], with_naive: bool = False) -> DataFrame:
+    """Scoreboard rows (features, model, mean_RMSE, std_RMSE, fold_RMSEs) for linear candidates.
+
+    All candidates share one statistics pass over the union of their features, one
+    broadcast of the coefficient rows (one per fold), one projection holding every
+    candidate's prediction and one error aggregation per fold, which also scores the
+    naive forecast when asked.
+    """
+    from volpanel.functions.scalar import dot
+
+    coefs = linear.fit_walk_forward_sets(folded, sets, TARGET)
+    scored = folded.join(F.broadcast(coefs), "fold")
+    y = F.col(TARGET)
+    errs, rows = [], []
+    for t, (name, feats) in enumerate(sets.items()):
+        pred = dot([F.col(f"c{t}_b{i}") for i in range(len(feats))], [F.col(f) for f in feats], F.col(f"c{t}_intercept"))
+        errs.append(F.sqrt(F.avg((pred - y) * (pred - y))).alias(f"r{t}"))
+        rows.append((name, "Linear", f"r{t}"))
+    if with_naive:
+        base = F.col(BASELINE)
+        errs.append(F.sqrt(F.avg((base - y) * (base - y))).alias("r_naive"))
+        rows.append((BASELINE, "Naive", "r_naive"))
+    per_fold = scored.groupBy("fold").agg(*errs)
+    stacked = per_fold.select(
+        "fold",
+        F.inline(F.array(*[F.struct(F.lit(f).alias("features"), F.lit(m).alias("model"), F.col(c).alias("RMSE")) for f, m, c in rows])),
+    )
+    return metrics.summarise_folds(stacked, ["features", "model"])
 
 
 def documented_metrics(clean: DataFrame, feats: list[str] = V1, n_folds: int = N_FOLDS) -> DataFrame:

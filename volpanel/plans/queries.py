@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from volpanel.operators import features as feat
 from volpanel.operators import garch, linear, market, splits
 from volpanel.operators import metrics as metrics_mod
-from volpanel.operators.metrics import summarise_folds
 from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
 from volpanel.session import reuse
@@ -180,14 +179,9 @@ def q_walk_forward_linear_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_walk_forward_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear candidates on v1/v2/v3 over ``features_v3`` + the naive row: mean and std of fold RMSE."""
-    folded = splits.assign_folds(v3_panel(spark, sf_dir)).cache()
-    board = evaluate.linear_board(folded, FEATURE_SETS)
-    base = summarise_folds(
-        evaluate.naive_walk_forward(folded).withColumn("features", F.lit("vol_5")).withColumn("model", F.lit("Naive")),
-        ["features", "model"],
-    )
-    out = board.unionByName(base).drop("fold_RMSEs")
-    return rounded(out, ["mean_RMSE", "std_RMSE"])
+    folded = splits.assign_folds(v3_panel(spark, sf_dir))
+    board = evaluate.linear_board(folded, FEATURE_SETS, with_naive=True).drop("fold_RMSEs")
+    return rounded(board, ["mean_RMSE", "std_RMSE"])
 
 
 def q_walk_forward_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
