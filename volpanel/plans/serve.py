@@ -48,18 +48,29 @@ def read_linear(spark, path: str) -> DataFrame:
     return spark.read.schema(LINEAR_MODEL).json(path)
 
 
-def unwrap_request(raw: Column) -> Column:
-    """JSON text → map of feature name → raw value text (NULL when not a JSON object)."""
-    ev = F.from_json(raw, STR_MAP)
-    has_body = F.map_contains_key(ev, "body")
-    body_txt = ev["body"]
-    body = F.when(
-        has_body,
-        F.when(body_txt.isNull() | (F.trim(body_txt) == ""), F.create_map().cast(STR_MAP)).otherwise(F.from_json(body_txt, STR_MAP)),
-    ).otherwise(ev)
-    return F.when(
-        F.map_contains_key(body, "features"), F.from_json(body["features"], STR_MAP)
-    ).otherwise(body)
+def unwrap_request(df: DataFrame, raw: str = "request", out: str = "_f") -> DataFrame:
+    """Adds ``out``: map of feature name → raw value text (NULL when not a JSON object).
+
+    Three staged projections (parse, unwrap ``body``, unwrap ``features``), so each
+    JSON parse is evaluated once per row.
+    """
+    empty = F.create_map().cast(STR_MAP)
+    df = df.withColumn("_ev", F.from_json(F.col(raw), STR_MAP))
+    body_txt = F.col("_ev")["body"]
+    df = df.withColumn(
+        "_body",
+        F.when(
+            F.map_contains_key(F.col("_ev"), "body"),
+            F.when(body_txt.isNull() | (F.trim(body_txt) == ""), empty).otherwise(F.from_json(body_txt, STR_MAP)),
+        ).otherwise(F.col("_ev")),
+    )
+    df = df.withColumn(
+        out,
+        F.when(F.map_contains_key(F.col("_body"), "features"), F.from_json(F.col("_body")["features"], STR_MAP)).otherwise(
+            F.col("_body")
+        ),
+    )
+    return df.drop("_ev", "_body")
 
 
 def _py_list(names: Column) -> Column:
@@ -75,9 +86,7 @@ def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "re
         F.col("intercept").alias("_mi"),
         F.coalesce(F.col("log_space"), F.lit(False)).alias("_ml"),
     )
-    j = with_row(requests, m)
-    feats = unwrap_request(F.col(request_col))
-    j = j.withColumn("_f", feats)
+    j = unwrap_request(with_row(requests, m), request_col, "_f")
     missing = F.filter(F.col("_mf"), lambda f: ~F.coalesce(F.map_contains_key(F.col("_f"), f), F.lit(False)))
     xs = F.transform(F.col("_mf"), lambda f: to_double(F.col("_f")[f]))
     j = j.withColumn("_miss", missing).withColumn("_x", xs)
