@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, prices_df
+from conftest import SF01, day, prices_df
 from volpanel.functions.scalar import rounded_error
 from volpanel.plans import publish, serve
 from volpanel.plans import queries as q
@@ -64,3 +64,26 @@ def test_assert_unique(spark):
     assert_unique(ok)
     with pytest.raises(ValueError, match="duplicate keys"):
         assert_unique(prices_df(spark, [(0, "A", 1.0), (0, "A", 2.0)]))
+
+
+def test_csv_round_trip_and_ordering(spark):
+    import tempfile
+
+    from volpanel.sources import files
+
+    rows = [(i, t, 100.0 + i, 101.0 + i, 99.0 + i, 1000.0 + i) for t in ("B", "A") for i in range(5)]
+    df = prices_df(spark, rows)
+    path = tempfile.mkdtemp(prefix="volpanel-csv-", dir="/tmp") + "/prices"
+    files.write_csv(files.ordered(df, within_partitions=True), path)
+    back = files.read_prices(spark, path, "csv")
+    assert [f.dataType for f in back.schema.fields] == [f.dataType for f in df.schema.fields]
+    assert back.count() == 10
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    first = files.preview(df, 2).collect()
+    assert [(r["ticker"], r["date"]) for r in first] == [("A", day(0)), ("A", day(1))]
+
+
+def test_latest_row(spark):
+    rows = [(i, t, float(10 * k + i)) for k, t in enumerate(["A", "B"]) for i in range(5)]
+    got = {r["ticker"]: r["close"] for r in publish.latest_row(prices_df(spark, rows), ["close"]).collect()}
+    assert got == {"A": 4.0, "B": 14.0}

@@ -70,6 +70,11 @@ def enough_history(prices: DataFrame, n: int = MIN_CLOSES) -> DataFrame:
     return prices.withColumn("_n", F.count("close").over(Window.partitionBy("ticker"))).where(F.col("_n") >= n).drop("_n")
 
 
+def latest_row(df: DataFrame, cols: list[str], key: str = "ticker", order: str = "date") -> DataFrame:
+    """The last row of each key (one partial + final aggregate; no sort of the key's rows)."""
+    return df.groupBy(key).agg(F.max_by(F.struct(order, *cols), F.col(order)).alias("_x")).select(key, "_x.*")
+
+
 def missing_tickers(requested: DataFrame, prices: DataFrame) -> DataFrame:
     """Requested tickers that did not arrive in the panel (anti join)."""
     return requested.join(prices.select("ticker").distinct(), "ticker", "left_anti")
@@ -91,7 +96,7 @@ def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int
     last_close = closes.groupBy("ticker").agg(F.max("date").alias("as_of"))
     f = feat.add_vols(feat.add_return(closes), method="std")
     f = feat.clean_any(f, V1)
-    latest = f.groupBy("ticker").agg(F.max_by(F.struct(*V1), F.col("date")).alias("x")).select("ticker", "x.*")
+    latest = latest_row(f, V1).drop("date")
     m = model.select("coef", "intercept", F.coalesce(F.col("log_space"), F.lit(False)).alias("log_space"))
     scored = with_row(latest, m)
     raw = linear.score_with(scored, m, V1, "raw")

@@ -102,6 +102,12 @@ def write_table(df: DataFrame, path_or_name: str, as_table: bool = False, partit
         w.parquet(path_or_name)
 
 
+def ordered(df: DataFrame, *keys: str, within_partitions: bool = False) -> DataFrame:
+    """Key order for final output (a global sort), or only inside partitions before a write."""
+    keys = keys or ("ticker", "date")
+    return df.sortWithinPartitions(*keys) if within_partitions else df.orderBy(*keys)
+
+
 def preview(df: DataFrame, n: int = 6, order: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
     """First ``n`` rows in key order (a top-n, not a full sort)."""
     return df.orderBy(*order).limit(n)
