@@ -100,7 +100,7 @@ def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float
     )
 
 
-# ---- free-ω refinement per ticker (NumPy inside applyInPandas) ---------------------
+# ---- free-ω refinement per ticker (NumPy inside mapInPandas) -----------------------
 
 def _loglik_many(r2: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, s2_0: float):
     """Log-likelihood and next variance of many (ω, α, β) candidates at once (vector recursion)."""
