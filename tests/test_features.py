@@ -113,3 +113,19 @@ def test_clean_any_drops_nan_keeps_inf(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, None), (4, 1.0)], "k int, x double")
     kept = sorted(r.k for r in feat.clean_any(df, ["x"]).collect())
     assert kept == [2, 4]
+
+
+def test_other_horizon_uses_its_own_window(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows, c = [], 100.0
+    for i in range(60):
+        c *= 1 + rnd.uniform(-0.05, 0.05)
+        rows.append((i, "H", c))
+    df = prices_df(spark, rows)
+    f7 = collect(feat.add_features(df, horizon=7))
+    v7 = collect(feat.add_vols(feat.add_return(df.select("date", "ticker", "close")), "sumsq", (7,)))
+    for t in range(len(f7) - 7):
+        assert f7[t]["target_vol_fwd"] == v7[t + 7]["vol_7"]
+    assert "vol_7" not in f7[0]

@@ -74,7 +74,9 @@ def add_features(prices: DataFrame, method: str = "sumsq", horizon: int = HORIZO
     test period.
     """
     base = prices.select("date", "ticker", "close")
-    out = add_target(add_vols(add_return(base), method), horizon)
+    # the target is the volatility of the next `horizon` returns: add that window if needed
+    windows = tuple(sorted(set(VOL_WINDOWS) | {horizon}))
+    out = add_target(add_vols(add_return(base), method, windows), horizon)
     cols = ["date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30", TARGET]
     if target_end:
         out = out.withColumn("target_end", F.lead("date", horizon).over(by_ticker()))
