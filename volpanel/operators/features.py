@@ -114,7 +114,7 @@ def add_features_v2(prices: DataFrame, horizon: int = HORIZON, clean: bool = Tru
     df = add_return(prices.select("date", "ticker", "close", "high", "low", "volume"))
     df = df.select(
         "*",
-        *[rolling_vol(F.col("ret"), n).alias(f"vol_{n}") for n in VOL_WINDOWS],
+        *[rolling_vol(F.col("ret"), n).alias(f"vol_{n}") for n in sorted(set(VOL_WINDOWS) | {horizon})],
         range_hl(df).alias("range_hl"),
         parkinson_term().alias("_park"),
     )
@@ -169,17 +169,20 @@ def add_features_blocked(
     windows run per (key, block), and only the block's own rows are kept — the same
     values as the unblocked windows, without sending a hot key to one task.
     """
-    if rows_per_block < HALO_BACK + HALO_AHEAD + 1:
+    if rows_per_block < HALO_BACK + max(HALO_AHEAD, horizon) + 1:
         raise ValueError("rows_per_block must exceed the halo")
     seq = sequence_numbers(prices.select("date", "ticker", "close"), "ticker", "date", n_parts)
     r = F.lit(rows_per_block)
     blk = F.floor(F.col("seq") / r)
     pos = F.col("seq") - blk * r
+    back, ahead = max(HALO_BACK, horizon), max(HALO_AHEAD, horizon)
     serves = F.array_compact(
-        F.array(blk, F.when(pos >= r - HALO_BACK, blk + 1), F.when((pos < HALO_AHEAD) & (blk > 0), blk - 1))
+        F.array(blk, F.when(pos >= r - back, blk + 1), F.when((pos < ahead) & (blk > 0), blk - 1))
     )
     rows = seq.select("*", blk.alias("_own"), F.explode(serves).alias("_blk"))
     keys = ["ticker", "_blk"]
-    out = add_target(add_vols(add_return(rows, key=keys, order="seq"), method, key=keys, order="seq"), horizon, key=keys, order="seq")
+    windows = tuple(sorted(set(VOL_WINDOWS) | {horizon}))
+    out = add_return(rows, key=keys, order="seq")
+    out = add_target(add_vols(out, method, windows, key=keys, order="seq"), horizon, key=keys, order="seq")
     out = out.where(F.col("_blk") == F.col("_own"))
     return out.select("date", "ticker", "close", "ret", "vol_5", "vol_10", "vol_30", TARGET)
