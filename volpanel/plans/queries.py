@@ -228,6 +228,15 @@ def q_forecast_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.forecast_latest(prices, final_model(spark, sf_dir), as_of=as_of, months=6)
 
 
+def q_export_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Self-check of the exported model: its prediction for the fixed demo request."""
+    from volpanel.functions.scalar import annualise
+    from volpanel.schemas import DEMO_REQUEST
+
+    pred = serve.check_export(final_model(spark, sf_dir), DEMO_REQUEST)
+    return pred.select(F.round("pred", 6).alias("pred_daily_vol"), F.round(annualise(F.col("pred")), 1).alias("pred_annual_pct"))
+
+
 def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = reuse(feat.add_features(panels.supplier_day(spark, sf_dir)))
     req = serve.requests_from_features(features, V1)
@@ -387,6 +396,7 @@ REGISTRY = {
     "dashboard_mae": q_dashboard_mae,
     "latest_flag": q_latest_flag,
     "forecast_latest": q_forecast_latest,
+    "export_check": q_export_check,
     "score_requests": q_score_requests,
     "score_requests_stream": q_score_requests_stream,
     "garch_grid": q_garch_grid,
