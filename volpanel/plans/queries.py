@@ -58,6 +58,11 @@ def q_features_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(clean_panel(spark, sf_dir), R6_V1)
 
 
+def q_preview_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first six clean rows in (ticker, date) order (a top-n, the preview itself)."""
+    return files.preview(q_features_clean(spark, sf_dir), 6)
+
+
 def q_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows, warm-up and tail NULLs included (std form of the volatility)."""
     f = feat.add_features(panels.supplier_day(spark, sf_dir), method="std")
@@ -397,6 +402,7 @@ def q_prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "features_clean": q_features_clean,
+    "preview_clean": q_preview_clean,
     "features": q_features,
     "features_v2": q_features_v2,
     "features_v2_flag": q_features_v2_flag,
