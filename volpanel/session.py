@@ -35,20 +35,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we set a scratch folder of our own.
+    Spark applies that setting when the context starts; it cannot be changed at run
+    time.  Only when nothing is configured and the master is local (tests) do we point
+    the context at a scratch folder of our own.
     """
+    sc = spark.sparkContext
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+        sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (a machine-local folder is not safe on a cluster)")
     path = tempfile.mkdtemp(prefix="volpanel-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def reuse(df):
