@@ -158,6 +158,11 @@ def q_fold_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.fold_profile(splits.assign_folds(clean_panel(spark, sf_dir)))
 
 
+def q_fold_profile_v3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold ranges and sizes of the walk-forward comparison, which runs on features_v3."""
+    return splits.fold_profile(splits.assign_folds(v3_panel(spark, sf_dir)))
+
+
 # ---- evaluation ---------------------------------------------------------------
 
 def q_naive_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +427,7 @@ REGISTRY = {
     "split_three_profile": q_split_three_profile,
     "fold_calendar": q_fold_calendar,
     "fold_profile": q_fold_profile,
+    "fold_profile_v3": q_fold_profile_v3,
     "naive_walk_forward": q_naive_walk_forward,
     "walk_forward_linear": q_walk_forward_linear,
     "walk_forward_linear_purged": q_walk_forward_linear_purged,
