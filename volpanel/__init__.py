@@ -10,6 +10,14 @@ plans/      composed jobs: evaluation, publication, request scoring
 streaming/  the stream-static form of request scoring
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from volpanel.schemas import V1, V2, V3, FEATURE_SETS, TARGET, BASELINE  # noqa: F401
 
 __all__ = ["V1", "V2", "V3", "FEATURE_SETS", "TARGET", "BASELINE"]
+
+# Functions that run in Python workers travel with their code, so that executors need no copy of
+# the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
