@@ -36,4 +36,16 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
 from j group by doc_id
 """
 
-REGISTRY = {"op1_decontamination": DECONTAMINATION, "op4_line_dedup": LINE_DEDUP}
+# five hex digits of the SHA-1 are four base-32 digits
+WARC = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select *, sha1(h) as x, min(page_id) over (partition by h) as first from p)
+select page_id, strlen(h) as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((cast('0x' || substr(x, 5 * (i // 4) + 1, 5) as integer) >> (15 - 5 * (i % 4))) & 31)::integer, 1)), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from d
+"""
+
+REGISTRY = {"op1_decontamination": DECONTAMINATION, "op4_line_dedup": LINE_DEDUP, "op6_warc": WARC}

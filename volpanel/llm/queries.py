@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volpanel.llm import decontamination, line_dedup, packing, simhash, toxicity
+from volpanel.llm import decontamination, fingerprint, line_dedup, packing, simhash, toxicity, warc
 from volpanel.llm.common import table
 
 
@@ -24,6 +24,11 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -34,6 +39,10 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def q_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def q_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -44,7 +53,9 @@ REGISTRY = {
     "op1_decontamination": q_decontamination,
     "op2_toxicity": q_toxicity,
     "op4_line_dedup": q_line_dedup,
+    "op6_warc": q_warc,
     "op7_packing": q_packing,
     "op8_simhash": q_simhash,
+    "op9_fingerprint": q_fingerprint,
     "pipeline": q_pipeline,
 }
