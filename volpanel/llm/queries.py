@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volpanel.llm import decontamination, fingerprint, line_dedup, packing, simhash, toxicity, warc
+from volpanel.llm import decontamination, fingerprint, line_dedup, packing, simhash, substring_dedup, toxicity, warc
 from volpanel.llm.common import table
 
 
@@ -19,6 +19,11 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring_dedup.report(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = line_dedup.dedup_report(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -52,6 +57,7 @@ def q_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_decontamination": q_decontamination,
     "op2_toxicity": q_toxicity,
+    "op3_substring_dedup": q_substring_dedup,
     "op4_line_dedup": q_line_dedup,
     "op6_warc": q_warc,
     "op7_packing": q_packing,
