@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volpanel.llm import decontamination, fingerprint, line_dedup, packing, simhash, substring_dedup, toxicity, warc
+from volpanel.llm import decontamination, fingerprint, line_dedup, packing, pii, simhash, substring_dedup, toxicity, warc
 from volpanel.llm.common import table
 
 
@@ -48,6 +48,10 @@ def q_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def q_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,5 +67,6 @@ REGISTRY = {
     "op7_packing": q_packing,
     "op8_simhash": q_simhash,
     "op9_fingerprint": q_fingerprint,
+    "op10_pii": q_pii,
     "pipeline": q_pipeline,
 }
