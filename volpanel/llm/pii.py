@@ -42,7 +42,7 @@ BASE = {
 HINT = {"email": "@", "phone": "+"}
 #: candidate generators of further spans
 MORE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{1,63}+){1,4}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}+(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{1,63}+){1,4}+",
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){7}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9./_])[0-9]{4}(?:[./_][0-9]{4}){2}[./_][0-9]{1,7}(?![0-9./_])",
     "phone": r"(?<![0-9+.(-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20./-])[0-9]{3,4}[\x20./-][0-9]{4}(?![0-9.-])",
@@ -163,8 +163,8 @@ def samples(n: int = SAMPLES, seed: int = 11) -> list[tuple[str, str, int, int]]
         kind, good = r.choice(KINDS), r.random() < 0.5
         cue = r.choice(yes[kind]) if r.random() < (0.85 if good else 0.08) else r.choice(no)
         if kind == "email":
-            at, dot = (r.choice(["(at)", " (at) ", "[at]", " [at] "]), r.choice(["(dot)", " [dot] ", "."])) if good or r.random() < 0.05 else (" at ", r.choice([".", " dot ", ". "]))
-            span = word() + at + word() + dot + (r.choice(["com", "org", "net", "de"]) if good else word())
+            at, dot = r.choice(["(at)", " (at) ", "[at]", " [at] ", " at "]) if good else " at ", r.choice(["(dot)", " [dot] ", " dot ", "."])
+            span = word() + at + word() + dot + (r.choice(["com", "org", "net", "edu", "de", "fr", "es", "io"]) if good else word())
         elif kind == "phone":
             a, b, c = digit(3), "".join(digit(3)), digit(4)
             span = r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a} {b} {c}", f"{a}.{b}.{c}"]) if good else r.choice([f"{digit(4)} {digit(4)} {digit(4)}", f"{digit(2)}/{digit(3)}/{c}", f"{a}/{b}/{c}", f"{digit(2)}.{digit(3)}.{c}", f"{a} {b} {c}"])
