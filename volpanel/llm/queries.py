@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volpanel.llm import decontamination, fingerprint, line_dedup, packing, pii, simhash, substring_dedup, toxicity, warc
+from volpanel.llm import decontamination, fingerprint, html_extract, line_dedup, packing, pii, simhash, substring_dedup, toxicity, warc
 from volpanel.llm.common import table
 
 
@@ -48,6 +48,10 @@ def q_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
 
+def q_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ REGISTRY = {
     "op2_toxicity": q_toxicity,
     "op3_substring_dedup": q_substring_dedup,
     "op4_line_dedup": q_line_dedup,
+    "op5_html_extract": q_html,
     "op6_warc": q_warc,
     "op7_packing": q_packing,
     "op8_simhash": q_simhash,

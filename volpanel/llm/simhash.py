@@ -216,5 +216,4 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one document (the smallest doc_id) of each group; rows that repeat its doc_id stay with it."""
     groups = near_groups(docs, shingle)
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    return kept
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
