@@ -31,7 +31,9 @@ from pyspark.sql import types as T
 SAMPLE_ROWS = 8_000  # bound of the labelled sample
 FOLDS = 5
 MAX_FEATURES = 400
-MIN_SUPPORT = 6  # labelled toxic rows that hold a feature
+MIN_SUPPORT = 3  # labelled toxic rows that hold a feature, at least; one in SUPPORT_PART of them in large samples
+SUPPORT_PART = 140
+MIN_PRECISION = 0.9  # of the rejected rows, on out-of-fold predictions
 MIN_ODDS = 3.0  # log odds of a feature, toxic against the rest
 GRAM = 5
 CATEGORIES = ("insult", "severe", "toxic")
@@ -68,7 +70,7 @@ def choose_features(words: list[dict], toxic: np.ndarray) -> list[bytes]:
         if y:
             for f in of(row):
                 pos[f] = pos.get(f, 0) + 1
-    pos = {f: n for f, n in pos.items() if n >= MIN_SUPPORT}
+    pos = {f: n for f, n in pos.items() if n >= max(MIN_SUPPORT, int(toxic.sum()) // SUPPORT_PART)}
     neg = dict.fromkeys(pos, 0)
     for row, y in zip(words, toxic):
         if not y:
@@ -133,12 +135,15 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> tuple[list
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The cut with the best F1 on out-of-fold predictions, in the middle of its gap."""
+    """The cut with the best F1 among those precise enough on out-of-fold predictions, in the middle of its
+    gap; 2 (reject nothing) if there is none."""
     order = np.argsort(-p, kind="stable")
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(p) + 1) + y.sum())
-    last = np.append(p[order][1:] != p[order][:-1], True)  # a cut can't part equal scores
-    i = int(np.argmax(np.where(last, f1, -1)))
+    hit, n = np.cumsum(y[order]), np.arange(1, len(p) + 1)
+    f1 = 2 * hit / (n + y.sum())
+    usable = np.append(p[order][1:] != p[order][:-1], True) & (hit >= MIN_PRECISION * n)  # a cut can't part equal scores
+    if not usable.any():
+        return 2.0
+    i = int(np.argmax(np.where(usable, f1, -1)))
     below = p[order][i + 1] if i + 1 < len(p) else 0.0
     return float((p[order][i] + below) / 2)
 
@@ -183,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
         model = fit_rows([ids[i] for i in order], [texts[i] for i in order], [toxic[i] for i in order])
         yield pa.RecordBatch.from_pydict({"model": [json.dumps(model)]})
 
-    return json.loads(rows.select("_id", "_text", "_toxic").coalesce(1).mapInArrow(one, "model string").collect()[0][0])
+    got = rows.select("_id", "_text", "_toxic").coalesce(1).mapInArrow(one, "model string").collect()
+    return json.loads(got[0][0]) if got else fit_rows([], [], [])
 
 
 # ---- scoring (every row) ------------------------------------------------------------
