@@ -22,6 +22,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,11 @@ END_ID = 0
 GROUP_PIECES = 8_192
 ROUNDS = 6
 CLOSE = 512  # between rounds a bin with less than this part of a sequence free stays closed
-SIMPLE = re.compile(r"([A-Za-z]+)([.,;:!?%&#$*|]*)")
+#: the tokenizer's rule for the pieces of a lower-case ASCII text
+PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: a piece of letters and a piece of closing marks, either may be missing
+SIMPLE = re.compile(rb"([a-z]*)([.,!?*$#%&|;:]*)")
+PLAIN = re.compile(rb"[a-z]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
 def default_tokenizer() -> str:
@@ -45,15 +50,26 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Token ids of texts, word by word.
+    """Token ids of texts, piece by piece.
 
-    The tokenizer drops white space and never joins characters across it, so a text's ids are its
-    words' ids in a row; each distinct word of a task is encoded once.  A word of ASCII letters with
-    closing punctuation is encoded as its lower-cased letters and its punctuation, which the
-    tokenizer parts anyway, so that case and punctuation do not multiply the words.
+    The tokenizer drops white space and never joins characters across it, and cuts words into runs of
+    letters, single digits and runs of other characters before it merges.  An ASCII text is lower-cased and cut by that
+    rule here, so each distinct piece of a task is merged once, by the tokenizer's own merge model; words of
+    other texts are encoded by the whole tokenizer, once each.
     """
 
-    MOST = 600_000
+    MOST = 800_000  # words held at once
+
+    @classmethod
+    def of_worker(cls, path: str) -> "Encoder":
+        """The worker process's encoder, so that its words are kept from task to task."""
+        import sys
+        import types
+
+        held = sys.modules.setdefault("_volpanel_encoders", types.ModuleType("_volpanel_encoders")).__dict__
+        if path not in held:
+            held[path] = cls(path)
+        return held[path]
 
     def __init__(self, path: str):
         import os
@@ -63,14 +79,39 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self):
-        self.words: dict[bytes, int] = {}
-        self.pieces: dict[str, tuple] = {}
-        self.lists: list[tuple] = []
+        self.words: dict[bytes, int] = {}  # word or piece -> its place in the arrays
+        self.memo: dict[bytes, list[int]] = {}  # piece -> ids
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def ids_of(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of distinct words; pieces of lower-case printable ASCII go to the merge model directly."""
+        merge, memo = self.model.tokenize, self.memo
+        out, hard = [], {}
+        for w in words:
+            m = SIMPLE.fullmatch(w)
+            if m is None:
+                pieces = self.parts(w)
+            else:
+                a, b = m.groups()
+                pieces = (a, b) if a and b else (a or b,)
+            for p in pieces:
+                if p not in memo:
+                    if m is not None or PLAIN.fullmatch(p):
+                        memo[p] = tuple([t.id for t in merge(p.decode())])
+                    else:
+                        memo[p] = None
+                        hard[p] = None
+            out.append(pieces)
+        if hard:
+            todo = list(hard)
+            for p, got in zip(todo, self.tokenizer.encode_batch_fast([p.decode() for p in todo], add_special_tokens=False)):
+                memo[p] = tuple(got.ids)
+        return [memo[p[0]] if len(p) == 1 else memo[p[0]] + memo[p[1]] if len(p) == 2 else tuple(chain.from_iterable(map(memo.__getitem__, p))) for p in out]
+
     def learn(self, words: set[bytes]):
         if len(self.words) + len(words) > self.MOST:
             self.clear()
@@ -78,33 +119,18 @@ class Encoder:
             words = words.difference(self.words)
         if not words:
             return
-        parts: list[tuple] = []
-        new: dict[str, None] = {}
-        pieces = self.pieces
-        for w in words:
-            s = w.decode()
-            m = SIMPLE.fullmatch(s)
-            own = (m[1].lower(), m[2]) if m and m[2] else (m[1].lower(),) if m else (s,)
-            parts.append(own)
-            for p in own:
-                if p not in pieces:
-                    new[p] = None
-        todo = list(new)
-        for got, p in zip(self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), todo):
-            pieces[p] = tuple(got.ids)
-        lists = []
-        for w, own in zip(words, parts):
-            self.words[w] = len(self.words)
-            lists.append(pieces[own[0]] if len(own) == 1 else pieces[own[0]] + pieces[own[1]])
+        todo = list(words)
+        lists = self.ids_of(todo)
+        self.words.update(zip(todo, range(len(self.words), len(self.words) + len(todo))))
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, flat])
 
     def __call__(self, texts: list):
         """uint32 ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
+        split = [t.encode().lower().split() if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
         self.learn({w for words in split for w in words})
         get = self.words.__getitem__
         for words in split:
@@ -114,13 +140,28 @@ class Encoder:
             total = int(ends[-1]) if len(ends) else 0
             yield self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(total)]
 
+    @staticmethod
+    def parts(w: bytes) -> list[bytes]:
+        """Pieces of a word: an ASCII word by the rule, another as it is but for closing punctuation."""
+        if w.isascii():
+            return PIECE.findall(w.lower())
+        if w[-1] in b".,!?":  # behind a letter, a run of its own
+            body = w.rstrip(b".,!?")
+            s = body.decode()
+            if s.isalpha() and s.lower().isalpha():  # a letter may fall into a letter and a mark
+                return [body, w[len(body) :]]
+        return [w]
+
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
     """doc_id, row_id, piece, start, length, ids_crc32: one row per piece."""
     path = tokenizer or default_tokenizer()
 
     def run(batches):
-        encoder = Encoder(path)
+        import gc
+
+        encoder = Encoder.of_worker(path)
+        gc.disable()  # the words' lists hold no cycles, but each collection would walk them all
         for b in batches:
             ids, rows, texts = (b.column(k).to_pylist() for k in range(3))
             for lo in range(0, len(texts), 500):
@@ -132,6 +173,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH)
                         for name, v in zip(out, (doc, row, k, start, len(part), zlib.crc32(part.tobytes()))):
                             out[name].append(v)
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(out["doc_id"], b.schema.field(0).type), "row_id": pa.array(out["row_id"], pa.int64()), "piece": pa.array(out["piece"], pa.int32())} | {k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")})
+        gc.enable()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), "text")
