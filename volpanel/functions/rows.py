@@ -4,6 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def require_date(df: DataFrame, col: str = "date") -> None:
+    """Raise unless ``col`` is a date: its distinct values are then bounded by the calendar, so that
+    one array, one un-partitioned window or one broadcast may hold them (a timestamp would not be)."""
+    kind = df.schema[col].dataType
+    if not isinstance(kind, T.DateType):
+        raise TypeError(f"{col} must be a date column, not {kind.simpleString()}")
 
 
 def with_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -144,11 +144,12 @@ def sequence_numbers(df: DataFrame, key: str = "ticker", order: str = "date", n_
     sorted partition; a small table of per-(key, partition) counts (at most
     #keys + #partitions rows) gives each piece its offset.
     """
-    from volpanel.session import cpu_partitions, reuse
+    from volpanel.session import cpu_partitions, write_once
 
     n = n_parts or cpu_partitions(df)
     r = df.repartitionByRange(n, key, order).sortWithinPartitions(key, order)
-    r = reuse(r.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_id")))
+    # range boundaries are sampled: the numbered rows are written once, both branches below read them
+    r = write_once(r.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_id")), "numbered")
     part = r.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_id0"))
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     part = part.select(key, "_pid", "_id0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

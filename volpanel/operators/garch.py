@@ -7,9 +7,10 @@ training rows.  Two forms:
   the Gaussian log-likelihood evaluated on a fixed (α, β) grid.  The recursion is a
   fold (``aggregate``) over the ticker's ordered return array, the grid a
   ``transform`` over a literal array: pure built-in expressions, checkable in SQL.
-* ``garch_fit`` – the same likelihood maximised per ticker with ω free by a coarse
-  grid and local refinement, all candidates of a round evaluated as one vector
-  recursion (NumPy inside ``mapInPandas`` over one array row per ticker).
+* ``garch_fit`` – the same likelihood maximised per ticker with ω free: a coarse grid over the
+  whole region α, β ≥ 0, α + β < 1, then a pattern search that re-centres while it improves and
+  halves its steps when it does not, until they are negligible (``converged``).  All tickers of a
+  batch and all candidates of a round are one vector recursion (NumPy inside ``mapInPandas``).
 
 A ticker's return array holds one value per trading day, so its size is bounded by
 the calendar span, not by the data volume.  The forecast is the mean of the 1…h
@@ -29,10 +30,10 @@ from volpanel.session import cpu_partitions
 
 LN_2PI = math.log(2.0 * math.pi)
 
-# fixed search grid: α in 0.02…0.14 step 0.03, β in 0.50…0.95, kept where α + β < 1
-ALPHAS = [0.02, 0.05, 0.08, 0.11, 0.14]
-BETAS = [0.50, 0.60, 0.70, 0.75, 0.80, 0.85, 0.88, 0.90, 0.92]
-GRID = [(a, b) for a in ALPHAS for b in BETAS if a + b < 1.0]
+# search grid over the whole region α, β ≥ 0, α + β < 1 (α = 0 makes every β the same model: one entry)
+ALPHAS = [0.02, 0.05, 0.10, 0.15, 0.20, 0.30, 0.40, 0.55, 0.70, 0.85]
+BETAS = [0.00, 0.15, 0.30, 0.45, 0.60, 0.70, 0.80, 0.88, 0.94]
+GRID = [(0.0, 0.0)] + [(a, b) for a in ALPHAS for b in BETAS if a + b < 0.995]
 
 
 def return_arrays(df: DataFrame, ret: str = "ret", key: str = "ticker", order: str = "date", scale: float = 100.0) -> DataFrame:
@@ -81,90 +82,114 @@ def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float
 
     def score(p):
         omega = F.col("vbar") * (F.lit(1.0) - p["a"] - p["b"])
-        res = loglik(F.col("r"), omega, p["a"], p["b"], F.col("vbar"))
-        return F.struct(p["a"].alias("a"), p["b"].alias("b"), omega.alias("omega"), res["ll"].alias("ll"), res["s2"].alias("s2"))
+        # the recursion's result stays one field: reading its parts here would run it once for each
+        return F.struct(p["a"].alias("a"), p["b"].alias("b"), omega.alias("omega"), loglik(F.col("r"), omega, p["a"], p["b"], F.col("vbar")).alias("res"))
 
     scored = arr.select("ticker", "vbar", F.transform(g, score).alias("cand"))
     first = F.element_at(F.col("cand"), 1)
-    best = F.aggregate(F.col("cand"), first, lambda acc, x: F.when(x["ll"] > acc["ll"], x).otherwise(acc))
+    best = F.aggregate(F.col("cand"), first, lambda acc, x: F.when(x["res"]["ll"] > acc["res"]["ll"], x).otherwise(acc))
     b = scored.select("ticker", "vbar", best.alias("best"))
     phi = F.col("best.a") + F.col("best.b")
-    var = mean_forecast(F.col("vbar"), F.col("best.s2"), phi, horizon)
+    var = mean_forecast(F.col("vbar"), F.col("best.res.s2"), phi, horizon)
     return b.select(
         "ticker",
         F.col("best.a").alias("alpha"),
         F.col("best.b").alias("beta"),
         F.col("best.omega").alias("omega"),
-        F.col("best.ll").alias("loglik"),
+        F.col("best.res.ll").alias("loglik"),
         (F.sqrt(var) / F.lit(100.0)).alias("garch_vol"),
     )
 
 
 # ---- free-ω refinement per ticker (NumPy inside mapInPandas) -----------------------
 
-def _loglik_many(r2: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, s2_0: float):
-    """Log-likelihood and next variance of many (ω, α, β) candidates at once (vector recursion)."""
-    s2 = np.full(omega.shape, s2_0)
+EDGE = 0.9999  # largest α + β
+ROUNDS = 80
+LEAST_STEP = 1e-4
+
+
+def _recursion(r2: np.ndarray, n: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, vbar: np.ndarray):
+    """Log-likelihood and next variance for tickers × candidates.
+
+    r2: tickers × time (zero-padded behind n), omega/alpha/beta: tickers × candidates."""
+    s2 = np.repeat(vbar[:, None], omega.shape[1], axis=1)
     ll = np.zeros(omega.shape)
-    for x2 in r2:
-        ll -= 0.5 * (LN_2PI + np.log(s2) + x2 / s2)
-        s2 = omega + alpha * x2 + beta * s2
-    return ll, s2
-
-
-def _candidates(a_c, b_c, m_c, da, db, dm, vbar, k=5):
-    a = np.clip(a_c + da * np.linspace(-1, 1, k), 1e-4, 0.999)
-    b = np.clip(b_c + db * np.linspace(-1, 1, k), 0.0, 0.999)
-    m = np.clip(m_c + dm * np.linspace(-1, 1, k), 1e-3, None)
-    A, B, M = (x.ravel() for x in np.meshgrid(a, b, m, indexing="ij"))
-    ok = A + B < 0.999
-    A, B, M = A[ok], B[ok], M[ok]
-    return A, B, M, M * vbar * (1.0 - A - B)
-
-
-def _fit_series(ticker: str, r: np.ndarray, horizon: int):
-    r2 = r * r
-    vbar = float(r2.mean()) if len(r2) else 0.0
-    if len(r2) < 2 or vbar <= 0:
-        return None
-    # coarse grid over (α, β, ω multiplier), then three rounds of local refinement
-    a, b, m = np.meshgrid(np.linspace(0.01, 0.30, 12), np.linspace(0.30, 0.98, 18), np.array([0.5, 1.0, 2.0]), indexing="ij")
-    A, B, M = a.ravel(), b.ravel(), m.ravel()
-    ok = A + B < 0.999
-    A, B, M = A[ok], B[ok], M[ok]
-    W = M * vbar * (1.0 - A - B)
-    da, db, dm = 0.03, 0.04, 0.5
-    for _ in range(4):
-        ll, s2 = _loglik_many(r2, W, A, B, vbar)
-        ll = np.where(np.isfinite(ll), ll, -np.inf)
-        i = int(np.argmax(ll))
-        best = (W[i], A[i], B[i], ll[i], s2[i])
-        A, B, M, W = _candidates(A[i], B[i], M[i], da, db, dm, vbar)
-        da, db, dm = da / 2, db / 2, dm / 2
-    omega, alpha, beta, llv, s2_next = (float(v) for v in best)
-    f, total = s2_next, 0.0
+    for t in range(r2.shape[1]):
+        live = (t < n)[:, None]
+        x2 = r2[:, t][:, None]
+        ll -= np.where(live, 0.5 * (LN_2PI + np.log(s2) + x2 / s2), 0.0)
+        s2 = np.where(live, np.maximum(omega + alpha * x2 + beta * s2, 1e-300), s2)
+    return np.where(np.isfinite(ll), ll, -np.inf), s2
+
+
+def fit_batch(series: list[np.ndarray], horizon: int) -> list[tuple]:
+    """Per series of percent returns: (omega, alpha, beta, loglik, volatility, converged)."""
+    n = np.array([len(r) for r in series])
+    r2 = np.zeros((len(series), int(n.max())))
+    for k, r in enumerate(series):
+        r2[k, : len(r)] = r * r
+    vbar = r2.sum(axis=1) / n
+    rows = np.arange(len(series))
+
+    def evaluate(a, b, m):
+        """Candidates (tickers × K): α, β and the unconditional variance as a multiple of v̄."""
+        ok = (a >= 0) & (b >= 0) & (a + b <= EDGE) & (m > 0)
+        a, b, m = np.where(ok, a, 0.0), np.where(ok, b, 0.0), np.where(ok, m, 1.0)
+        w = m * vbar[:, None] * (1.0 - a - b)
+        ll, s2 = _recursion(r2, n, w, a, b, vbar)
+        ll = np.where(ok, ll, -np.inf)
+        i = np.argmax(ll, axis=1)
+        return a[rows, i], b[rows, i], m[rows, i], w[rows, i], ll[rows, i], s2[rows, i]
+
+    grid = np.array([(a, b, m) for a in (0.01, 0.05, 0.1, 0.2, 0.35, 0.6, 0.85) for b in (0.0, 0.2, 0.4, 0.6, 0.75, 0.85, 0.92, 0.97) for m in (0.6, 1.0, 1.6) if a + b < 0.99]).T
+    best = evaluate(*(np.repeat(g[None, :], len(series), axis=0) for g in grid))
+    # steps in α, β and log m; every combination of -1, 0, 1 steps is tried at once
+    move = np.array([(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)], float)
+    step = np.full(len(series), 1.0)
+    size = np.array([0.08, 0.1, 0.35])
+    for _ in range(ROUNDS):
+        if (step * size[1] < LEAST_STEP).all():
+            break
+        d = move[None, :, :] * (step[:, None, None] * size)
+        a = np.maximum(best[0][:, None] + d[:, :, 0], 0.0)
+        b = np.clip(best[1][:, None] + d[:, :, 1], 0.0, np.maximum(EDGE - a, 0.0))
+        new = evaluate(a, b, best[2][:, None] * np.exp(d[:, :, 2]))
+        better = new[4] > best[4] + 1e-9
+        best = tuple(np.where(better, x, y) for x, y in zip(new, best))
+        step = np.where(better, step, step / 2)
+    done = step * size[1] < LEAST_STEP
+    alpha, beta, _, omega, ll, s2 = best
+    f, total = s2, np.zeros(len(series))
     for _ in range(horizon):
         total += f
         f = omega + (alpha + beta) * f
-    return (ticker, omega, alpha, beta, llv, math.sqrt(total / horizon) / 100.0)
+    vol = np.sqrt(total / horizon) / 100.0
+    return [tuple(float(v[k]) for v in (omega, alpha, beta, ll, vol)) + (bool(done[k]),) for k in range(len(series))]
 
 
-FIT_SCHEMA = "ticker string, omega double, alpha double, beta double, loglik double, garch_vol double"
+FIT_SCHEMA = "ticker string, omega double, alpha double, beta double, loglik double, garch_vol double, converged boolean, status string"
 
 
 def garch_fit(train: DataFrame, horizon: int = 5) -> DataFrame:
     """Per ticker likelihood maximisation (ω, α, β free) and the volatility forecast.
 
     Each ticker's ordered percent returns are one array row (bounded by the calendar);
-    the rows are spread round-robin and fitted batch by batch in ``mapInPandas``.
+    the rows are spread round-robin and fitted batch by batch in ``mapInPandas``.  Every ticker gets a
+    row: ``status`` says ``fitted``, ``short`` (fewer than two returns) or ``constant`` (no variance),
+    the last two without a forecast.
     """
     arr = return_arrays(train.select("ticker", "date", "ret"), scale=1.0).select("ticker", "r")
     arr = arr.repartition(cpu_partitions(train))
 
     def fit_batches(batches):
         for pdf in batches:
-            out = [_fit_series(t, np.asarray(r, dtype=float) * 100.0, horizon) for t, r in zip(pdf["ticker"], pdf["r"])]
-            out = [o for o in out if o is not None]
-            yield pd.DataFrame(out, columns=["ticker", "omega", "alpha", "beta", "loglik", "garch_vol"])
+            series = {t: np.asarray(r, dtype=float) * 100.0 for t, r in zip(pdf["ticker"], pdf["r"])}
+            good = [t for t, r in series.items() if len(r) >= 2 and (r * r).mean() > 0]
+            got = {}
+            for lo in range(0, len(good), 64):
+                own = good[lo : lo + 64]
+                got |= dict(zip(own, fit_batch([series[t] for t in own], horizon)))
+            out = [(t, *got[t], "fitted") if t in got else (t, None, None, None, None, None, None, "short" if len(r) < 2 else "constant") for t, r in series.items()]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in FIT_SCHEMA.split(", ")])
 
     return arr.mapInPandas(fit_batches, FIT_SCHEMA)

@@ -1,7 +1,7 @@
 """Ordinary least squares from sufficient statistics, solved inside the plan.
 
 One aggregation pass collects, per group (e.g. per fold), the count, Σxᵢ, Σy,
-Σxᵢxⱼ and Σxᵢy — a partial + final aggregate whose size is (p+1)² numbers per
+Σxᵢxⱼ and Σxᵢy of centred features — a partial + final aggregate whose size is (p+1)² numbers per
 group, independent of the row count.  Expanding training sets (``fold < k``) are
 prefix sums over the few group rows.  The normal equations of the centred problem
 are solved by Gauss–Jordan elimination written as one array expression, so
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from volpanel.functions.rows import with_row
 from volpanel.functions.scalar import dot
 
 
@@ -22,13 +23,18 @@ def _pairs(p: int):
 
 
 def gram(df: DataFrame, feats: list[str], y: str, by: list[str]) -> DataFrame:
-    """Sufficient statistics per group: n, s{i}, sy, s{i}_{j} (i ≤ j), s{i}y."""
+    """Sufficient statistics per group: n, s{i}, sy, s{i}_{j} (i ≤ j), s{i}y, and the shifts h{i}.
+
+    Sums are taken of features less their overall mean h{i} (a one-row aggregate, inlined), so that
+    products of features far from zero keep their digits; every group carries the shifts."""
     p = len(feats)
-    x = [F.col(f) for f in feats]
+    df = with_row(df.select(*by, *feats, y), df.agg(*[F.avg(f).alias(f"_h{i}") for i, f in enumerate(feats)]))
+    x = [F.col(f) - F.col(f"_h{i}") for i, f in enumerate(feats)]
     aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(y)).alias("sy")]
     aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
     aggs += [F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in _pairs(p)]
     aggs += [F.sum(x[i] * F.col(y)).alias(f"s{i}y") for i in range(p)]
+    aggs += [F.max(f"_h{i}").alias(f"h{i}") for i in range(p)]
     return df.groupBy(*by).agg(*aggs)
 
 
@@ -47,17 +53,25 @@ def expanding(g: DataFrame, p: int, order: str = "fold", include_first: bool = F
     for s in stat_names(p):
         prev = F.sum(s).over(w_prev)
         out.append((F.coalesce(prev, F.col(s)) if include_first else prev).alias(s))
+    w_all = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out += [F.max(f"h{i}").over(w_all).alias(f"h{i}") for i in range(p)]
     res = g.select(*out)
     return res.where(F.col("n").isNotNull())
 
 
+#: a feature whose variance, or whose part not explained by the features before it, is below this
+#: share of its scale is constant or collinear: its coefficient is 0
+RANK_TOLERANCE = 1e-10
+
+
 def solve(stats: DataFrame, p: int, keep: list[str]) -> DataFrame:
     """Coefficients b0…b{p−1} and intercept from the sufficient statistics.
 
-    Centred normal equations C·b = c with C = Σxxᵀ/n − x̄x̄ᵀ (symmetric positive
-    definite for non-collinear features), c = Σxy/n − x̄ȳ.  The augmented matrix
-    [C | c] is an array column and Gauss–Jordan elimination is one ``aggregate`` over
-    the pivot index, so the whole solve is a single projection; intercept = ȳ − x̄·b.
+    Centred normal equations C·b = c with C = Σxxᵀ/n − x̄x̄ᵀ, c = Σxy/n − x̄ȳ, scaled to
+    correlations.  The augmented matrix [C | c] is an array column and Gauss–Jordan elimination is one
+    ``aggregate`` over the pivot index; a pivot below ``RANK_TOLERANCE`` is passed over and its
+    feature gets coefficient 0, so constant and collinear features still yield a least-squares model.
+    intercept = ȳ − (x̄ + h)·b with the shifts h of ``gram``.
     """
     n = F.col("n")
     mean = [F.col(f"s{i}") / n for i in range(p)]
@@ -66,24 +80,33 @@ def solve(stats: DataFrame, p: int, keep: list[str]) -> DataFrame:
     def s(i: int, j: int) -> Column:
         return F.col(f"s{min(i, j)}_{max(i, j)}")
 
-    rows = [
-        F.array(*[s(i, j) / n - mean[i] * mean[j] for j in range(p)], F.col(f"s{i}y") / n - mean[i] * my)
-        for i in range(p)
-    ]
+    raw = [s(i, i) / n for i in range(p)]
+    var = [F.greatest(F.lit(0.0), raw[i] - mean[i] * mean[i]) for i in range(p)]
+    # 1/sd, or 0 for a feature without variance
+    inv = [F.when(var[i] > F.lit(RANK_TOLERANCE * 1e-4) * raw[i], F.lit(1.0) / F.sqrt(var[i])).otherwise(F.lit(0.0)) for i in range(p)]
+    prepared = stats.select(
+        *keep, my.alias("_my"), *[(mean[i] + F.col(f"h{i}")).alias(f"_m{i}") for i in range(p)], F.array(*inv).alias("_inv"),
+        F.array(*[F.array(*[s(i, j) / n - mean[i] * mean[j] for j in range(p)], F.col(f"s{i}y") / n - mean[i] * my) for i in range(p)]).alias("_raw"),
+    )
+    scaled = F.transform(F.col("_raw"), lambda row, i: F.transform(row, lambda v, j: v * F.get("_inv", i) * F.coalesce(F.get("_inv", j), F.lit(1.0))))
 
     def step(m: Column, k: Column) -> Column:
         piv = F.get(m, k)
         d = F.get(piv, k)
-        return F.transform(
+        eliminated = F.transform(
             m,
-            lambda row, i: F.when(i == k, F.transform(row, lambda x: F.try_divide(x, d))).otherwise(
-                F.zip_with(row, piv, lambda a, b: a - F.try_divide(F.get(row, k) * b, d))
+            lambda row, i: F.when(i == k, F.transform(row, lambda x: x / d)).otherwise(
+                F.zip_with(row, piv, lambda a, b: a - F.get(row, k) * b / d)
             ),
         )
-
-    solved = F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), F.array(*rows), step)
-    cur = stats.select(*keep, my.alias("_my"), *[m.alias(f"_m{i}") for i, m in enumerate(mean)], solved.alias("_aug"))
-    b = [F.get(F.get(F.col("_aug"), F.lit(i)), F.lit(p)) for i in range(p)]
+        # no pivot: the feature's row and column become zero
+        skipped = F.transform(m, lambda row, i: F.when(i == k, F.transform(row, lambda x: F.lit(0.0))).otherwise(F.transform(row, lambda x, j: F.when(j == k, F.lit(0.0)).otherwise(x))))
+        return F.when(d > RANK_TOLERANCE, eliminated).otherwise(skipped)
+
+    solved = F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), F.col("_aug"), step)
+    cur = prepared.select(*keep, "_my", *[f"_m{i}" for i in range(p)], "_inv", scaled.alias("_aug"))
+    cur = cur.select(*keep, "_my", *[f"_m{i}" for i in range(p)], "_inv", solved.alias("_aug"))
+    b = [F.get(F.get(F.col("_aug"), F.lit(i)), F.lit(p)) * F.get("_inv", F.lit(i)) for i in range(p)]
     intercept = F.col("_my")
     for i in range(p):
         intercept = intercept - F.col(f"_m{i}") * b[i]
@@ -115,9 +138,13 @@ def fit_walk_forward(folded: DataFrame, feats: list[str], y: str, include_first:
 
 
 def predict(df: DataFrame, coefs: DataFrame, feats: list[str], on: list[str], out: str = "pred") -> DataFrame:
-    """Score rows with the coefficient row of their group (broadcast: one row per group)."""
+    """Score rows with the coefficient row of their group.
+
+    Coefficients are broadcast only for folds and for the single overall model, whose number is
+    bounded; for other groups (one row per ticker, say) the planner decides by measured size."""
     p = len(feats)
-    j = df.join(F.broadcast(coefs), on, "inner")
+    bounded = set(on) <= {"fold", "_all"}
+    j = df.join(F.broadcast(coefs) if bounded else coefs, on, "inner")
     pred = dot([F.col(f"b{i}") for i in range(p)], [F.col(f) for f in feats], F.col("intercept"))
     return j.select(*df.columns, pred.alias(out))
 
@@ -146,6 +173,7 @@ def sub_stats(g: DataFrame, feats: list[str], subset: list[str], keep: list[str]
         a, b = sorted((idx[i], idx[j]))
         cols.append(F.col(f"s{a}_{b}").alias(f"s{i}_{j}"))
     cols += [F.col(f"s{a}y").alias(f"s{i}y") for i, a in enumerate(idx)]
+    cols += [F.col(f"h{a}").alias(f"h{i}") for i, a in enumerate(idx)]
     return g.select(*keep, *cols)
 
 

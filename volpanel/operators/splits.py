@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from volpanel.schemas import N_FOLDS, SPLIT_THREE, TEST_FRAC
 from volpanel.session import reuse
-from volpanel.functions.rows import with_row
+from volpanel.functions.rows import require_date, with_row
 
 
 def floor_index(n: Column, q: float) -> Column:
@@ -30,6 +30,7 @@ def cutoff_dates(df: DataFrame, qs: list[float], col: str = "date") -> DataFrame
     scanned by a fold that keeps the running row count.  Columns ``c0, c1, …`` in the
     order of ``qs``.
     """
+    require_date(df, col)
     per_date = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     arr = per_date.agg(F.array_sort(F.collect_list(F.struct(F.col(col).alias("d"), F.col("_n").alias("n")))).alias("_a"))
     total = F.aggregate(F.col("_a"), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
@@ -85,6 +86,7 @@ def fold_edges(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> Data
     left-closed: fold = number of edges ≤ date.  With fewer distinct dates than folds
     the edges would repeat, which is an error (raised inside the plan).
     """
+    require_date(df, col)
     dates = df.agg(F.array_sort(F.collect_set(col)).alias("_d")).select("_d", F.size("_d").alias("m"))
     edges = dates.select(
         "m",

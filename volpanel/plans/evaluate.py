@@ -172,17 +172,22 @@ def benchmark_split(clean: DataFrame, feats: list[str] = V1, test_frac: float =
     train, test = j.where("is_train"), j.where(~F.col("is_train"))
     lin = trees.fit_predict(train, test, feats, trees.linear_ml(), log_target)
     rf = trees.fit_predict(train, test, feats, trees.forest(200, 6), log_target)
-    fc = garch.garch_grid(train).select("ticker", F.col("garch_vol").alias("pred"))
+    fc = garch.garch_fit(train).select("ticker", F.col("garch_vol").alias("pred"))
+    # every model is scored on the same test rows; ``unscored`` counts those without a forecast
     boards = [
-        metrics.metrics(naive(test), TARGET, "pred").withColumn("model", F.lit("Naive baseline (vol_5)")),
-        metrics.metrics(lin, TARGET, "pred").withColumn("model", F.lit("Linear regression")),
-        metrics.metrics(rf, TARGET, "pred").withColumn("model", F.lit("Random forest")),
-        metrics.metrics(test.join(fc, "ticker"), TARGET, "pred").withColumn("model", F.lit("GARCH(1,1)")),
+        metrics.metrics(naive(test), TARGET, "pred", unscored=True).withColumn("model", F.lit("Naive baseline (vol_5)")),
+        metrics.metrics(lin, TARGET, "pred", unscored=True).withColumn("model", F.lit("Linear regression")),
+        metrics.metrics(rf, TARGET, "pred", unscored=True).withColumn("model", F.lit("Random forest")),
+        metrics.metrics(test.join(fc, "ticker", "left"), TARGET, "pred", unscored=True).withColumn("model", F.lit("GARCH(1,1)")),
     ]
     out = boards[0]
     for b in boards[1:]:
         out = out.unionByName(b)
-    return out
+    # scores are compared as published: rounded to 6 places
+    out = out.select("rows", *[F.round(c, 6).alias(c) for c in ("RMSE", "MAE", "R2")], "unscored", "model")
+    return with_row(out, out.agg(F.max(F.when(F.col("model") == "Naive baseline (vol_5)", F.col("RMSE"))).alias("_base"))).select(
+        "*", F.round(metrics.improvement(F.col("_base"), F.col("RMSE")), 1).alias("improvement_pct")
+    ).drop("_base")
 
 
 def choose_model(board: DataFrame) -> DataFrame:

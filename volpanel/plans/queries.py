@@ -116,6 +116,12 @@ def q_tick_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(f, R6_V1)
 
 
+def q_tick_features_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in blocks of 48 ticks, so that the windows of most users cross block boundaries."""
+    f = feat.add_features_blocked(panels.user_ticks(spark, sf_dir), rows_per_block=48)
+    return rounded(f, R6_V1)
+
+
 def q_market_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = panels.market_day(spark, sf_dir)
     return rounded(market.market_features(m), ["vix_5", "vix_chg"])
@@ -262,12 +268,12 @@ def q_latest_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     coefs = linear.fit(clean_panel(spark, sf_dir), V1, TARGET)
-    return rounded(coefs.drop("_all"), [f"b{i}" for i in range(len(V1))] + ["intercept"], 8)
+    return rounded(coefs.drop("_all"), [f"b{i}" for i in range(len(V1))] + ["intercept"])
 
 
 def q_forecast_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = panels.supplier_day(spark, sf_dir)
-    as_of = prices.agg(F.max("date")).first()[0]
+    as_of = panels.table(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate"))).first()[0]  # one date column, no bars
     return publish.forecast_latest(prices, final_model(spark, sf_dir), as_of=as_of, months=6)
 
 
@@ -297,7 +303,7 @@ def q_walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_walk_forward_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = splits.assign_folds(v3_panel(spark, sf_dir))
-    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["XGB depth=3", "XGB depth=5"]).drop("fold_RMSEs")
+    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["GBT depth=3", "GBT depth=5"]).drop("fold_RMSEs")
 
 
 def q_select_on_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,16 +399,16 @@ def q_market_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_missing_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requested universe (every supplier) minus the tickers that have bars."""
+    """Requested universe (the numbers of every supplier and customer) minus the tickers that have bars."""
     sup = panels.table(spark, sf_dir, "supplier").select(panels.supplier_ticker(F.col("s_suppkey")).alias("ticker"))
-    return publish.missing_tickers(sup, panels.supplier_day(spark, sf_dir))
+    cust = panels.table(spark, sf_dir, "customer").select(panels.supplier_ticker(F.col("c_custkey")).alias("ticker"))
+    return publish.missing_tickers(sup.union(cust).distinct(), panels.supplier_day(spark, sf_dir))
 
 
 def q_prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flag-day bars pivoted to the wide quote layout and stacked back to long rows."""
-    flags = ["A", "N", "R"]
-    wide = files.to_wide(panels.flag_day(spark, sf_dir), flags)
-    return files.to_long(wide, flags)
+    wide = files.to_wide(panels.flag_day(spark, sf_dir))
+    return files.to_long(wide, files.wide_tickers(wide))
 
 
 REGISTRY = {
@@ -418,6 +424,7 @@ REGISTRY = {
     "parkinson": q_parkinson,
     "volume_ratio": q_volume_ratio,
     "tick_features": q_tick_features,
+    "tick_features_blocks": q_tick_features_blocks,
     "market_features": q_market_features,
     "features_v3_calendar": _v3("calendar"),
     "features_v3_ticker": _v3("ticker"),
@@ -443,6 +450,7 @@ REGISTRY = {
     "dashboard_mae": q_dashboard_mae,
     "latest_flag": q_latest_flag,
     "forecast_latest": q_forecast_latest,
+    "final_model": q_final_model,
     "export_check": q_export_check,
     "score_requests": q_score_requests,
     "score_requests_stream": q_score_requests_stream,

@@ -69,6 +69,19 @@ def reuse(df):
     return df
 
 
+def write_once(df, name: str = "table"):
+    """Write ``df`` to a new folder under the shared checkpoint folder and read it back.
+
+    For frames that hold layout-dependent values (partition ids, row numbers) and are read by
+    several branches: every reader sees the same written values, whatever is cached or reused.
+    """
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cpu_partitions(df) -> int:
     """Task count for CPU-heavy stages whose input is small in bytes.
 

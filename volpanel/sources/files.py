@@ -125,6 +125,15 @@ def to_long(wide: DataFrame, tickers: list[str], fields: list[str] = PRICE_FIELD
     return wide.select(F.col(date).alias("date"), F.inline(F.array(*cols)))
 
 
-def to_wide(long: DataFrame, tickers: list[str], fields: list[str] = PRICE_FIELDS) -> DataFrame:
-    """Long → wide with a fixed ticker list (the shape a quote downloader returns)."""
-    return long.groupBy("date").pivot("ticker", tickers).agg(*[F.first(f).alias(f) for f in fields])
+def to_wide(long: DataFrame, tickers: list[str] | None = None, fields: list[str] = PRICE_FIELDS) -> DataFrame:
+    """Long → wide (the shape a quote downloader returns), for the tickers asked for or all of the table's.
+
+    A wide table has a column per ticker, so Spark bounds the tickers found
+    (``spark.sql.pivotMaxValues``, an error beyond it).  One value per (date, ticker)."""
+    wide = long.groupBy("date").pivot("ticker", tickers) if tickers else long.groupBy("date").pivot("ticker")
+    return wide.agg(*[F.max(f).alias(f) for f in fields])
+
+
+def wide_tickers(wide: DataFrame, field: str = PRICE_FIELDS[0]) -> list[str]:
+    """The tickers of a wide table, read off its column names."""
+    return [c.removesuffix(f"_{field}") for c in wide.columns if c.endswith(f"_{field}")]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from volpanel.schemas import LINEAR_MODEL, TARGET, V1
 
-META_NOTE = "Predicts forward 5-day realized daily volatility (std of daily returns)."
+META_NOTE = "Forecast: standard deviation of the next five daily returns."
 
 
 def model_meta(df: DataFrame, target: str = TARGET, note: str = META_NOTE) -> DataFrame:
@@ -40,17 +40,56 @@ def save_model(model: DataFrame, meta: DataFrame, path: str, tickers: DataFrame
 
 def load_model(spark: SparkSession, paths: str | list[str], default_features: list[str] = V1) -> DataFrame:
     """The model row from the first readable location; a missing feature list takes the default."""
-    errors = []
+    from pyspark.errors import AnalysisException
+
+    tried = []
     for p in [paths] if isinstance(paths, str) else paths:
         try:
             m = spark.read.schema(LINEAR_MODEL).json(f"{p}/model")
-            if m.isEmpty():
-                raise FileNotFoundError(f"{p}/model is empty")
-            default = F.array(*[F.lit(f) for f in default_features])
-            return m.withColumn("features", F.coalesce(F.col("features"), default))
-        except Exception as e:  # noqa: BLE001 - try the next location
-            errors.append(f"{p}: {e}")
-    raise FileNotFoundError("no model bundle found: " + "; ".join(errors))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            tried.append(p)
+            continue
+        if m.isEmpty():
+            tried.append(p)
+            continue
+        return m.withColumn("features", F.coalesce(F.col("features"), F.array(*[F.lit(f) for f in default_features])))
+    raise FileNotFoundError("no model bundle found in " + ", ".join(tried))
+
+
+# ---- fitted Spark ML models (forests, boosted trees) ---------------------------------
+
+def save_ml(model, meta: DataFrame, path: str, feats: list[str], log_target: bool = False, cutoff: str | None = None, partitions: int | None = None) -> None:
+    """Bundle of a fitted Spark ML model: the model in Spark's format and one metadata row (its features
+    in order, whether it learned the log target, the cutoff date of its training rows, its sampling layout)."""
+    model.write().overwrite().save(f"{path}/ml")
+    row = meta.select(
+        "*", F.lit(type(model).__name__).alias("kind"), F.array(*[F.lit(f) for f in feats]).alias("features"), F.lit(log_target).alias("log_space"),
+        F.lit(cutoff).cast("string").alias("cutoff_date"), F.lit(partitions).cast("int").alias("partitions"),
+    )
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+
+def load_ml(spark: SparkSession, path: str):
+    """(model, metadata row) of ``save_ml``."""
+    from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel
+
+    kinds = {k.__name__: k for k in (GBTRegressionModel, LinearRegressionModel, RandomForestRegressionModel)}
+    meta = spark.read.json(f"{path}/meta").first()
+    return kinds[meta["kind"]].load(f"{path}/ml"), meta
+
+
+def predict_ml(df: DataFrame, bundle: tuple) -> DataFrame:
+    """``df`` with ``pred`` of a loaded bundle."""
+    from volpanel.functions.scalar import from_log
+    from volpanel.operators.trees import VEC
+
+    from pyspark.ml.feature import VectorAssembler
+
+    model, meta = bundle
+    out = model.transform(VectorAssembler(inputCols=list(meta["features"]), outputCol=VEC, handleInvalid="error").transform(df)).drop(VEC)
+    return out.withColumn("pred", from_log(F.col("pred"))) if meta["log_space"] else out
 
 
 def load_meta(spark: SparkSession, path: str) -> DataFrame:

@@ -22,12 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return (
-        li.where(F.col("l_quantity") > 0)
-        .select(
+        li.select(
             "l_suppkey",
             "l_returnflag",
             F.to_date("l_shipdate").alias("date"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("tick"),
+            # a zero quantity gives a NULL tick; its row still counts for the volume
+            F.try_divide("l_extendedprice", "l_quantity").alias("tick"),
             "l_quantity",
             # deterministic ordering key for open / close: the first four fields are
             # not unique on their own, the quantity breaks the remaining ties
@@ -38,10 +38,10 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bar_aggs() -> list[Column]:
     return [
-        F.min_by("tick", "ord").alias("open"),
+        F.min_by("tick", F.when(F.col("tick").isNotNull(), F.col("ord"))).alias("open"),
         F.max("tick").alias("high"),
         F.min("tick").alias("low"),
-        F.max_by("tick", "ord").alias("close"),
+        F.max_by("tick", F.when(F.col("tick").isNotNull(), F.col("ord"))).alias("close"),
         F.sum("l_quantity").alias("volume"),
     ]
 
