@@ -25,6 +25,8 @@ HEADLINE = [
     "score_requests",
     "forecast_latest",
     "garch_grid",
+    "walk_forward_board",
+    "final_model",
 ]
 
 

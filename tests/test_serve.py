@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from volpanel.plans import serve
-from volpanel.schemas import DEMO_REQUEST, V1
+from volpanel.schemas import DEMO_REQUEST, LINEAR_MODEL, V1
 from volpanel.streaming import scoring
 
 
@@ -89,3 +89,13 @@ def test_finalize_bundle_round_trip_with_fallback(spark):
     meta = load_meta(spark, path).first()
     assert meta["n_rows"] == 4984 and meta["n_tickers"] == 10
     assert spark.read.parquet(path + "/tickers").count() == 10
+
+
+def test_malformed_requests_are_rejected(spark):
+    model = spark.createDataFrame([(["a"], [2.0], 1.0, 5, False, None)], LINEAR_MODEL)
+    texts = {
+        '{"a":1}': 200, '{"a":1} x': 400, '{"a":1}{"a":2}': 400, '{"a":"1.5d"}': 400, '{"a":"1.5f"}': 400, '{"a":"1e1"}': 200, '{"a":" 2 "}': 200,
+        '{"features":{"a":1}}': 200, '{"body":"{\\"a\\":1}"}': 200, '{"body":"{\\"a\\":1} x"}': 400, '{"b":1}': 400, "": 400, "[1]": 400, '1, "z": 2': 400, '{"a":null}': 400,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "request string")
+    assert {r["request"]: r["statusCode"] for r in serve.score_requests(df, model).collect()} == texts

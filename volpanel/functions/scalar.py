@@ -32,9 +32,13 @@ def from_log(p: Column) -> Column:
     return F.exp(p)
 
 
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def to_double(x: Column) -> Column:
-    """Tolerant cast to double: unparsable text gives NULL."""
-    return x.try_cast("double")
+    """Tolerant cast to double: text that is not a plain decimal number (or inf / nan) gives NULL,
+    also where the engine's own cast would take a type suffix such as ``1.5d``."""
+    return F.when(x.cast("string").rlike(NUMBER), x.try_cast("double"))
 
 
 def dot(coef: list[float] | Column, xs: list[Column] | Column, intercept: float | Column) -> Column:

@@ -104,8 +104,9 @@ def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float
 # ---- free-ω refinement per ticker (NumPy inside mapInPandas) -----------------------
 
 EDGE = 0.9999  # largest α + β
-ROUNDS = 80
+ROUNDS = 200
 LEAST_STEP = 1e-4
+LEAST_GAIN = 1e-4  # log-likelihood units
 
 
 def _recursion(r2: np.ndarray, n: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, vbar: np.ndarray):
@@ -154,7 +155,7 @@ def fit_batch(series: list[np.ndarray], horizon: int) -> list[tuple]:
         a = np.maximum(best[0][:, None] + d[:, :, 0], 0.0)
         b = np.clip(best[1][:, None] + d[:, :, 1], 0.0, np.maximum(EDGE - a, 0.0))
         new = evaluate(a, b, best[2][:, None] * np.exp(d[:, :, 2]))
-        better = new[4] > best[4] + 1e-9
+        better = new[4] > best[4] + LEAST_GAIN
         best = tuple(np.where(better, x, y) for x, y in zip(new, best))
         step = np.where(better, step, step / 2)
     done = step * size[1] < LEAST_STEP

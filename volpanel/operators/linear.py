@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from volpanel.functions.rows import with_row
 from volpanel.functions.scalar import dot
+from volpanel.session import write_once
 
 
 def _pairs(p: int):
@@ -134,6 +135,7 @@ def fit_walk_forward(folded: DataFrame, feats: list[str], y: str, include_first:
         g = folds.join(g, "fold", "left").na.fill(0.0, subset=stat_names(p))
     else:
         g = gram(folded, feats, y, ["fold"])
+    g = write_once(g, "gram")
     return solve(expanding(g, p, "fold", include_first), p, ["fold"])
 
 
@@ -187,7 +189,8 @@ def fit_walk_forward_sets(folded: DataFrame, sets: dict[str, list[str]], y: str)
     union: list[str] = []
     for feats in sets.values():
         union += [f for f in feats if f not in union]
-    g = gram(folded, union, y, ["fold"])
+    # the few fold rows are written once: the solves then plan over a tiny table, not over the panel
+    g = write_once(gram(folded, union, y, ["fold"]), "gram")
     out = None
     for t, feats in enumerate(sets.values()):
         p = len(feats)

@@ -48,6 +48,15 @@ def read_linear(spark, path: str) -> DataFrame:
     return spark.read.schema(LINEAR_MODEL).json(path)
 
 
+def json_object(text: Column) -> Column:
+    """The map of a text that is one whole JSON object, else NULL.
+
+    ``from_json`` stops behind the object and would pass ``{"a":1} x``; the same text as a value
+    inside another object parses only if nothing follows it."""
+    whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), STR_MAP)
+    return F.when(whole.isNotNull(), F.from_json(text, STR_MAP))
+
+
 def unwrap_request(df: DataFrame, raw: str = "request", out: str = "_f") -> DataFrame:
     """Adds ``out``: map of feature name → raw value text (NULL when not a JSON object).
 
@@ -55,13 +64,13 @@ def unwrap_request(df: DataFrame, raw: str = "request", out: str = "_f") -> Data
     JSON parse is evaluated once per row.
     """
     empty = F.create_map().cast(STR_MAP)
-    df = df.withColumn("_ev", F.from_json(F.col(raw), STR_MAP))
+    df = df.withColumn("_ev", json_object(F.col(raw)))
     body_txt = F.col("_ev")["body"]
     df = df.withColumn(
         "_body",
         F.when(
             F.map_contains_key(F.col("_ev"), "body"),
-            F.when(body_txt.isNull() | (F.trim(body_txt) == ""), empty).otherwise(F.from_json(body_txt, STR_MAP)),
+            F.when(body_txt.isNull() | (F.trim(body_txt) == ""), empty).otherwise(json_object(body_txt)),
         ).otherwise(F.col("_ev")),
     )
     df = df.withColumn(
