@@ -100,7 +100,7 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 15) -> np.ndarray:
     """Newton's method; the last weight is the intercept (not shrunk)."""
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
@@ -110,7 +110,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
         p = sigmoid(a @ w)
         step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag(penalty), a.T @ (y - p) - penalty * w)
         w += step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3:
             break
     return w
 
