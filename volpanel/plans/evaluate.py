@@ -48,7 +48,12 @@ def walk_forward_metrics(folded: DataFrame, feats: list[str] = V1, purge: bool =
 
 
 def linear_board(folded: DataFrame, sets: dict[str, list[str]], with_naive: bool = False) -> DataFrame:
-    """Scoreboard rows (features, model, mean_RMSE, std_RMSE, fold_RMSEs) for linear candidates.
+    """Scoreboard rows (features, model, mean_RMSE, std_RMSE, fold_RMSEs) for linear candidates."""
+    return metrics.summarise_folds(linear_fold_scores(folded, sets, with_naive), ["features", "model"])
+
+
+def linear_fold_scores(folded: DataFrame, sets: dict[str, list[str]], with_naive: bool = False) -> DataFrame:
+    """(fold, features, model, RMSE) of every linear candidate and out-of-sample fold.
 
     All candidates share one statistics pass over the union of their features, one
     broadcast of the coefficient rows (one per fold), one projection holding every
@@ -70,11 +75,10 @@ def linear_board(folded: DataFrame, sets: dict[str, list[str]], with_naive: bool
         errs.append(F.sqrt(F.avg((base - y) * (base - y))).alias("r_naive"))
         rows.append((BASELINE, "Naive", "r_naive"))
     per_fold = scored.groupBy("fold").agg(*errs)
-    stacked = per_fold.select(
+    return per_fold.select(
         "fold",
         F.inline(F.array(*[F.struct(F.lit(f).alias("features"), F.lit(m).alias("model"), F.col(c).alias("RMSE")) for f, m, c in rows])),
     )
-    return metrics.summarise_folds(stacked, ["features", "model"])
 
 
 def documented_metrics(clean: DataFrame, feats: list[str] = V1, n_folds: int = N_FOLDS) -> DataFrame:
@@ -124,6 +128,19 @@ def split_two_scored(df: DataFrame, feats: list[str] = V1, test_frac: float = 0.
     return m_base.unionByName(m_lin)
 
 
+def split_two_log_scored(df: DataFrame, feats: list[str] = V1, test_frac: float = 0.20) -> DataFrame:
+    """Single chronological split: naive, and the linear model that learns ln(y + ε) and predicts exp(·)."""
+    from volpanel.functions.scalar import from_log, to_log
+
+    j = with_row(df, cutoff_dates(df, [1.0 - test_frac])).withColumn("is_train", F.col("date") < F.col("c0")).drop("c0")
+    coefs = linear.fit(j.where("is_train").withColumn("_ly", to_log(F.col(TARGET))), feats, "_ly")
+    test = j.where(~F.col("is_train"))
+    lin = linear.predict(test.withColumn("_all", F.lit(0)), coefs, feats, ["_all"]).withColumn("pred", from_log(F.col("pred")))
+    boards = [metrics.metrics(naive(test), TARGET, "pred").withColumn("model", F.lit("Naive baseline (vol_5)"))]
+    boards.append(metrics.metrics(lin, TARGET, "pred").withColumn("model", F.lit("Log-linear regression")))
+    return boards[0].unionByName(boards[1])
+
+
 # ---- tree candidates, selection and single-split benchmarks ----------------------
 
 def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: list[str], workers: int = 4) -> DataFrame:

@@ -111,5 +111,14 @@ def forecast_latest(prices: DataFrame, model: DataFrame, as_of=None, months: int
     return out
 
 
+def request_status(requested: DataFrame, prices: DataFrame, as_of, months: int = 6) -> DataFrame:
+    """What becomes of every requested ticker: ``forecast``, ``skipped`` (too few closes) or ``absent``."""
+    closes = lookback(prices.select("date", "ticker", "close").where(F.col("close").isNotNull()), as_of, months)
+    n = closes.groupBy("ticker").agg(F.count("close").alias("closes"))
+    known = requested.select("ticker").distinct().join(n, "ticker", "left")
+    status = F.when(F.col("closes") >= MIN_CLOSES, "forecast").when(F.col("closes") > 0, "skipped").otherwise("absent")
+    return known.select("ticker", F.coalesce("closes", F.lit(0)).cast("long").alias("closes"), status.alias("status"))
+
+
 def rank_forecasts(fc: DataFrame) -> DataFrame:
     return fc.orderBy(F.col("pred_annual_%").desc(), F.col("ticker").asc())

@@ -273,10 +273,43 @@ def q_final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_forecast_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = panels.supplier_day(spark, sf_dir)
-    as_of = panels.table(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate"))).first()[0]  # one date column, no bars
+    as_of = _last_day(spark, sf_dir)  # one date column, no bars
     return publish.forecast_latest(prices, final_model(spark, sf_dir), as_of=as_of, months=6)
 
 
+def _last_day(spark: SparkSession, sf_dir: str):
+    return panels.table(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate"))).first()[0]
+
+
+def q_forecast_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest forecasts in descending order, with their rank (equal forecasts share it)."""
+    from pyspark.sql import Window
+
+    fc = publish.rank_forecasts(q_forecast_latest(spark, sf_dir))
+    # equal-valued forecasts are counted first: the window runs over distinct published values only
+    per_value = fc.groupBy("pred_annual_%").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(F.col("pred_annual_%").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = per_value.select("pred_annual_%", (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("long").alias("rank"))
+    return fc.join(ranks, "pred_annual_%").select("rank", "ticker", "pred_annual_%")
+
+
+def q_request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of a requested universe that holds tickers without bars."""
+    sup = panels.table(spark, sf_dir, "supplier").select(panels.supplier_ticker(F.col("s_suppkey")).alias("ticker"))
+    cust = panels.table(spark, sf_dir, "customer").select(panels.supplier_ticker(F.col("c_custkey")).alias("ticker"))
+    return publish.request_status(sup.union(cust), panels.supplier_day(spark, sf_dir), _last_day(spark, sf_dir))
+
+
+def q_walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold scores behind the linear board, one row per feature set and fold."""
+    folded = splits.assign_folds(v3_panel(spark, sf_dir))
+    return rounded(evaluate.linear_fold_scores(folded, FEATURE_SETS, with_naive=True), ["RMSE"])
+
+
+def q_split_log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.split_two_log_scored(clean_panel(spark, sf_dir)), METRIC_COLS)
+
+
 def q_export_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Self-check of the exported model: its prediction for the fixed demo request."""
     from volpanel.functions.scalar import annualise
@@ -450,6 +483,10 @@ REGISTRY = {
     "dashboard_mae": q_dashboard_mae,
     "latest_flag": q_latest_flag,
     "forecast_latest": q_forecast_latest,
+    "forecast_ranked": q_forecast_ranked,
+    "request_status": q_request_status,
+    "walk_forward_scores": q_walk_forward_scores,
+    "split_log_metrics": q_split_log_metrics,
     "final_model": q_final_model,
     "export_check": q_export_check,
     "score_requests": q_score_requests,
