@@ -13,8 +13,8 @@ are checked in the join.  ``known`` asks for each query whether any fingerprint
 join, so a crowded bucket never multiplies rows, and equal fingerprints are one row.
 
 Editing.  ``edited`` replaces the last floor(n/2) code points of a document with the first of the next
-document by doc_id.  Neighbours are found in range buckets of equal depth (their bounds are at most
-``BUCKETS`` numbers), each bucket also receiving the first row of the next one; no global sort runs.
+document by doc_id.  Neighbours are found in range buckets of equal depth (two per
+shuffle partition; their bounds are the only numbers that the driver sees), each bucket also receiving the first row of the next one; no global sort runs.
 
 Defined cases: null or empty text has no terms and fingerprint zero; a row without doc_id is
 left out (it has no place in the order); rows that repeat a doc_id are ordered by text; rows that are
@@ -35,7 +35,6 @@ from volpanel.llm.simhash import majority, vote_sums
 MOST_WEIGHT = 32
 RADIUS = 3
 BLOCKS = 6
-BUCKETS = 1024
 
 
 # ---- fingerprints --------------------------------------------------------------------
@@ -98,20 +97,39 @@ def known(queries: DataFrame, fps: DataFrame, radius: int = RADIUS) -> DataFrame
 
 # ---- edited texts ----------------------------------------------------------------------
 
-def with_next(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, text, next_id, next_text: every row with its successor by (doc_id, text); the last's is the first."""
+def constants(values: list) -> Column:
+    """An array of whole numbers (or nulls) as one constant, folded by the optimiser."""
+    return F.split(F.lit(",".join("" if v is None else str(int(v)) for v in values)), ",").try_cast("array<bigint>")
+
+
+def cuts_up_to(x: Column, bounds: Column, n: int) -> Column:
+    """How many of the ``n`` sorted ``bounds`` are at most ``x``: a binary search."""
+    if not n:
+        return F.lit(0)
+
+    def halve(acc, _):
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        right = (F.get(bounds, mid) <= x) & (acc["lo"] < acc["hi"])
+        return F.struct(F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(right | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")), halve, lambda acc: acc["lo"])
+
+
+def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """doc_id, text, next_id, next_text: every row with its successor by (doc_id, text); the last's is the first.
+
+    ``buckets`` (twice the shuffle partitions if not given) sets how much of the table one window sorts."""
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n = min(buckets, 2 * shuffle_parts(docs.sparkSession))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] if n > 1 else [0.5], 100 * n)).first()[0]
+    n = buckets or 2 * shuffle_parts(docs.sparkSession)
+    cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] if n > 1 else [0.5], min(100 * n, 1_000_000))).first()[0]
     cuts = sorted(set(cuts or []))
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))
+    bucket = cuts_up_to(F.col("doc_id"), constants(cuts), len(cuts))
     heads = sorted(rows.select("doc_id").groupBy(bucket.alias("b")).agg(F.min("doc_id").alias("head")).collect())  # one per bucket
     if not heads:
         return rows.select("doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
     # the row that opens a bucket also goes, as a guest, to the bucket before (the first to the last)
-    before = F.array(*[F.lit(int(b)) for b in _previous([h.b for h in heads], len(cuts) + 1)])
-    opens = F.array(*[F.lit(h).cast("long") for h in _heads(heads, len(cuts) + 1)])
+    before = constants(_previous([h.b for h in heads], len(cuts) + 1)).cast("array<int>")
+    opens = constants(_heads(heads, len(cuts) + 1))
     home = rows.withColumn("bucket", bucket)
     guest = F.when(F.element_at(opens, F.col("bucket") + 1) == F.col("doc_id"), F.array(F.struct(F.element_at(before, F.col("bucket") + 1).alias("b"), F.lit(1).alias("guest"))))
     places = F.concat(F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest"))), F.coalesce(guest, F.array().cast("array<struct<b:int,guest:int>>")))
