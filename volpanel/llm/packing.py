@@ -162,18 +162,20 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH)
 
         encoder = Encoder.of_worker(path)
         gc.disable()  # the words' lists hold no cycles, but each collection would walk them all
-        for b in batches:
-            ids, rows, texts = (b.column(k).to_pylist() for k in range(3))
-            for lo in range(0, len(texts), 500):
-                out = {k: [] for k in ("doc_id", "row_id", "piece", "start", "length", "ids_crc32")}
-                for doc, row, got in zip(ids[lo : lo + 500], rows[lo : lo + 500], encoder(texts[lo : lo + 500])):
-                    got = np.append(got, np.uint32(END_ID)).astype("<u4")
-                    for k, start in enumerate(range(0, len(got), length)):
-                        part = got[start : start + length]
-                        for name, v in zip(out, (doc, row, k, start, len(part), zlib.crc32(part.tobytes()))):
-                            out[name].append(v)
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(out["doc_id"], b.schema.field(0).type), "row_id": pa.array(out["row_id"], pa.int64()), "piece": pa.array(out["piece"], pa.int32())} | {k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")})
-        gc.enable()
+        try:
+            for b in batches:
+                ids, rows, texts = (b.column(k).to_pylist() for k in range(3))
+                for lo in range(0, len(texts), 500):
+                    out = {k: [] for k in ("doc_id", "row_id", "piece", "start", "length", "ids_crc32")}
+                    for doc, row, got in zip(ids[lo : lo + 500], rows[lo : lo + 500], encoder(texts[lo : lo + 500])):
+                        got = np.append(got, np.uint32(END_ID)).astype("<u4")
+                        for k, start in enumerate(range(0, len(got), length)):
+                            part = got[start : start + length]
+                            for name, v in zip(out, (doc, row, k, start, len(part), zlib.crc32(part.tobytes()))):
+                                out[name].append(v)
+                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(out["doc_id"], b.schema.field(0).type), "row_id": pa.array(out["row_id"], pa.int64()), "piece": pa.array(out["piece"], pa.int32())} | {k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")})
+        finally:
+            gc.enable()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), "text")
