@@ -154,13 +154,14 @@ class Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
-    """doc_id, row_id, piece, start, length, ids_crc32: one row per piece."""
-    path = tokenizer or default_tokenizer()
+    """doc_id, row_id, piece, start, length, ids_crc32: one row per piece.
+
+    ``tokenizer`` is the vocabulary file as the workers see it; without it each worker asks its own installation."""
 
     def run(batches):
         import gc
 
-        encoder = Encoder.of_worker(path)
+        encoder = Encoder.of_worker(tokenizer or default_tokenizer())
         gc.disable()  # the words' lists hold no cycles, but each collection would walk them all
         try:
             for b in batches:
