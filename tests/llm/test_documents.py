@@ -123,8 +123,9 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 100 for i in range(101, 161)} | {k: 3 for k in [7, *range(200, 500)]}
 
 
-def test_substring_dedup(docs, rows, none):
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.report(docs).collect()}
+@pytest.mark.parametrize("crowded", [2, substring_dedup.CROWDED])
+def test_substring_dedup(docs, rows, none, crowded):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.report(docs, crowded=crowded).collect()}
     assert got == brute.substring_dedup(list(dict(rows).items()))
     assert substring_dedup.report(none).count() == 0
 

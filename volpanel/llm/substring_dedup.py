@@ -11,6 +11,8 @@ there: the work grows with the text, not with text times shards.
    one row per task, and only hashes travel.
 2. Per shard, equal segments are reduced again.  A minimizer left with one segment has no other match.
    The first occurrences of segments whose minimizer has several ask for their words.
+   A minimizer with more than ``CROWDED`` differing segments (near copies of one passage) has its windows
+   dealt one by one, by the hash of their own words, so that they spread over all shards.
 3. Those words are dealt to the shards.  A shard builds a compressed FM-index (``fmindex``: bounded suffix
    array, wavelet tree over packed rank vectors) of its segments, and streams them through
    backward search; matching statistics of the full ``WINDOW`` length give the suffix-array interval
@@ -42,6 +44,7 @@ GRAM = 5
 MOST_WINDOWS = 64  # a longer run of one minimizer is cut into segments of so many windows
 CHUNK_CHARS = 24_000_000  # text that a task holds at once
 SHARDS_PER_PARTITION = 4
+CROWDED = 1024  # differing segments of a minimizer beyond which its windows are dealt one by one
 
 
 # ---- segments --------------------------------------------------------------------------
@@ -94,7 +97,7 @@ def segments(mins: np.ndarray, most: int = MOST_WINDOWS) -> tuple[np.ndarray, np
 
 
 SEGMENT = "kind int, shard int, mini long, h1 long, h2 long, doc_id long, start int, windows int"
-FIRST, REPEAT, ASK, TWICE = 0, 1, 2, 3
+FIRST, REPEAT, ASK, TWICE, DEAL = 0, 1, 2, 3, 4
 
 
 def segment_rows(docs: DataFrame, shards: int, window: int) -> DataFrame:
@@ -153,7 +156,14 @@ def segment_rows(docs: DataFrame, shards: int, window: int) -> DataFrame:
 RESOLVED = "kind int, mini long, doc_id long, start int, windows int"
 
 
-def resolve(t: pa.Table) -> pa.Table:
+def resolver(crowded: int):
+    def run(t: pa.Table) -> pa.Table:
+        return resolve(t, crowded)
+
+    return run
+
+
+def resolve(t: pa.Table, crowded: int = CROWDED) -> pa.Table:
     """One shard: repeats of equal segments, and requests for the words of segments that share a minimizer."""
     kind, mini, h1, h2, doc, start, n = (t.column(c).to_numpy() for c in ("kind", "mini", "h1", "h2", "doc_id", "start", "windows"))
     done = np.flatnonzero(kind == REPEAT)
@@ -169,9 +179,9 @@ def resolve(t: pa.Table) -> pa.Table:
         firsts = own[lead]
         _, code, count = np.unique(mini[firsts], return_inverse=True, return_counts=True)
         # several segments, or one that can hold a window twice
-        ask = firsts[(count[code] > 1) | (kind[firsts] == TWICE)]
-        out += [later, ask]
-        out_kind += [np.full(len(later), REPEAT, np.int32), np.full(len(ask), ASK, np.int32)]
+        several = (count[code] > 1) | (kind[firsts] == TWICE)
+        out += [later, firsts[several]]
+        out_kind += [np.full(len(later), REPEAT, np.int32), np.where(count[code][several] > crowded, DEAL, ASK).astype(np.int32)]
     rows = np.concatenate(out)
     return pa.table({"kind": np.concatenate(out_kind), "mini": mini[rows], "doc_id": doc[rows], "start": start[rows], "windows": n[rows]})
 
@@ -227,24 +237,32 @@ def asked_words(docs: DataFrame, asked: DataFrame, shards: int, window: int) ->
             for doc, text, segs in zip(*(b.column(k).to_pylist() for k in range(3))):
                 words = (text or "").encode().split()
                 for s in segs:
-                    out["shard"].append(s["shard"])
-                    out["doc_id"].append(doc)
-                    out["start"].append(s["start"])
-                    out["words"].append(b" ".join(words[s["start"] : s["start"] + s["windows"] + window - 1]))
+                    at, n = s["start"], s["windows"]
+                    if s["deal"]:  # every window goes where its own words send it
+                        home = [xxhash.xxh64_intdigest(b" ".join(words[i : i + window])) % shards for i in range(at, at + n)]
+                        runs = [i for i in range(n) if i == 0 or home[i] != home[i - 1]]
+                        parts = [(home[i], at + i, j - i) for i, j in zip(runs, [*runs[1:], n])]
+                    else:
+                        parts = [(s["shard"], at, n)]
+                    for shard, first, size in parts:
+                        out["shard"].append(shard)
+                        out["doc_id"].append(doc)
+                        out["start"].append(first)
+                        out["words"].append(b" ".join(words[first : first + size + window - 1]))
             yield pa.RecordBatch.from_pydict({"shard": pa.array(out["shard"], pa.int32()), "doc_id": pa.array(out["doc_id"], pa.int64()), "start": pa.array(out["start"], pa.int32()), "words": pa.array(out["words"], pa.binary())})
 
     home = F.pmod(F.xxhash64("mini"), F.lit(shards)).cast("int")
-    per_doc = asked.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct(home.alias("shard"), "start", "windows")).alias("segs"))
+    per_doc = asked.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct(home.alias("shard"), "start", "windows", (F.col("kind") == DEAL).alias("deal"))).alias("segs"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(per_doc, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "segs")
     return rows.mapInArrow(run, "shard int, doc_id long, start int, words binary")
 
 
-def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeats(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED) -> DataFrame:
     """(doc_id, start, windows): runs of windows whose words also start earlier."""
     shards = SHARDS_PER_PARTITION * shuffle_parts(docs.sparkSession)
     rows = segment_rows(docs, shards, window)
-    resolved = stored(rows.groupBy("shard").applyInArrow(resolve, RESOLVED), "segments")
-    words = asked_words(docs, resolved.where(F.col("kind") == ASK), shards, window)
+    resolved = stored(rows.groupBy("shard").applyInArrow(resolver(crowded), RESOLVED), "segments")
+    words = asked_words(docs, resolved.where(F.col("kind") != REPEAT), shards, window)
     searched = words.groupBy("shard").applyInArrow(search_shard(window), "doc_id long, start int, windows int")
     return resolved.where(F.col("kind") == REPEAT).select("doc_id", "start", "windows").unionByName(searched)
 
@@ -257,9 +275,9 @@ def covered(n: int, starts: list[int], windows: list[int], window: int) -> np.nd
     return np.cumsum(edge[:-1]) > 0
 
 
-def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def report(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed, kept_sha256."""
-    runs = repeats(docs, window).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
+    runs = repeats(docs, window, crowded).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
 
     def run(batches):
         for b in batches:
