@@ -22,7 +22,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -113,12 +113,6 @@ class Encoder:
         return [memo[p[0]] if len(p) == 1 else memo[p[0]] + memo[p[1]] if len(p) == 2 else tuple(chain.from_iterable(map(memo.__getitem__, p))) for p in out]
 
     def learn(self, words: set[bytes]):
-        if len(self.words) + len(words) > self.MOST:
-            self.clear()
-        else:
-            words = words.difference(self.words)
-        if not words:
-            return
         todo = list(words)
         lists = self.ids_of(todo)
         self.words.update(zip(todo, range(len(self.words), len(self.words) + len(todo))))
@@ -131,14 +125,21 @@ class Encoder:
     def __call__(self, texts: list):
         """uint32 ids of each text."""
         split = [t.encode().lower().split() if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
-        self.learn({w for words in split for w in words})
-        get = self.words.__getitem__
-        for words in split:
-            at = np.fromiter(map(get, words), np.int64, len(words))
-            n = self.sizes[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            yield self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(total)]
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            unknown = {words[i] for i in new}
+            if len(self.words) + len(unknown) > self.MOST:
+                self.clear()
+                unknown, new = set(words), range(len(words))
+            self.learn(unknown)
+            at[new] = np.fromiter((self.words[words[i]] for i in new), np.int64, len(new))
+        n = self.sizes[at]
+        ends = np.cumsum(n)
+        ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        stops = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        return [ids[a:b] for a, b in zip(stops[:-1], stops[1:])]
 
     @staticmethod
     def parts(w: bytes) -> list[bytes]:
