@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 
+import numpy as np
 import pytest
 
 from volpanel.llm import gbdt, html_extract, warc
@@ -91,3 +92,32 @@ def test_decoding_is_consistent():
     # a block alone can't outweigh a dropped parent; a strong one pulls its ancestors in
     assert html_extract.decode(nodes, np.array([1.0, -3.0, 2.0, -1.0, 4.0])) == ["y"]
     assert html_extract.decode(nodes, np.array([-9.0, -3.0, 2.0, -1.0, 4.0])) == []
+
+
+@pytest.mark.parametrize("n", [5, 60, 61, 300])
+def test_sibling_features_at_any_number_of_siblings(n):
+    page = "<div>" + "".join(f"<{t}>{'w ' * (k % 9)}<a href=x>{'l' * (k % 5)}</a>e</{t}>" for k in range(n) for t in ["p" if k % 3 else "pre"]) + "</div>"
+    nodes, x = html_extract.feature_rows(html_extract.parse(page)[0])
+    kids = nodes[1].kids
+    at = {id(node): r for r, node in enumerate(nodes)}
+    assert len(kids) == n
+    for i, k in enumerate(kids):
+        v = x[at[id(k)]]
+        before, after = kids[i - 1] if i else None, kids[i + 1] if i + 1 < n else None
+        assert v[13] == np.float32(sum(o.tag == k.tag for o in kids) / n) and v[23] == np.float32(i / n)
+        assert v[15] == np.float32(np.log1p(before.size) if before else -1) and v[16] == np.float32(np.log1p(after.size) if after else -1)
+        assert v[17] == np.float32(before.links / before.size if before else 0) and v[18] == np.float32(after.links / after.size if after else 0)
+
+
+def test_deep_elements_close_themselves():
+    for depth in (50, 1000):
+        root, blocks = html_extract.parse("<section>" * depth + "in" + "</section>" * (depth - 1) + "out")
+        assert [(b.text, b.depth) for b in blocks] == [("in", depth + 1), ("out", 2)]
+
+
+def test_extraction_on_pages_with_hundreds_of_siblings(model):
+    pages = html_extract.generated(500, 78)
+    long = [(nodes, x) for nodes, x, _ in pages if max(len(n.kids) for n in nodes) > 60]
+    assert len(long) > 30
+    right = sum(html_extract.decode(nodes, gbdt.predict(model, x)) == [n.text for n in nodes if n.text is not None and n.label] for nodes, x in long)
+    assert right / len(long) > 0.9

@@ -11,7 +11,8 @@ is kept inside a dropped part, and no part is kept for nothing.  The text of kep
 
 The trees are fitted on ``PAGES`` generated pages (bounded, seeded) whose parts are known: articles in many
 containers, with menus, headers, footers, sidebars, notices, adverts, forms, related links and
-reader comments, with and without telling tags and classes, well-formed or not.
+reader comments, with and without telling tags and classes, well-formed or not, some with hundreds of siblings.
+Children of one parent are numbered once and open elements are found by tag, so no size or depth changes the method.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
 order.  Scripts, styles, comments and other non-text elements are never text.
@@ -27,6 +28,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +102,8 @@ def parse(source: str) -> tuple[Node, list[Node]]:
     """(root, text blocks in page order)."""
     root = Node("html", None)
     stack, blocks = [root], []
+    places: dict[str, list[int]] = {}  # tag -> places in the stack, so that no depth makes a search long
+    scopes = [0]
     buffer: list[str] = []
     link_from, links, inline_cues, inline_tags = -1, 0, [], 0
     inlines: list[str] = []
@@ -111,6 +115,17 @@ def parse(source: str) -> tuple[Node, list[Node]]:
             if link_from >= 0:
                 links += len(piece)
 
+    def top(*tags):
+        """Place of the innermost open element with one of these tags; 0: none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def cut(k):
+        while len(stack) > k:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if tag in SCOPE:
+                scopes.pop()
+
     def flush():
         nonlocal links, inline_cues, inline_tags
         if buffer:
@@ -143,13 +158,10 @@ def parse(source: str) -> tuple[Node, list[Node]]:
                 if tag == "a":
                     link_from = -1
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    flush()
-                    del stack[k:]
-                    break
-                if tag in ("p", "li") and stack[k].tag in SCOPE and stack[k].tag != tag:
-                    break
+            k = top(tag)
+            if k and (tag not in ("p", "li") or k > scopes[-1]):
+                flush()
+                cut(k)
             continue
         if tag in RAW:
             if attrs.endswith("/"):
@@ -173,28 +185,21 @@ def parse(source: str) -> tuple[Node, list[Node]]:
         flush()
         link_from = -1
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in SCOPE:
-                    break
+            if (k := top("p")) > scopes[-1]:
+                cut(k)
         if tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
             same = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in same:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("ul", "ol", "table", "dl", "select") or tag != "tr" and stack[k].tag == "tr":
-                    break
-        if tag in ("html", "body") and any(s.tag == tag for s in stack):
+            if (k := top(*same)) > top("ul", "ol", "table", "dl", "select", *(() if tag == "tr" else ("tr",))):
+                cut(k)
+        if tag == "html" or tag == "body" and places.get("body"):
             continue
         if tag in VOID:
             continue
         node = Node(tag, stack[-1], cues_of(attrs) if "=" in attrs else (), bool(HIDDEN.search(attrs)) if attrs else False)
+        places.setdefault(tag, []).append(len(stack))
+        if tag in SCOPE:
+            scopes.append(len(stack))
         stack.append(node)
-        if len(stack) > 400:  # a page this deep is flattened from here on
-            stack.pop()
     flush()
     return root, blocks
 
@@ -226,6 +231,11 @@ def feature_rows(root: Node) -> tuple[list[Node], np.ndarray]:
             p.stops += n.stops
             p.words += n.words
     total = max(1, root.size)
+    beside = {id(root): (0, 1, None, None)}  # place among the parent's children, those of the same tag, the one before, the one after
+    for n in nodes:
+        counts = Counter(k.tag for k in n.kids)
+        for i, (k, before, after) in enumerate(zip(n.kids, [None, *n.kids], [*n.kids[1:], None])):
+            beside[id(k)] = i, counts[k.tag], before, after
     out = np.zeros((len(nodes), 26 + N_TAGS + 2 * N_CUES), np.float32)
     up: dict[int, tuple] = {}
     for r, n in enumerate(nodes):
@@ -238,13 +248,7 @@ def feature_rows(root: Node) -> tuple[list[Node], np.ndarray]:
         hidden = hidden or n.hidden
         up[id(n)] = (above_tags | (1 << group if group >= 0 else 0), above_cues | own, hidden)
         kids = p.kids if p is not None else [n]
-        same = before = after = 0
-        if len(kids) <= 60:
-            i = kids.index(n)
-            same = sum(k.tag == n.tag for k in kids)
-            before, after = (kids[i - 1] if i else None), (kids[i + 1] if i + 1 < len(kids) else None)
-        else:
-            i, same, before, after = 30, len(kids) // 2, None, None
+        i, same, before, after = beside[id(n)]
         size = n.size
         v = out[r]
         v[0] = n.text is not None
@@ -332,8 +336,12 @@ class Maker:
         name = self.r.choice([name, f"{self.r.choice(self.vocab)}-{name}", f"{name}-{self.r.choice(['box', 'area', 'wrap', 'inner', '2'])}"])
         return f' {self.r.choice(["class", "class", "id"])}="{name}"'
 
+    def many(self, lo, hi):
+        """A count; now and then one of a long page, up to hundreds."""
+        return self.r.randint(lo, hi) if self.r.random() < 0.97 else self.r.randint(60, 400)
+
     def menu(self):
-        items = [self.link() for _ in range(self.r.randint(3, 12))]
+        items = [self.link() for _ in range(self.many(3, 12))]
         body = self.r.choice(["<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>", " | ".join(items), "".join(f"<div>{x}</div>" for x in items)])
         return self.r.choice([f"<nav{self.attr(['menu', 'nav'], 0.4)}>{body}</nav>", f"<div{self.attr(['menu', 'navbar', 'navigation', 'breadcrumbs'], 0.9)}>{body}</div>"])
 
@@ -363,7 +371,7 @@ class Maker:
 
     def comments(self):
         one = lambda: self.r.choice([f"<div{self.attr(['comment', 'reply'], 0.9)}><b>{self.words(1, 1)[0]}</b><p>{self.prose(1, 4)}</p></div>", f"<li><span>{self.words(1, 1)[0]}</span> <p>{self.prose(1, 3)}</p></li>"])
-        inner = self.r.choice(["", f"<h3>{self.r.randint(1, 40)} Comments</h3>"]) + "".join(one() for _ in range(self.r.randint(1, 6)))
+        inner = self.r.choice(["", f"<h3>{self.r.randint(1, 40)} Comments</h3>"]) + "".join(one() for _ in range(self.many(1, 6)))
         return self.r.choice(["<section{}>{}</section>", "<div{}>{}</div>", "<ol{}>{}</ol>"]).format(self.attr(["comments", "commentlist", "discussion", "replies", "respond"], 1), inner)
 
     def share(self):
@@ -382,13 +390,13 @@ class Maker:
         if kind < 0.72:
             return f"<h{(k := r.randint(2, 4))}>{m}{' '.join(self.words(1, 8))}</h{k}>"
         if kind < 0.80:
-            return "<ul>" + "".join(f"<li>{m}{r.choice([self.sentence(2, 12), ' '.join(self.words(1, 5))])}</li>" for _ in range(r.randint(2, 6))) + "</ul>"
+            return "<ul>" + "".join(f"<li>{m}{r.choice([self.sentence(2, 12), ' '.join(self.words(1, 5))])}</li>" for _ in range(self.many(2, 6))) + "</ul>"
         if kind < 0.85:
             return f"<blockquote>{m}{self.prose(1, 3)}</blockquote>"
         if kind < 0.89:
             return f"<figure><img src=x><figcaption>{m}{self.sentence(3, 12)}</figcaption></figure>"
         if kind < 0.92:
-            return "<table>" + "".join("<tr>" + "".join(f"<td>{m}{' '.join(self.words(1, 3))}</td>" for _ in range(3)) + "</tr>" for _ in range(r.randint(2, 4))) + "</table>"
+            return "<table>" + "".join("<tr>" + "".join(f"<td>{m}{' '.join(self.words(1, 3))}</td>" for _ in range(3)) + "</tr>" for _ in range(self.many(2, 4))) + "</table>"
         if kind < 0.95:
             return f"<pre>{m}{self.prose(1, 2)}</pre>"
         return f"<div>{m}{self.prose(1, 4)}</div>"
@@ -398,7 +406,7 @@ class Maker:
         self.junk, self.shout = r.random() < 0.12, r.random() < 0.06
         title = f"<h1>{MARK}{r.choice([self.sentence(1, 9), ' '.join(self.words(1, 8))])}</h1>"
         parts = [title] if r.random() < 0.85 else []
-        parts += [self.main_part() for _ in range(r.choice([0, 1, 1, 2, 3, 4, 6, 9, 14]) + (0 if parts else 1))]
+        parts += [self.main_part() for _ in range(r.choice([0, 1, 1, 2, 3, 4, 6, 9, 14] if r.random() < 0.95 else [30, 60, 120, 240]) + (0 if parts else 1))]
         if r.random() < 0.25:
             parts.insert(r.randint(0, len(parts)), r.choice([self.advert, self.share, self.sidebar])())
         if r.random() < 0.15:
