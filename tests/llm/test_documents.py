@@ -130,6 +130,30 @@ def test_substring_dedup(docs, rows, none, crowded):
     assert substring_dedup.report(none).count() == 0
 
 
+@pytest.mark.parametrize("crowded,local", [(2, 1), (1024, 1), (1024, 3)])
+def test_substring_dedup_apart(docs, rows, crowded, local):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.report(docs, crowded=crowded, local=local).collect()}
+    assert got == brute.substring_dedup(list(dict(rows).items()))
+
+
+def test_substring_dedup_edges_of_a_hot_passage(spark):
+    """A passage shared by all, amid each document's own words: no shard gets a row per document."""
+    r = random.Random(12)
+    passage = prose(r, 50)
+    made = [(k, f"{prose(r, 30)} {passage} {prose(r, 30)}") for k in range(600)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(2)
+    report = {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in substring_dedup.report(df).collect()}
+    assert report == brute.substring_dedup(made)
+    shards, window = 16, substring_dedup.WINDOW
+    segs = substring_dedup.segment_rows(df, shards, window).cache()
+    of_mini = segs.where(segs.kind.isin(substring_dedup.FIRST, substring_dedup.TWICE)).groupBy("mini").count().agg({"count": "max"}).first()[0]
+    assert of_mini <= 2 * substring_dedup.LOCAL
+    resolved = segs.groupBy("shard").applyInArrow(substring_dedup.resolver(substring_dedup.CROWDED), substring_dedup.RESOLVED)
+    sent = substring_dedup.asked_words(df, resolved.where(resolved.kind != substring_dedup.REPEAT), shards, window)
+    copies = sent.where(sent.kind == substring_dedup.DEAL).groupBy("words").count().agg({"count": "max"}).first()[0]
+    assert copies <= substring_dedup.shuffle_parts(spark) < 100
+
+
 def test_substring_dedup_without_id(spark):
     t = " ".join(map(str, range(30)))
     df = spark.createDataFrame([(None, t), (1, t), (2, t)], "doc_id long, text string")

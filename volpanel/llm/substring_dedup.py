@@ -8,18 +8,23 @@ there: the work grows with the text, not with text times shards.
 
 1. Each task cuts its documents into segments and reduces equal ones: all but the first in
    (doc_id, start) order are repeats at once.  So a passage that a third of all documents share is
-   one row per task, and only hashes travel.
+   one row per task, and only hashes travel.  The segments at its edges run into each document's own words and
+   stay different: a minimizer with more than ``LOCAL`` of them in one task sends its shard one row that says so, and
+   its segments go by their own hash instead.
 2. Per shard, equal segments are reduced again.  A minimizer left with one segment has no other match.
    The first occurrences of segments whose minimizer has several ask for their words.
-   A minimizer with more than ``CROWDED`` differing segments (near copies of one passage) has its windows
-   dealt one by one, by the hash of their own words, so that they spread over all shards.
+   A minimizer with more than ``CROWDED`` differing segments (near copies of one passage), or with more than
+   ``LOCAL`` in one task, has its windows dealt one by one, by the 128-bit hash of their own words, so that they
+   spread over all shards.  Equal ones are reduced as segments are: all but the first of a task are repeats at
+   once, and a shard gets one row a task.  Equal windows share their minimizer, so all of them are dealt, and no
+   words are left to search for.
 3. Those words are dealt to the shards.  A shard builds a compressed FM-index (``fmindex``: bounded suffix
    array, wavelet tree over packed rank vectors) of its segments, and streams them through
    backward search; matching statistics of the full ``WINDOW`` length give the suffix-array interval
    of every window, whose earliest position decides which starts repeat.
 4. The covered intervals go back to their documents by doc_id.
 
-The index compares words, not hashes; a segment's 128-bit hash stands for it in steps 1 and 2.
+The index compares words, not hashes; a segment's or dealt window's 128-bit hash stands for it in steps 1 and 2.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined cases: null, empty or short text has no window and keeps all words;
 a row without doc_id is not compared and keeps all words; rows that repeat a doc_id with the same text are one
@@ -45,6 +50,8 @@ MOST_WINDOWS = 64  # a longer run of one minimizer is cut into segments of so ma
 CHUNK_CHARS = 24_000_000  # text that a task holds at once
 SHARDS_PER_PARTITION = 4
 CROWDED = 1024  # differing segments of a minimizer beyond which its windows are dealt one by one
+LOCAL = 64  # the same within one task's text
+HELD_WINDOWS = 400_000  # dealt windows that a task holds at once
 
 
 # ---- segments --------------------------------------------------------------------------
@@ -97,11 +104,13 @@ def segments(mins: np.ndarray, most: int = MOST_WINDOWS) -> tuple[np.ndarray, np
 
 
 SEGMENT = "kind int, shard int, mini long, h1 long, h2 long, doc_id long, start int, windows int"
-FIRST, REPEAT, ASK, TWICE, DEAL = 0, 1, 2, 3, 4
+FIRST, REPEAT, ASK, TWICE, DEAL, APART, HOT = 0, 1, 2, 3, 4, 5, 6
 
 
-def segment_rows(docs: DataFrame, shards: int, window: int) -> DataFrame:
-    """Rows of kind FIRST or TWICE (one per distinct segment of a chunk) and REPEAT (an occurrence after it)."""
+def segment_rows(docs: DataFrame, shards: int, window: int, local: int = LOCAL) -> DataFrame:
+    """Rows of kind FIRST or TWICE (one per distinct segment of a chunk) and REPEAT (an occurrence after it).
+
+    A minimizer with more than ``local`` segments in a chunk has them as APART, in the shards of their hashes, and one HOT row."""
     def flush(kept: dict, repeats: list):
         n = len(kept) + len(repeats)
         if not n:
@@ -115,7 +124,14 @@ def segment_rows(docs: DataFrame, shards: int, window: int) -> DataFrame:
         if repeats:
             out[0, len(kept) :] = REPEAT
             out[4:, len(kept) :] = np.array(repeats, np.int64).T
-        home = np.where(out[0] == REPEAT, out[4] % shards, out[1] % shards)
+        if kept:
+            minis, code, count = np.unique(out[1, :k], return_inverse=True, return_counts=True)
+            out[0, :k][count[code] > local] = APART
+            hot = np.zeros((7, int((count > local).sum())), np.int64)
+            hot[0], hot[1] = HOT, minis[count > local]
+            out = np.concatenate([out, hot], axis=1)
+            n = out.shape[1]
+        home = np.where(out[0] == REPEAT, out[4], np.where(out[0] == APART, out[2], out[1])) % shards
         cols = [pa.array(out[0].astype(np.int32)), pa.array(home.astype(np.int32)), *[pa.array(out[k]) for k in (1, 2, 3, 4)], pa.array(out[5].astype(np.int32)), pa.array(out[6].astype(np.int32))]
         names = [c.split()[0] for c in SEGMENT.split(", ")]
         for lo in range(0, n, 50_000):
@@ -167,7 +183,7 @@ def resolve(t: pa.Table, crowded: int = CROWDED) -> pa.Table:
     """One shard: repeats of equal segments, and requests for the words of segments that share a minimizer."""
     kind, mini, h1, h2, doc, start, n = (t.column(c).to_numpy() for c in ("kind", "mini", "h1", "h2", "doc_id", "start", "windows"))
     done = np.flatnonzero(kind == REPEAT)
-    own = np.flatnonzero(kind != REPEAT)
+    own = np.flatnonzero((kind != REPEAT) & (kind != HOT))
     own = own[np.lexsort((start[own], doc[own], h2[own], h1[own]))]
     out_kind = [np.full(len(done), REPEAT, np.int32)]
     out = [done]
@@ -179,9 +195,10 @@ def resolve(t: pa.Table, crowded: int = CROWDED) -> pa.Table:
         firsts = own[lead]
         _, code, count = np.unique(mini[firsts], return_inverse=True, return_counts=True)
         # several segments, or one that can hold a window twice
-        several = (count[code] > 1) | (kind[firsts] == TWICE)
+        deal = (count[code] > crowded) | (kind[firsts] == APART) | np.isin(mini[firsts], mini[kind == HOT])
+        several = deal | (count[code] > 1) | (kind[firsts] == TWICE)
         out += [later, firsts[several]]
-        out_kind += [np.full(len(later), REPEAT, np.int32), np.where(count[code][several] > crowded, DEAL, ASK).astype(np.int32)]
+        out_kind += [np.full(len(later), REPEAT, np.int32), np.where(deal[several], DEAL, ASK).astype(np.int32)]
     rows = np.concatenate(out)
     return pa.table({"kind": np.concatenate(out_kind), "mini": mini[rows], "doc_id": doc[rows], "start": start[rows], "windows": n[rows]})
 
@@ -219,48 +236,89 @@ def repeated_windows(docs: np.ndarray, starts: np.ndarray, texts: list[list[byte
     return list(zip(d[heads].tolist(), p[heads].tolist(), (p[tails] - p[heads] + 1).tolist()))
 
 
+def repeated_hashes(docs: np.ndarray, starts: np.ndarray, digests: list[bytes]) -> np.ndarray:
+    """Rows whose hash also has an earlier (doc, start)."""
+    h1, h2 = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2).T
+    order = np.lexsort((starts, docs, h2, h1))
+    lead = np.concatenate([[True], (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])])
+    first = order[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
+    return order[(docs[order] > docs[first]) | (starts[order] > starts[first])]
+
+
 def search_shard(window: int):
     def run(t: pa.Table) -> pa.Table:
-        docs, starts = t.column("doc_id").to_numpy(), t.column("start").to_numpy().astype(np.int64)
-        got = repeated_windows(docs, starts, [x.split(b" ") for x in t.column("words").to_pylist()], window)
-        d, s, n = (np.array(x, np.int64) for x in zip(*got)) if got else (np.zeros(0, np.int64),) * 3
-        return pa.table({"doc_id": d, "start": s.astype(np.int32), "windows": n.astype(np.int32)})
+        kind, docs, starts, windows = (t.column(c).to_numpy() for c in ("kind", "doc_id", "start", "windows"))
+        starts, words = starts.astype(np.int64), t.column("words")
+        out = [(docs[own], starts[own], windows[own]) for own in [np.flatnonzero(kind == REPEAT)]]
+        if len(own := np.flatnonzero(kind == DEAL)):
+            own = own[repeated_hashes(docs[own], starts[own], words.take(pa.array(own)).to_pylist())]
+            out.append((docs[own], starts[own], windows[own]))
+        if len(own := np.flatnonzero(kind == ASK)):
+            got = repeated_windows(docs[own], starts[own], [x.split(b" ") for x in words.take(pa.array(own)).to_pylist()], window)
+            out += [tuple(np.array(x, np.int64) for x in zip(*got))] if got else []
+        d, s, n = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"doc_id": d.astype(np.int64), "start": s.astype(np.int32), "windows": n.astype(np.int32)})
 
     return run
 
 
+ASKED = "kind int, shard int, doc_id long, start int, windows int, words binary"
+
+
 def asked_words(docs: DataFrame, asked: DataFrame, shards: int, window: int) -> DataFrame:
-    """(shard, doc_id, start, words) of the requested segments."""
+    """ASK: a requested segment's words; DEAL: hash of the first of equal dealt windows of a task; REPEAT: those after it."""
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = [c.split()[0] for c in ASKED.split(", ")]
+
+    def batches_of(rows: list):
+        for lo in range(0, len(rows), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[lo : lo + 20_000]), kinds)], names=names)
+
+    def first_rows(firsts: dict):
+        return batches_of([(DEAL, int.from_bytes(h[:8], "little") % shards, doc, at, 1, h) for h, (doc, at) in firsts.items()])
+
     def run(batches):
+        firsts: dict[bytes, tuple] = {}
         for b in batches:
-            out = {"shard": [], "doc_id": [], "start": [], "words": []}
+            out = []
             for doc, text, segs in zip(*(b.column(k).to_pylist() for k in range(3))):
                 words = (text or "").encode().split()
                 for s in segs:
                     at, n = s["start"], s["windows"]
-                    if s["deal"]:  # every window goes where its own words send it
-                        home = [xxhash.xxh64_intdigest(b" ".join(words[i : i + window])) % shards for i in range(at, at + n)]
-                        runs = [i for i in range(n) if i == 0 or home[i] != home[i - 1]]
-                        parts = [(home[i], at + i, j - i) for i, j in zip(runs, [*runs[1:], n])]
-                    else:
-                        parts = [(s["shard"], at, n)]
-                    for shard, first, size in parts:
-                        out["shard"].append(shard)
-                        out["doc_id"].append(doc)
-                        out["start"].append(first)
-                        out["words"].append(b" ".join(words[first : first + size + window - 1]))
-            yield pa.RecordBatch.from_pydict({"shard": pa.array(out["shard"], pa.int32()), "doc_id": pa.array(out["doc_id"], pa.int64()), "start": pa.array(out["start"], pa.int32()), "words": pa.array(out["words"], pa.binary())})
+                    if not s["deal"]:
+                        out.append((ASK, s["shard"], doc, at, n, b" ".join(words[at : at + n + window - 1])))
+                        continue
+                    begin = None  # of a run of repeats
+                    for i in range(at, at + n):
+                        digest = xxhash.xxh3_128_digest(b" ".join(words[i : i + window]))
+                        old = firsts.setdefault(digest, (doc, i))
+                        if old < (doc, i):
+                            begin = i if begin is None else begin
+                            continue
+                        if begin is not None:
+                            out.append((REPEAT, doc % shards, doc, begin, i - begin, None))
+                            begin = None
+                        if old > (doc, i):
+                            out.append((REPEAT, old[0] % shards, *old, 1, None))
+                            firsts[digest] = (doc, i)
+                    if begin is not None:
+                        out.append((REPEAT, doc % shards, doc, begin, at + n - begin, None))
+                if len(firsts) >= HELD_WINDOWS:
+                    yield from first_rows(firsts)
+                    firsts = {}
+            yield from batches_of(out)
+        yield from first_rows(firsts)
 
     home = F.pmod(F.xxhash64("mini"), F.lit(shards)).cast("int")
     per_doc = asked.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct(home.alias("shard"), "start", "windows", (F.col("kind") == DEAL).alias("deal"))).alias("segs"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(per_doc, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "segs")
-    return rows.mapInArrow(run, "shard int, doc_id long, start int, words binary")
+    return rows.mapInArrow(run, ASKED)
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED) -> DataFrame:
+def repeats(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, local: int = LOCAL) -> DataFrame:
     """(doc_id, start, windows): runs of windows whose words also start earlier."""
     shards = SHARDS_PER_PARTITION * shuffle_parts(docs.sparkSession)
-    rows = segment_rows(docs, shards, window)
+    rows = segment_rows(docs, shards, window, local)
     resolved = stored(rows.groupBy("shard").applyInArrow(resolver(crowded), RESOLVED), "segments")
     words = asked_words(docs, resolved.where(F.col("kind") != REPEAT), shards, window)
     searched = words.groupBy("shard").applyInArrow(search_shard(window), "doc_id long, start int, windows int")
@@ -275,9 +333,9 @@ def covered(n: int, starts: list[int], windows: list[int], window: int) -> np.nd
     return np.cumsum(edge[:-1]) > 0
 
 
-def report(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED) -> DataFrame:
+def report(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, local: int = LOCAL) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed, kept_sha256."""
-    runs = repeats(docs, window, crowded).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
+    runs = repeats(docs, window, crowded, local).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
 
     def run(batches):
         for b in batches:
