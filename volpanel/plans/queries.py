@@ -329,24 +329,28 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- tree candidates and selection (rows-only checks) ---------------------------
 
+FORESTS, BOOSTED = ["RF depth=4", "RF depth=8"], ["GBT depth=3", "GBT depth=5"]
+CANDIDATES = ["Linear", *FORESTS, *BOOSTED]
+
+
 def q_walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = splits.assign_folds(v3_panel(spark, sf_dir))
-    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["RF depth=4", "RF depth=8"]).drop("fold_RMSEs")
+    return evaluate.walk_forward_board(folded, FEATURE_SETS, FORESTS).drop("fold_RMSEs")
 
 
 def q_walk_forward_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = splits.assign_folds(v3_panel(spark, sf_dir))
-    return evaluate.walk_forward_board(folded, {"v2 (+range/vol)": V2}, ["GBT depth=3", "GBT depth=5"]).drop("fold_RMSEs")
+    return evaluate.walk_forward_board(folded, FEATURE_SETS, BOOSTED).drop("fold_RMSEs")
 
 
 def q_select_on_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.select_on_validation(v3_panel(spark, sf_dir), FEATURE_SETS, ["Linear", "RF depth=4", "RF depth=8"])
+    return evaluate.select_on_validation(v3_panel(spark, sf_dir), FEATURE_SETS, CANDIDATES)
 
 
 def q_select_on_validation_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first selection run: features_v2 with the original and enriched sets."""
+    """The selection on features_v2 with the original and enriched sets, boosted trees included."""
     sets = {"v1 (original)": V1, "v2 (enriched)": V2}
-    return evaluate.select_on_validation(v2_panel(spark, sf_dir), sets, ["Linear", "RF depth=4", "RF depth=8"])
+    return evaluate.select_on_validation(v2_panel(spark, sf_dir), sets, CANDIDATES)
 
 
 def q_benchmark_split(spark: SparkSession, sf_dir: str) -> DataFrame:
