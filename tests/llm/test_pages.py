@@ -121,3 +121,23 @@ def test_extraction_on_pages_with_hundreds_of_siblings(model):
     assert len(long) > 30
     right = sum(html_extract.decode(nodes, gbdt.predict(model, x)) == [n.text for n in nodes if n.text is not None and n.label] for nodes, x in long)
     assert right / len(long) > 0.9
+
+
+SENTENCES = [f"This is sentence {k} of the article, which goes on for a while. It says something more, and then it ends." for k in range(6)]
+
+
+@pytest.mark.parametrize("tag", "button select svg math object audio video canvas noscript template".split())
+def test_unclosed_elements_keep_the_article(model, tag):
+    body = "".join(f"<p>{t}</p>" for t in SENTENCES)
+    for page in (f"<body><nav><a href=/>Home</a></nav><div class=bar><{tag}>x</div><article><h1>A title</h1>{body}</article>", f"<body><{tag}><article><h1>A title</h1>{body}</article><footer>&copy; me</footer></body>"):
+        root, blocks = html_extract.parse(page)
+        assert [b.text for b in blocks if b.size > 50] == SENTENCES
+        if tag != "template" or "bar" in page:  # in an open template nothing is shown
+            assert " ".join(SENTENCES) in html_extract.extract_batch(model, [page])[0]
+
+
+def test_formulas_and_fallback_text_are_judged(model):
+    first = "".join(f"<p>{t}</p>" for t in SENTENCES)
+    page = f"<body><article><h1>A title</h1>{first}<p>The law is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in short, as we know.</p><object><p>{SENTENCES[0]}</p></object><svg><path d='M0'/><path d='M1'/></svg><p>{SENTENCES[1]}</p></article><button>Send now</button><select><option>One<option>Two</select><footer>&copy; me</footer>"
+    want = " ".join(["A title", *SENTENCES, "The law is E=m in short, as we know.", SENTENCES[0], SENTENCES[1]])
+    assert html_extract.extract_batch(model, [page])[0] == want

@@ -15,7 +15,8 @@ reader comments, with and without telling tags and classes, well-formed or not,
 Children of one parent are numbered once and open elements are found by tag, so no size or depth changes the method.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
-order.  Scripts, styles, comments and other non-text elements are never text.
+order.  Scripts, styles, comments, titles, text areas and frames are never text; all other elements, such as formulas, controls,
+drawings and fallback content, are nodes that the trees judge.
 
 Defined cases: null or empty html, or html without a kept block, gives the empty text; broken markup is
 parsed as far as it goes (open elements end with the page); repeated rows are extracted row by row; an empty table
@@ -40,8 +41,10 @@ PAGES = 420
 SEED = 5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg object math select button audio video canvas".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr input".split())
+RAW = frozenset("script style textarea title iframe".split())
+EMBEDDED = frozenset("noscript template svg object math select button audio video canvas".split())
+FORMULA = "mi mn mo ms mrow mtext mspace mstyle mpadded mphantom menclose msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd semantics"
+INLINE = frozenset(f"a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr input {FORMULA}".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SCOPE = frozenset("article aside blockquote body div footer form header html main nav section table td th ul ol dl".split())
 
@@ -54,6 +57,7 @@ TAG_GROUPS = {
     "p": ["p"], "heading": ["h1", "h2", "h3", "h4", "h5", "h6"], "item": ["li", "dt", "dd"], "list": ["ul", "ol", "dl"], "box": ["div", "section", "center"],
     "article": ["article", "main"], "nav": ["nav", "menu"], "header": ["header", "hgroup"], "footer": ["footer", "address"], "aside": ["aside"], "form": ["form", "fieldset", "legend"],
     "table": ["table", "tbody", "thead", "tr", "td", "th"], "quote": ["blockquote", "pre"], "figure": ["figure", "figcaption"], "root": ["html", "body"],
+    "control": ["button", "select", "option", "optgroup"], "formula": ["math"], "fallback": ["noscript", "object", "audio", "video", "canvas"], "drawing": ["svg", "template", "annotation"],
 }
 TAG_OF = {t: k for k, group in enumerate(TAG_GROUPS.values()) for t in group}
 CUES = {
@@ -168,9 +172,11 @@ def parse(source: str) -> tuple[Node, list[Node]]:
                 continue
             end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(source, at)
             at = end.end() if end else n
-            if tag not in ("script", "style", "title", "template", "noscript"):
+            if tag not in ("script", "style", "title"):
                 inline_tags += 1
             continue
+        if attrs.endswith("/") and (tag in EMBEDDED or places.get("svg") or places.get("math")):
+            continue  # a part of a drawing or formula, or an element, without content
         if tag == "head":
             continue
         if tag in INLINE:
@@ -185,6 +191,9 @@ def parse(source: str) -> tuple[Node, list[Node]]:
         flush()
         link_from = -1
         if tag in CLOSES_P:
+            inner = top("foreignobject")
+            if out := [k for t in ("svg", "math", "select") for k in places.get(t, ()) if k > inner]:
+                cut(min(out))  # these hold no such elements
             if (k := top("p")) > scopes[-1]:
                 cut(k)
         if tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
@@ -195,7 +204,8 @@ def parse(source: str) -> tuple[Node, list[Node]]:
             continue
         if tag in VOID:
             continue
-        node = Node(tag, stack[-1], cues_of(attrs) if "=" in attrs else (), bool(HIDDEN.search(attrs)) if attrs else False)
+        unseen = tag in ("template", "annotation") or bool(attrs and HIDDEN.search(attrs))
+        node = Node(tag, stack[-1], cues_of(attrs) if "=" in attrs else (), unseen)
         places.setdefault(tag, []).append(len(stack))
         if tag in SCOPE:
             scopes.append(len(stack))
@@ -236,7 +246,7 @@ def feature_rows(root: Node) -> tuple[list[Node], np.ndarray]:
         counts = Counter(k.tag for k in n.kids)
         for i, (k, before, after) in enumerate(zip(n.kids, [None, *n.kids], [*n.kids[1:], None])):
             beside[id(k)] = i, counts[k.tag], before, after
-    out = np.zeros((len(nodes), 26 + N_TAGS + 2 * N_CUES), np.float32)
+    out = np.zeros((len(nodes), 30 + N_TAGS + 2 * N_CUES), np.float32)
     up: dict[int, tuple] = {}
     for r, n in enumerate(nodes):
         p = n.parent
@@ -274,16 +284,16 @@ def feature_rows(root: Node) -> tuple[list[Node], np.ndarray]:
         v[21] = math.log1p(total)
         v[22] = p.links / p.size if p is not None and p.size else 0
         v[23] = i / len(kids)
-        for k, g in ((24, "nav header footer aside form"), (25, "article")):
+        for k, g in ((24, "nav header footer aside form"), (25, "article"), (26, "control"), (27, "formula"), (28, "fallback"), (29, "drawing")):
             v[k] = sum(above_tags >> list(TAG_GROUPS).index(x) & 1 for x in g.split())
         if group >= 0:
-            v[26 + group] = 1
+            v[30 + group] = 1
         elif p is not None and n.text is not None and (g := TAG_OF.get(p.tag, -1)) >= 0:
-            v[26 + g] = 0.5  # a block tells its element's tag
+            v[30 + g] = 0.5  # a block tells its element's tag
         for c in n.cues:
-            v[26 + N_TAGS + c] = 1
+            v[30 + N_TAGS + c] = 1
         for c in range(N_CUES):
-            v[26 + N_TAGS + N_CUES + c] = above_cues >> c & 1
+            v[30 + N_TAGS + N_CUES + c] = above_cues >> c & 1
     return nodes, out
 
 
@@ -374,6 +384,28 @@ class Maker:
         inner = self.r.choice(["", f"<h3>{self.r.randint(1, 40)} Comments</h3>"]) + "".join(one() for _ in range(self.many(1, 6)))
         return self.r.choice(["<section{}>{}</section>", "<div{}>{}</div>", "<ol{}>{}</ol>"]).format(self.attr(["comments", "commentlist", "discussion", "replies", "respond"], 1), inner)
 
+    def embedded(self, open_=0.0):
+        """An element around something that is no main text; a part of ``open_`` is never closed."""
+        r = self.r
+        tag, text = r.choice([
+            ("button", " ".join(self.words(1, 3))),
+            ("select", "".join(f"<option>{' '.join(self.words(1, 2))}</option>" for _ in range(r.randint(2, 8)))),
+            ("svg", f"<title>x</title><path d='M0'/><text>{' '.join(self.words(1, 2))}</text>"),
+            ("noscript", f"Please enable JavaScript. {self.sentence(2, 9)}"),
+            ("template", f"<p>{self.prose(1, 2)}</p>"),
+            (r.choice(["audio", "video", "canvas", "object"]), r.choice([f"Your browser does not support it. {self.sentence(2, 6)}", f"<p>{self.sentence(3, 8)}</p>"])),
+        ])
+        return f"<{tag}{self.attr(['search', 'menu', 'share'], 0.2)}>{text}" + (f"</{tag}>" if tag == "template" or r.random() >= open_ else "")
+
+    def aside_text(self):
+        """Main text in an element that often holds none."""
+        r, m = self.r, MARK
+        if r.random() < 0.5:
+            formula = f"<math><mrow><mi>{m}{self.words(1, 1)[0]}</mi><mo>=</mo><mn>{r.randint(1, 99)}</mn></mrow></math>"
+            return f"<p>{m}{self.sentence()} {formula} {m}{self.sentence()}</p>"
+        tag = r.choice(["object", "noscript", "object"])
+        return f"<{tag}><p>{m}{self.prose(2, 6)}</p></{tag}>"
+
     def share(self):
         return f"<div{self.attr(['share', 'social', 'follow'], 1)}>" + " ".join(self.link() for _ in range(3)) + "</div>"
 
@@ -407,6 +439,10 @@ class Maker:
         title = f"<h1>{MARK}{r.choice([self.sentence(1, 9), ' '.join(self.words(1, 8))])}</h1>"
         parts = [title] if r.random() < 0.85 else []
         parts += [self.main_part() for _ in range(r.choice([0, 1, 1, 2, 3, 4, 6, 9, 14] if r.random() < 0.95 else [30, 60, 120, 240]) + (0 if parts else 1))]
+        if r.random() < 0.15:
+            parts.insert(r.randint(0, len(parts)), self.aside_text())
+        if r.random() < 0.25:
+            parts.insert(r.randint(0, len(parts)), self.embedded())
         if r.random() < 0.25:
             parts.insert(r.randint(0, len(parts)), r.choice([self.advert, self.share, self.sidebar])())
         if r.random() < 0.15:
@@ -425,8 +461,8 @@ class Maker:
             main = f"<table><tr><td>{inner}</td></tr></table>"
         if r.random() < 0.3:
             main = f"<div{self.attr(['wrapper', 'container', 'page', 'main', 'content'], 0.8)}>{main}{self.sidebar() if r.random() < 0.4 else ''}</div>"
-        head = [f() for f, p in ((self.notice, 0.2), (self.header, 0.4), (self.menu, 0.7), (self.advert, 0.45), (self.form, 0.2), (self.sidebar, 0.2)) if r.random() < p]
-        tail = [f() for f, p in ((self.share, 0.2), (self.comments, 0.3), (self.sidebar, 0.3), (self.advert, 0.2), (self.form, 0.15), (self.menu, 0.15), (self.footer, 0.8), (self.notice, 0.08)) if r.random() < p]
+        head = [f() for f, p in ((self.notice, 0.2), (self.header, 0.4), (self.menu, 0.7), (self.advert, 0.45), (self.form, 0.2), (self.sidebar, 0.2), (lambda: self.embedded(0.2), 0.25)) if r.random() < p]
+        tail = [f() for f, p in ((self.share, 0.2), (self.comments, 0.3), (self.sidebar, 0.3), (self.advert, 0.2), (self.form, 0.15), (self.menu, 0.15), (self.footer, 0.8), (self.notice, 0.08), (lambda: self.embedded(0.2), 0.15)) if r.random() < p]
         if r.random() < 0.3:
             r.shuffle(head)
         end = "" if r.random() < 0.1 else "</body></html>"
