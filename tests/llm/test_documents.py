@@ -307,6 +307,16 @@ def test_toxicity_chain(spark):
     assert toxicity.keep_clean(docs, empty).count() == len(made)
 
 
+def test_noise_labels_reject_nothing():
+    for seed in range(4):
+        r = random.Random(seed)
+        vocab = [prose(r, 1) + str(k) for k in range(3000)]
+        texts = [" ".join(r.choice(vocab) for _ in range(40)) for _ in range(400)]
+        model = toxicity.fit_rows(list(range(400)), texts, [r.random() < 0.25 for _ in texts])
+        scores = toxicity.Scorer(model).scores([" ".join(r.choice(vocab) for _ in range(40)) for _ in range(200)])
+        assert (scores[:, -1] > model["threshold"]).mean() <= 0.01 and (model["oof_f1"] or 0) < 0.2
+
+
 def test_out_of_fold_predictions_are_not_own(spark):
     """With pure noise, in-fold predictions would separate the rows; out-of-fold ones must not."""
     r = np.random.default_rng(0)
