@@ -387,6 +387,15 @@ def q_garch_split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics_mod.metrics(scored, TARGET, "pred").withColumn("model", F.lit("GARCH(1,1)")), METRIC_COLS)
 
 
+def q_garch_split_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows of ``garch_split_metrics`` with and without a forecast (too few or constant training returns)."""
+    train, test = _garch_split(spark, sf_dir)
+    fc = garch.garch_grid(train).select("ticker", F.col("garch_vol").alias("pred"))
+    return metrics_mod.metrics(test.join(fc, "ticker", "left"), TARGET, "pred", unscored=True).select(
+        "rows", "unscored", F.lit("GARCH(1,1)").alias("model")
+    )
+
+
 def q_garch_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-ω likelihood fit per ticker (NumPy per group); approximate, rows-only check."""
     train, _ = _garch_split(spark, sf_dir)
@@ -497,6 +506,7 @@ REGISTRY = {
     "score_requests_stream": q_score_requests_stream,
     "garch_grid": q_garch_grid,
     "garch_split_metrics": q_garch_split_metrics,
+    "garch_split_coverage": q_garch_split_coverage,
     "garch_forecast": q_garch_forecast,
     "walk_forward_forest": q_walk_forward_forest,
     "walk_forward_gbt": q_walk_forward_gbt,
