@@ -3,7 +3,7 @@
 import hashlib
 import random
 
-import brute
+import llm_brute as brute
 import numpy as np
 import pytest
 

@@ -1,6 +1,6 @@
 """The pipeline stage by stage against plain versions, and the registration."""
 
-import brute
+import llm_brute as brute
 import corpus_pipeline
 import pytest
 
