@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01, prices_df
+from helpers import SF01, prices_df
 from volpanel.operators import features as feat
 from volpanel.sources import panels
 

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import day
+from helpers import day
 from volpanel.operators import market, splits
 
 

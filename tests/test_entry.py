@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from helpers import SF001
 
 ROWS_ONLY = {
     "garch_forecast", "walk_forward_forest", "walk_forward_gbt", "select_on_validation", "select_on_validation_v2",

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, prices_df
+from helpers import day, prices_df
 from volpanel.operators import features as feat
 
 

@@ -1,7 +1,7 @@
 import math
 import random
 
-from conftest import prices_df
+from helpers import prices_df
 from volpanel.operators import features as feat
 from volpanel.operators import garch
 

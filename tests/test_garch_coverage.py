@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF001
+from helpers import SF001
 from test_entry import duck  # noqa: F401
 from volpanel.plans import oracle, queries
 

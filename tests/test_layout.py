@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, day
+from helpers import SF001, day
 from volpanel.functions.rows import require_date
 from volpanel.operators import features, garch, linear, market, metrics, splits, trees
 from volpanel.plans import queries as q

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from helpers import SF01
 from volpanel.operators import linear, splits, trees
 from volpanel.plans import evaluate
 from volpanel.plans import queries as q

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 from volpanel.plans import queries as q
 
 JOBS = ["features_v3_calendar", "features_v3_panel", "walk_forward_predictions", "score_requests", "forecast_latest", "garch_grid", "split_three_profile"]

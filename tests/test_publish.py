@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, day, prices_df
+from helpers import SF01, day, prices_df
 from volpanel.functions.scalar import rounded_error
 from volpanel.plans import publish, serve
 from volpanel.plans import queries as q

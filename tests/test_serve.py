@@ -75,7 +75,7 @@ def test_log_space_model_is_exponentiated(spark):
 
 
 def test_finalize_bundle_round_trip_with_fallback(spark):
-    from conftest import SF001
+    from helpers import SF001
     from volpanel.plans import queries as q
     from volpanel.plans.finalize import finalize_and_save
     from volpanel.sources.models import load_meta, load_model

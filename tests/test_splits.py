@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01, day
+from helpers import SF01, day
 from volpanel.operators import splits
 from volpanel.plans import queries as q
 

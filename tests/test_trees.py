@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from volpanel.operators import splits, trees
 from volpanel.plans import evaluate
 from volpanel.plans import queries as q
