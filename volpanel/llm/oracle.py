@@ -48,4 +48,40 @@ select page_id, strlen(h) as payload_bytes,
 from d
 """
 
-REGISTRY = {"op1_decontamination": DECONTAMINATION, "op4_line_dedup": LINE_DEDUP, "op6_warc": WARC}
+HARD_NEGATIVES = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda v: floor(256 * v::double)) as x
+           from embeddings where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0),
+r as (select row_number() over () as k, * from e),
+s as (select a.k as a, a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+             list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::bigint as score
+      from r a join r b on a.k <> b.k and len(a.x) = len(b.x) where a.vec_id % 50 = 0),
+p as (select *, row_number() over (partition by a order by score desc, other_id) as place from s where same),
+n as (select p.anchor_id, p.other_id as positive_id, s.other_id as negative_id, p.score as positive_score, s.score as negative_score,
+             row_number() over (partition by p.a, p.place order by s.score desc, s.other_id) as rank
+      from p join s on p.a = s.a where p.place <= 5 and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
+
+# texts with equal sets are one class; links are proved on whole sets of classes
+MINHASH = f"""
+with w as (select doc_id, regexp_extract_all({lowered("coalesce(text, '')")}, '{WORD}') as w from documents),
+d as (select doc_id, list_sort(list_distinct(case when len(w) > 1 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end)) as s from w),
+c as (select s, min(doc_id) as id, len(s) as n from d where len(s) > 0 group by s),
+i as (select id, n, unnest(s) as g from c),
+l as (select a.id as a, b.id as b from i a join i b on a.g = b.g and a.id < b.id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+      group by a.id, b.id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+linked as (select a, b from l union all select b, a from l),
+walk as (with recursive reach(v, u) as (select id, id from c union select r.v, linked.b from reach r join linked on r.u = linked.a) select v, min(u) as root from reach group by v)
+select d.doc_id, len(d.s) as n_shingles, coalesce(walk.root, d.doc_id) as component_id, d.doc_id = coalesce(walk.root, d.doc_id) as kept
+from d left join c on d.s = c.s left join walk on c.id = walk.v
+"""
+
+REGISTRY = {
+    "op1_decontamination": DECONTAMINATION,
+    "op4_line_dedup": LINE_DEDUP,
+    "op6_warc": WARC,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_minhash_tensor": MINHASH,
+}

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volpanel.llm import decontamination, fingerprint, html_extract, line_dedup, packing, pii, simhash, substring_dedup, toxicity, warc
+from volpanel.llm import decontamination, fingerprint, hard_negatives, html_extract, line_dedup, minhash_tensor, packing, pii
+from volpanel.llm import simhash, substring_dedup, token_alignment, toxicity, warc
 from volpanel.llm.common import table
 
 
@@ -56,6 +57,18 @@ def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def q_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_tensor.near_groups(table(spark, sf_dir, "documents"))
+
+
 def q_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,5 +86,8 @@ REGISTRY = {
     "op8_simhash": q_simhash,
     "op9_fingerprint": q_fingerprint,
     "op10_pii": q_pii,
+    "op11_token_alignment": q_alignment,
+    "op12_hard_negatives": q_hard_negatives,
+    "op13_minhash_tensor": q_minhash,
     "pipeline": q_pipeline,
 }
