@@ -69,15 +69,33 @@ def reuse(df):
     return df
 
 
+def write_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def shared_files(path: str):
+    """(filesystem, path) with which a Python worker opens a file of the shared folder."""
+    from pyarrow import fs
+
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://"):]
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path)
+
+
 def write_once(df, name: str = "table"):
     """Write ``df`` to a new folder under the shared checkpoint folder and read it back.
 
     For frames that hold layout-dependent values (partition ids, row numbers) and are read by
     several branches: every reader sees the same written values, whatever is cached or reused.
     """
-    import uuid
-
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = write_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
