@@ -2,8 +2,8 @@
 
 Linear candidates are fitted for every fold in one aggregation pass (sufficient
 statistics per fold + prefix sums), so the walk-forward costs one scan of the panel
-rather than one per fold.  Tree candidates use Spark ML on the cached, assembled
-table (see ``volpanel.operators.trees``).
+rather than one per fold.  Tree candidates of the grids come from the histogram learner
+(``volpanel.operators.hist_trees``), those of the single splits from Spark ML (``volpanel.operators.trees``).
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volpanel.operators import linear, metrics
+from volpanel.operators import hist_trees, linear, metrics
 from volpanel.operators.splits import assign_folds, cutoff_dates, label_set
 from volpanel.schemas import BASELINE, N_FOLDS, TARGET, V1
-from volpanel.session import reuse, stable
+from volpanel.session import reuse, write_once
 from volpanel.functions.rows import with_row
 
 
@@ -143,31 +143,32 @@ def split_two_log_scored(df: DataFrame, feats: list[str] = V1, test_frac: float
 
 # ---- tree candidates, selection and single-split benchmarks ----------------------
 
-def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: list[str], workers: int = 4) -> DataFrame:
-    """Scoreboard over feature sets × models: mean / population std of the fold RMSEs.
+# the grids' tree models; the values are fixed by the source's grids
+TREE_MODELS = {
+    "RF depth=4": hist_trees.Forest(300, 4),
+    "RF depth=8": hist_trees.Forest(300, 8),
+    "GBT depth=3": hist_trees.Boosted(300, 3),
+    "GBT depth=5": hist_trees.Boosted(300, 5),
+}
 
-    Linear candidates use the one-pass sufficient-statistics fit; the others are Spark
-    ML fits, four per candidate, run from a driver thread pool.
+
+def walk_forward_board(folded: DataFrame, sets: dict[str, list[str]], models: list[str]) -> DataFrame:
+    """Scoreboard over feature sets x models: mean / population std of the fold RMSEs.
+
+    Linear candidates come from one pass of sufficient statistics, all tree candidates from one histogram learner
+    over one stored matrix.
     """
-    from volpanel.operators import trees
-
-    folded = stable(folded)
-    jobs = {}
-    for sname, feats in sets.items():
-        for mname in models:
-            if mname == "Linear":
-                jobs[(sname, mname)] = (lambda f=feats: metrics.metrics(linear_walk_forward(folded, f), TARGET, "pred", ["fold"]))
-            else:
-                jobs[(sname, mname)] = (
-                    lambda f=feats, m=mname: metrics.metrics(
-                        trees.walk_forward(folded, f, trees.MODELS[m]), TARGET, "pred", ["fold"]
-                    )
-                )
-    per_fold = trees.run_parallel(jobs, workers)
-    out = None
-    for (sname, mname), df in per_fold.items():
-        s = metrics.summarise_folds(df.withColumn("features", F.lit(sname)).withColumn("model", F.lit(mname)), ["features", "model"])
-        out = s if out is None else out.unionByName(s)
+    boards = []
+    if "Linear" in models:
+        boards.append(linear_board(folded, sets))
+    if trees := {m: TREE_MODELS[m] for m in models if m != "Linear"}:
+        last = folded.agg(F.max("fold")).first()[0] or 0
+        pred = hist_trees.predictions(folded, sets, trees, TARGET, "fold", list(range(1, last + 1)), ["ticker", "date"])
+        per_fold = metrics.metrics(pred.withColumnRenamed("seg", "fold"), "y", "pred", ["features", "model", "fold"])
+        boards.append(metrics.summarise_folds(per_fold, ["features", "model"]))
+    out = boards[0]
+    for b in boards[1:]:
+        out = out.unionByName(b)
     return out
 
 
@@ -218,46 +219,41 @@ def choose_model(board: DataFrame) -> DataFrame:
     )
 
 
-def select_on_validation(df: DataFrame, sets: dict[str, list[str]], models: list[str], qs=(0.60, 0.80), workers: int = 4) -> DataFrame:
-    """60/20/20: choose on validation, refit on train ∪ validation, score the test set once.
+def select_on_validation(df: DataFrame, sets: dict[str, list[str]], models: list[str], qs=(0.60, 0.80)) -> DataFrame:
+    """60/20/20: choose on validation, refit on train and validation, score the test set once.
 
     Rows: every candidate's validation RMSE (role ``val``), then the test scores of the
-    naive baseline, the chosen model and the shipped linear v1 model (role ``test``).
+    naive baseline, the chosen model and the shipped linear v1 model (role ``test``).  Train, validation and test are segments
+    0, 1 and 2, so a candidate is a walk-forward fit scored on segment 1, and the chosen one is fitted again for segment 2.
     """
-    from volpanel.operators import trees
-
-    j = stable(_split_frames(reuse(df), list(qs)))
-    train = j.where(F.col("date") < F.col("c0"))
-    val = j.where((F.col("date") >= F.col("c0")) & (F.col("date") < F.col("c1")))
-    trainval = j.where(F.col("date") < F.col("c1"))
-    test = j.where(F.col("date") >= F.col("c1"))
-    jobs = {
-        (s, m): (lambda f=feats, m=m: metrics.metrics(fit_predict_any(train, val, f, m), TARGET, "pred").first()["RMSE"])
-        for s, feats in sets.items()
-        for m in models
-    }
-    scores = trees.run_parallel(jobs, workers)
-    (ws, wm) = min(scores, key=lambda k: (scores[k], k))
-    spark = df.sparkSession
-    val_rows = spark.createDataFrame(
-        [("val", s, m, float(v)) for (s, m), v in scores.items()], "role string, features string, model string, RMSE double"
-    )
-    final = metrics.metrics(fit_predict_any(trainval, test, sets[ws], wm), TARGET, "pred")
-    shipped = metrics.metrics(fit_predict_any(trainval, test, V1, "Linear"), TARGET, "pred")
-    base = metrics.metrics(naive(test), TARGET, "pred")
-    test_rows = (
-        base.select(F.lit("test").alias("role"), F.lit("vol_5").alias("features"), F.lit("Naive baseline (vol_5)").alias("model"), "RMSE", "MAE", "R2")
-        .unionByName(final.select(F.lit("test").alias("role"), F.lit(ws).alias("features"), F.lit(f"Final model: {wm}").alias("model"), "RMSE", "MAE", "R2"))
-        .unionByName(shipped.select(F.lit("test").alias("role"), F.lit("v1 (original)").alias("features"), F.lit("Linear v1 (shipped)").alias("model"), "RMSE", "MAE", "R2"))
-    )
-    return val_rows.unionByName(test_rows, allowMissingColumns=True)
-
-
-def fit_predict_any(train: DataFrame, test: DataFrame, feats: list[str], model: str) -> DataFrame:
-    """``test`` with ``pred`` from a model fitted on ``train`` (linear via sufficient statistics)."""
-    from volpanel.operators import trees
-
-    if model == "Linear":
-        coefs = linear.fit(train, feats, TARGET)
-        return linear.predict(test.withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
-    return trees.fit_predict(train, test, feats, trees.MODELS[model]())
+    cut = _split_frames(df, list(qs))
+    seg = F.when(F.col("date") < F.col("c0"), 0).when(F.col("date") < F.col("c1"), 1).otherwise(2)
+    j = write_once(cut.withColumn("fold", seg).drop("c0", "c1"), "three-way")
+
+    def scored(sets, models, upto):
+        """(features, model, y, pred) of segment ``upto``, fitted on the segments before it."""
+        parts = [linear_segment(j, upto, feats).select(F.lit(s).alias("features"), F.lit("Linear").alias("model"), F.col(TARGET).alias("y"), "pred") for s, feats in sets.items() if "Linear" in models]
+        if trees := {m: TREE_MODELS[m] for m in models if m != "Linear"}:
+            parts.append(hist_trees.predictions(j, sets, trees, TARGET, "fold", [upto], ["ticker", "date"]).select("features", "model", "y", "pred"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    val = write_once(metrics.metrics(scored(sets, models, 1), "y", "pred", ["features", "model"]).select(F.lit("val").alias("role"), "features", "model", "RMSE"), "validation")
+    best = val.orderBy("RMSE", "features", "model").first()
+    ws, wm = best["features"], best["model"]
+    test = j.where("fold = 2")
+
+    def row(scores, features, model):
+        return scores.select(F.lit("test").alias("role"), F.lit(features).alias("features"), F.lit(model).alias("model"), "RMSE", "MAE", "R2")
+
+    out = val.unionByName(row(metrics.metrics(naive(test), TARGET, "pred"), "vol_5", "Naive baseline (vol_5)"), allowMissingColumns=True)
+    out = out.unionByName(row(metrics.metrics(scored({ws: sets[ws]}, [wm], 2), "y", "pred"), ws, f"Final model: {wm}"))
+    return out.unionByName(row(metrics.metrics(linear_segment(j, 2, V1), TARGET, "pred"), "v1 (original)", "Linear v1 (shipped)"))
+
+
+def linear_segment(segmented: DataFrame, upto: int, feats: list[str]) -> DataFrame:
+    """Segment ``upto`` with ``pred`` of a linear model fitted on the segments before it."""
+    coefs = linear.fit(segmented.where(F.col("fold") < upto), feats, TARGET)
+    return linear.predict(segmented.where(F.col("fold") == upto).withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
