@@ -78,10 +78,9 @@ def test_near_groups(docs, rows):
     assert len({w[2] for w in want}) < len(rows) - 40
 
 
-def test_blocks_lose_no_pair(docs, rows, monkeypatch):
-    """Entries in blocks of five members, and pairs made without any star before."""
-    monkeypatch.setattr(mt, "ENTRY", 5)
-    classes = mt.signatures(docs).where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(mt.F.min("doc_id").alias("id"), mt.F.first("subs").alias("subs"))
+def test_cells_lose_no_link(spark, docs, rows, monkeypatch):
+    """Pairs of small entries and cells of clusters find all links, without any star before."""
+    classes = mt.signatures(docs).where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(mt.F.min("doc_id").alias("id"), mt.F.first("subs").alias("subs")).cache()
     entries = mt.table_entries(classes).withColumn("root", mt.F.col("id")).cache()
     of = {}
     for r in entries.collect():
@@ -90,7 +89,29 @@ def test_blocks_lose_no_pair(docs, rows, monkeypatch):
     for members in of.values():
         assert sorted(m.place for m in members) == list(range(len(members))) and {m.first for m in members} == {min(m.id for m in members)}
     want = {(a.id, b.id) for members in of.values() for a in members for b in members if a.id < b.id}
-    assert {(min(p), max(p)) for p in mt.cross_pairs(entries, 5).collect()} == want
+    assert {tuple(p) for p in mt.cross_pairs(entries).collect()} == want
+
+    sets = mt.whole_sets(docs, classes.select("id", "n", "s1", mt.F.col("id").alias("doc"))).cache()
+    h = {r.id: set(r.h) for r in sets.collect()}
+
+    def groups(pairs):
+        root = {i: i for i in h}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+        return {i: find(i) for i in h}
+
+    linked = groups((a, b) for a, b in want if 100 * len(h[a] & h[b]) >= 80 * len(h[a] | h[b]))
+    assert groups(mt.verified(mt.cross_pairs(entries), sets, classes).collect()) == linked
+    for cell, columns in ((5, 7), (1024, 2048)):
+        monkeypatch.setattr(mt, "COLUMNS", columns)
+        assert groups(mt.cluster_links(entries, sets, cell).collect()) == linked
 
 
 def test_dedup_keeps_columns(docs, rows):

@@ -11,8 +11,10 @@ Two sets of likeness s miss each other with probability 1 - (1 - (1 - s ** ROWS)
 2. Sub-keys that no other class holds are dropped, because a table key needs both its sub-keys; the pairs
    of the rest are the table keys.  Tables are read as sorted runs: a task holds a row, not a table entry.
 3. Candidates are verified on whole sets, by exact integer arithmetic.  An entry is first verified as a
-   star around its first, then its last member; only members that are still in different components are
-   then paired, in blocks of ``ENTRY`` members.  Pairs inside a component prove nothing new and are never made.
+   star around its first, then its last member; only members that are still in different components are compared further.
+   In an entry of up to ``SMALL`` members they are paired.  Larger entries that overlap (families of near copies) are joined to
+   clusters, whose sets meet in cells of at most ``CELL`` x ``CELL`` members: a cell counts common shingles of all its pairs by
+   matrix products and hands out a spanning forest of the links.  No pairs of a large entry are made as rows.
 4. Components come from the star steps of ``simhash.components``.
 
 Defined cases: null, empty or blank text has no shingle and is linked with nothing (its component is its
@@ -36,9 +38,11 @@ SHINGLE = 2
 SIDE = 16  # sub-keys of a collection
 ROWS = 3  # minhashes of a sub-key
 LIKENESS = 80  # per cent
-ENTRY = 2048
+SMALL = 12
+CELL = 1024
+COLUMNS = 2048  # shingles of a matrix product
 MOST_WORDS = 300_000  # word hashes that a task holds
-STEP = 8192  # shingles hashed at once
+STEP = 2048  # shingles hashed at once
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 
@@ -73,11 +77,13 @@ class Shingler:
 
 def sub_keys(hashes: np.ndarray, side: int = SIDE, rows: int = ROWS) -> np.ndarray:
     """The 2 * side sub-keys of a set; a value is bound to its place, its lowest bit tells the collection."""
-    draw = np.random.default_rng(20)
-    a, b = (draw.integers(0, 1 << 63, 2 * side * rows, np.uint64)[:, None] * np.uint64(2) + np.uint64(1) for _ in range(2))
-    least = np.full(2 * side * rows, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for lo in range(0, len(hashes), STEP):
-        np.minimum(least, (hashes[None, lo : lo + STEP] * a + b).min(axis=1), out=least)
+    a = np.random.default_rng(20).integers(0, 1 << 31, (2 * side * rows, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+    least, x = np.full(2 * side * rows, np.uint32(0xFFFFFFFF)), (hashes >> np.uint64(32)).astype(np.uint32)
+    room = np.empty((len(a), min(STEP, len(x))), np.uint32)
+    for lo in range(0, len(x), STEP):
+        part = x[lo : lo + STEP]
+        np.minimum(least, np.multiply(a, part, out=room[:, : len(part)]).min(axis=1), out=least)
+    least = least.astype(np.uint64)
     out = np.arange(1, 2 * side + 1, dtype=np.uint64)
     for k in range(rows):
         out = mix(out * _M1 + least[k::rows])
@@ -181,25 +187,60 @@ def apart(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(split, F.col("key") == F.col("_key"), "left_semi")
 
 
-def cross_pairs(entries: DataFrame, entry: int = ENTRY) -> DataFrame:
-    """(a, b): members of one entry and of different components, made in blocks of ``entry`` members."""
-    blocks = entries.groupBy("key").agg(F.max("place").alias("_last")).where(F.col("_last") >= entry).select(F.col("key").alias("_key"), F.floor(F.col("_last") / entry).cast("int").alias("_blocks"))
-    rows = entries.join(blocks, F.col("key") == F.col("_key"), "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(0)))
-    own = F.floor(F.col("place") / entry).cast("int")
-    cells = rows.select("key", "id", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("_blocks"))).alias("other"))
+def cross_pairs(entries: DataFrame) -> DataFrame:
+    """(a, b): members of one small entry and of different components; at most SMALL pairs a row."""
+    of = entries.groupBy("key").agg(F.collect_list(F.struct("id", "root")).alias("m"))
+    one = of.select("m", F.explode("m").alias("x"))
+    other = F.explode(F.filter("m", lambda y: (y["root"] != F.col("x")["root"]) & (y["id"] > F.col("x")["id"])))
+    return one.select(F.col("x")["id"].alias("a"), other.alias("y")).select("a", F.col("y")["id"].alias("b")).distinct()
+
+
+def cell_links(t: pa.Table) -> pa.Table:
+    """Spanning forest of the links between different components of one cell's members (id, root, own, left, n, h)."""
+    ident, root, own, left, n = (t.column(c).to_numpy() for c in ("id", "root", "own", "left", "n"))
+    none = pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if own.min() == own.max():  # a block with itself: all but its largest component against all
+        values, counts = np.unique(root, return_counts=True)
+        one, two = np.flatnonzero(root != values[counts.argmax()]), np.arange(len(root))
+    else:
+        one, two = np.flatnonzero(left), np.flatnonzero(~left)
+    if not len(one) or not len(two):
+        return none
+    h = t.column("h").combine_chunks()
+    shingle, row = h.flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
+    order = np.argsort(shingle, kind="stable")
+    shingle, row = shingle[order], row[order]
+    column = np.cumsum(np.append(0, shingle[1:] != shingle[:-1]))
+    held = np.bincount(column)
+    several = held[column] > 1
+    column, row = np.cumsum(held > 1)[column[several]] - 1, row[several]
+    common = np.zeros((len(one), len(two)), np.float32)
+    starts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS))
+    for lo, hi in zip(starts, np.append(starts[1:], len(column))):
+        m = np.zeros((len(n), COLUMNS), np.float32)
+        m[row[lo:hi], column[lo:hi] % COLUMNS] = 1
+        common += m[one] @ m[two].T  # whole numbers far below 2**24
+    both = (n[one][:, None] + n[two][None, :]) - common
+    i, j = np.nonzero((100 * common >= LIKENESS * both) & (root[one][:, None] != root[two][None, :]))
+    # one link per pair of components is enough
+    pair = np.stack([np.minimum(root[one[i]], root[two[j]]), np.maximum(root[one[i]], root[two[j]])], axis=1)
+    _, first = np.unique(pair, axis=0, return_index=True)
+    return pa.table({"a": ident[one[i[first]]], "b": ident[two[j[first]]]})
+
+
+def cluster_links(entries: DataFrame, sets: DataFrame, cell: int = CELL) -> DataFrame:
+    """(a, b): a spanning forest of the links between components inside large entries (key, id, first, root)."""
+    label = stored(components(entries.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()), "clusters")
+    members = entries.select("id", "root").distinct().join(label.select(F.col("v").alias("_v"), F.col("root").alias("cluster")), F.col("id") == F.col("_v"), "left")
+    members = members.select("id", "root", F.coalesce("cluster", "id").alias("cluster"))
+    placed = shared(members.select(F.col("cluster").alias("key"), "id")).select("id", "key", F.floor(F.col("place") / cell).cast("int").alias("own"))
+    placed = stored(placed.join(members.select("id", "root"), "id"), "members")
+    blocks = placed.groupBy("key").agg(F.max("own").alias("_last")).select(F.col("key").alias("_key"), "_last")
+    cells = placed.join(blocks, F.col("key") == F.col("_key")).select("key", "id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("other"))
     cells = cells.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "id", "root", "own", (F.col("own") <= F.col("other")).alias("left"))
-
-    def run(t: pa.Table) -> pa.Table:
-        ident, root, own, left = (t.column(c).to_numpy() for c in ("id", "root", "own", "left"))
-        diagonal = own.min() == own.max()
-        a = np.arange(len(ident)) if diagonal else np.flatnonzero(left)
-        b = a if diagonal else np.flatnonzero(~left)
-        i, j = np.nonzero(root[a][:, None] != root[b][None, :])
-        if diagonal:
-            i, j = i[i < j], j[i < j]
-        return pa.table({"a": ident[a[i]], "b": ident[b[j]]})
-
-    return cells.groupBy("cell").applyInArrow(run, "a long, b long").distinct()
+    mixed = cells.groupBy("cell").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select(F.col("cell").alias("_cell"))
+    cells = cells.join(mixed, F.col("cell") == F.col("_cell"), "left_semi")
+    return cells.join(sets, "id").select("cell", "id", "root", "own", "left", "n", "h").groupBy("cell").applyInArrow(cell_links, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -220,7 +261,11 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     ends = rest.join(last, F.col("key") == F.col("_key")).where("a <> id").select("a", F.col("id").alias("b"))
     links = stored(links.unionByName(verified(ends, sets, sizes)), "links")
     roots = components(links)
-    links = links.unionByName(verified(cross_pairs(stored(apart(entries, roots), "apart")), sets, sizes))
+    rest = stored(apart(entries, roots), "apart")
+    large = rest.where(F.col("place") >= SMALL).select(F.col("key").alias("_key")).distinct()
+    small = rest.join(large, F.col("key") == F.col("_key"), "left_anti")
+    large = stored(rest.join(large, F.col("key") == F.col("_key"), "left_semi"), "large")
+    links = links.unionByName(verified(cross_pairs(small), sets, sizes)).unionByName(cluster_links(large, sets))
     roots = stored(components(links), "roots")
 
     named = classes.select("n", "s1", "s2", "id", "doc").join(roots, F.col("id") == F.col("v"), "left").withColumn("root", F.coalesce("root", "id"))
