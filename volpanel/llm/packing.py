@@ -58,18 +58,7 @@ class Encoder:
     other texts are encoded by the whole tokenizer, once each.
     """
 
-    MOST = 800_000  # words held at once
-
-    @classmethod
-    def of_worker(cls, path: str) -> "Encoder":
-        """The worker process's encoder, so that its words are kept from task to task."""
-        import sys
-        import types
-
-        held = sys.modules.setdefault("_volpanel_encoders", types.ModuleType("_volpanel_encoders")).__dict__
-        if path not in held:
-            held[path] = cls(path)
-        return held[path]
+    MOST = 250_000  # words held at once
 
     def __init__(self, path: str):
         import os
@@ -162,7 +151,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH)
     def run(batches):
         import gc
 
-        encoder = Encoder.of_worker(tokenizer or default_tokenizer())
+        encoder = Encoder(tokenizer or default_tokenizer())
         gc.disable()  # the words' lists hold no cycles, but each collection would walk them all
         try:
             for b in batches:
