@@ -1,6 +1,7 @@
 """The operators on documents against plain versions, on planted and odd rows."""
 
 import hashlib
+import itertools
 import random
 
 import llm_brute as brute
@@ -199,7 +200,6 @@ def test_packing(docs, rows, none):
 
     got = packing.pack(packing.pieces(docs), group_pieces=40).collect()
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == brute.pieces(rows, tok)
     bins = {}
     for r in got:
@@ -217,9 +217,8 @@ def test_packing(docs, rows, none):
 def test_tokenizer_word_by_word():
     from tokenizers import Tokenizer
 
-    texts = ["Don't stop, it's 3.14!! <|endoftext|> x", "É́clair naïve space ﬁ 日本 🙂 tab\tnew\nline", "'s 'll WE'RE a'b", "İstanbul ß ǅ", ""]
+    texts = ["Don't stop, it's 3.14!! <|endoftext|> x", "hello <|endoftext|> world", "a<|startoftext|>b<|ENDOFTEXT|>é<|endoftext", "É <|endoftext|>é", "É́clair naïve space ﬁ 日本 🙂 tab\tnew\nline", "'s 'll WE'RE a'b", "İstanbul ß ǅ", ""]
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     enc = packing.Encoder(packing.default_tokenizer())
     for text, got in zip(texts, enc(texts)):
         assert got.tolist() == tok.encode(text, add_special_tokens=False).ids
@@ -231,6 +230,31 @@ def test_local_search_empties_bins():
     assert sorted(sum(sizes[i] for i in b) for b in bins) == [10, 10, 10]
 
 
+def test_local_search_ends_in_a_local_optimum():
+    r = random.Random(11)
+    for _ in range(40):
+        room = r.choice([12, 50, 400])
+        sizes = [r.randint(1, room - 1) if r.random() < 0.6 else r.randint(1, max(1, room // 6)) for _ in range(r.randint(2, 60))]
+        start = packing.best_fit(sizes, room)
+        bins = packing.improve(start, sizes, room)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and len(bins) <= len(start)
+        fill = [sum(sizes[i] for i in b) for b in bins]
+        assert max(fill) <= room
+        for a in range(len(bins)):
+            for b in range(len(bins)):
+                if a == b or fill[a] > fill[b] or fill[b] == room:
+                    continue
+                own = lambda k, n: [sum(sizes[i] for i in c) for c in itertools.combinations(bins[k], n)]
+                steps = [g - t for n, m in ((1, 0), (1, 1), (2, 1), (1, 2)) for g in own(a, n) for t in own(b, m)]
+                assert not any(0 < s <= room - fill[b] for s in steps)
+
+
+def test_packing_of_pieces_that_cannot_be_combined(spark):
+    cut = spark.range(300).selectExpr("id as doc_id", "id as row_id", "0 as piece", "0L as start", "cast(1500 + id % 100 as long) as length", "0L as ids_crc32")
+    got = packing.pack(cut, group_pieces=20)
+    assert got.select("sequence_id").distinct().count() == got.count() == 300
+
+
 def test_fingerprint_report(docs, rows, none):
     texts = sorted({(d, t or "") for d, t in rows})
     got = {r.doc_id: r for r in fingerprint.report(docs.dropDuplicates(["doc_id"])).collect()}

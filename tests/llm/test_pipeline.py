@@ -59,7 +59,6 @@ def test_packing_stage(stages):
     from volpanel.llm import packing
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in stages[5]} == brute.pieces([(r.doc_id, r.text) for r in stages[4]], tok)
 
 

@@ -7,8 +7,8 @@
    exchange of one piece for one, of two for one, or a move raises the sum of squared fills of
    the underfull bins, it is made, which drives the emptiest bins to nothing.
 3. The bins that are still underfull are opened again and packed with those of other groups, in
-   fewer and fewer groups, until one group is left: only the last group can end with free space
-   that another could have used.  A round packs an ever smaller part of the pieces.
+   fewer and fewer groups, until one group is left, or a round leaves nearly all its pieces in underfull bins (pieces that
+   can't be combined): only the last round can end with free space that another group could have used.
 
 Only (piece, length) rows are shuffled.  No group depends on a key of the data, so no hot key
 exists.  Group sizes are bounded in every round.
@@ -34,8 +34,7 @@ from volpanel.llm.common import stored
 LENGTH = 2048
 END_ID = 0
 GROUP_PIECES = 8_192
-ROUNDS = 6
-CLOSE = 512  # between rounds a bin with less than this part of a sequence free stays closed
+FALL = 0.8  # a round that leaves more than this part of its pieces underfull is the last
 #: the tokenizer's rule for the pieces of a lower-case ASCII text
 PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: a piece of letters and a piece of closing marks, either may be missing
@@ -66,7 +65,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(path)
+        # texts that spell one of these are left to the whole tokenizer
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.tokenizer = Tokenizer.from_file(path)  # for words of other texts
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.clear()
@@ -113,6 +115,12 @@ class Encoder:
 
     def __call__(self, texts: list):
         """uint32 ids of each text."""
+        named = [k for k, t in enumerate(texts) if t and any(s in t for s in self.special)]
+        if named:
+            out = self([None if k in set(named) else t for k, t in enumerate(texts)])
+            for k in named:
+                out[k] = np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+            return out
         split = [t.encode().lower().split() if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
         words = list(chain.from_iterable(split))
         at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
@@ -201,73 +209,103 @@ def best_fit(sizes: list[int], room: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: list[int], room: int, sweeps: int = 4, donors: int = 24, takers: int = 160) -> list[list[int]]:
-    """Exchanges and moves between underfull bins that raise the sum of squared fills.
-
-    A step takes the emptiest bin ``a`` and a fuller underfull bin ``b``.  Handing b a net gain g
-    (at most b's free room) raises fill(b)**2 + fill(a)**2 whenever fill(b) + g > fill(a), so each
-    accepted step is an ascent and a bin that reaches zero is gone.  ``donors`` and ``takers`` bound
-    the steps that a sweep tries, not the pieces: every piece stays packed.
-    """
+class Underfull:
+    """Pieces and pairs of pieces of the underfull bins, flat, to look for steps in all bins at once."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], room: int):
+        self.bins, self.sizes, self.room = bins, np.asarray(sizes, np.int64), room
+        self.fill = np.array([self.sizes[b].sum() for b in bins], np.int64)
+        self.pairs = [None] * len(bins)
+        self.flat()
+
+    def pairs_of(self, k: int):
+        """(sum, first, second) of a bin's pairs, one for each pair of sizes."""
+        if self.pairs[k] is None:
+            own = np.array(self.bins[k], np.int64)
+            s = self.sizes[own]
+            _, first = np.unique(s, return_index=True)
+            keep = np.zeros(len(own), bool)  # of equal pieces two are enough
+            keep[first] = True
+            rest = np.flatnonzero(~keep)
+            _, second = np.unique(s[rest], return_index=True)
+            keep[rest[second]] = True
+            own = own[keep]
+            i, j = np.triu_indices(len(own), 1)
+            self.pairs[k] = (self.sizes[own[i]] + self.sizes[own[j]], own[i], own[j])
+        return self.pairs[k]
+
+    def flat(self):
+        counts = [len(b) for b in self.bins]
+        self.piece = np.array([i for b in self.bins for i in b], np.int64)
+        self.piece_bin = np.repeat(np.arange(len(self.bins)), counts)
+        got = [self.pairs_of(k) for k in range(len(self.bins))]
+        self.pair_bin = np.repeat(np.arange(len(self.bins)), [len(g[0]) for g in got])
+        self.pair_sum, self.pair_a, self.pair_b = (np.concatenate([g[c] for g in got]) if got else np.zeros(0, np.int64) for c in range(3))
+
+    def best(self, b: int):
+        """(gain, bin, given pieces, taken pieces) of the best step into bin b from a bin that is not fuller."""
+        gap, fill = self.room - self.fill[b], self.fill[b]
+        best = (0, None, (), ())
+        if gap == 0 or not self.bins[b]:
+            return best
+        fits = (self.fill <= fill) & (self.fill > 0)
+        fits[b] = False
+        ones = np.flatnonzero(fits[self.piece_bin])
+        twos = np.flatnonzero(fits[self.pair_bin])
+        own = np.array(self.bins[b], np.int64)
+        take_sum, take_a, take_b = self.pairs_of(b)
+        # what may go to b, and what may come back for it: nothing, one piece, or two for one
+        for give, many in ((ones, 1), (twos, 2)):
+            if not len(give) or best[0] == gap:
+                continue
+            size = self.sizes[self.piece[give]] if many == 1 else self.pair_sum[give]
+            order = np.argsort(size, kind="stable")
+            give, size = give[order], size[order]
+            nothing, one, two = (np.zeros(1, np.int64), [()]), (self.sizes[own], own[:, None]), (take_sum, np.stack([take_a, take_b], axis=1))
+            for back, pieces_ in (nothing, one, two) if many == 1 else (one,):
+                if not len(back):
+                    continue
+                at = np.searchsorted(size, back + gap, side="right") - 1  # the largest that leaves a gain of at most the gap
+                gain = np.where(at >= 0, size[np.maximum(at, 0)] - back, 0)
+                k = int(gain.argmax())
+                if gain[k] > best[0]:
+                    g = give[at[k]]
+                    given, a = ((int(self.piece[g]),), self.piece_bin[g]) if many == 1 else ((int(self.pair_a[g]), int(self.pair_b[g])), self.pair_bin[g])
+                    best = (int(gain[k]), int(a), given, tuple(int(i) for i in pieces_[k]))
+        return best
+
+    def step(self, b: int, gain: int, a: int, given: tuple, taken: tuple):
+        for i in given:
+            self.bins[a].remove(i)
+            self.bins[b].append(i)
+        for i in taken:
+            self.bins[b].remove(i)
+            self.bins[a].append(i)
+        self.fill[b] += gain
+        self.fill[a] -= gain
+        self.pairs[a] = self.pairs[b] = None
+        self.flat()
+
+
+def improve(bins: list[list[int]], sizes: list[int], room: int) -> list[list[int]]:
+    """Moves and exchanges (one for one, two for one, one for two) between underfull bins until none raises the sum of squared fills.
+
+    A step hands a bin b a net gain g of at most its free room, from a bin a that is not fuller: fill(b)**2 + fill(a)**2 rises,
+    so the steps come to an end, and bins that reach zero are gone.  All underfull bins, pieces and pairs are looked at; the end
+    is a local optimum of these steps."""
     done = [b for b in bins if sum(sizes[i] for i in b) == room]
-    open_ = [list(b) for b in bins if sum(sizes[i] for i in b) < room]
-    fill = [sum(sizes[i] for i in b) for b in open_]
-    for _ in range(sweeps):
-        order = sorted((k for k in range(len(open_)) if open_[k]), key=lambda k: fill[k])
+    state = Underfull([list(b) for b in bins if sum(sizes[i] for i in b) < room], sizes, room)
+    changed = True
+    while changed:
         changed = False
-        for a in order[:donors]:
-            for b in order[takers:0:-1]:
-                if a == b or not open_[a] or not open_[b] or fill[b] < fill[a]:
-                    continue
-                gap = room - fill[b]
-                if not gap:
-                    continue
-                step = best_step(open_[a], open_[b], sizes, gap)
-                if step is None:
-                    continue
-                give, take = step
-                for i in give:
-                    open_[a].remove(i)
-                    open_[b].append(i)
-                for i in take:
-                    open_[b].remove(i)
-                    open_[a].append(i)
-                gain = sum(sizes[i] for i in give) - sum(sizes[i] for i in take)
-                fill[b] += gain
-                fill[a] -= gain
+        for b in np.argsort(-state.fill, kind="stable").tolist():
+            while True:
+                gain, a, given, taken = state.best(b)
+                if not gain:
+                    break
+                state.step(b, gain, a, given, taken)
                 changed = True
-        if not changed:
-            break
-    return done + [b for b in open_ if b]
-
-
-def best_step(a: list[int], b: list[int], sizes: list[int], gap: int):
-    """The move, 1-for-1, 2-for-1 or 1-for-2 exchange from a to b with the largest gain <= gap."""
-    best, out = 0, None
-    for i in a:  # move
-        if best < sizes[i] <= gap:
-            best, out = sizes[i], ((i,), ())
-    if best == gap:
-        return out
-    by = sorted(b, key=lambda j: sizes[j])
-    own = [sizes[j] for j in by]
-    singles = [((i,), sizes[i]) for i in a]
-    small = sorted(a, key=lambda i: sizes[i])[:24]
-    doubles = [((small[x], small[y]), sizes[small[x]] + sizes[small[y]]) for x in range(len(small)) for y in range(x)]
-    for give, size in singles + doubles:  # one or two for one: the smallest j with size - own <= gap
-        at = bisect.bisect_left(own, size - gap)
-        if at < len(own) and best < size - own[at]:
-            best, out = size - own[at], (give, (by[at],))
-            if best == gap:
-                return out
-    few = by[:24]
-    for give, size in singles:  # one for two
-        for x in range(len(few)):
-            for y in range(x):
-                gain = size - sizes[few[x]] - sizes[few[y]]
-                if best < gain <= gap:
-                    best, out = gain, (give, (few[x], few[y]))
-    return out
+    return done + [b for b in state.bins if b]
 
 
 def pack_group(sizes: list[int], room: int) -> list[list[int]]:
@@ -290,7 +328,7 @@ def packer(k: int, last: bool, length: int):
             b[own] = at
             ends = np.cumsum([sizes[i] for i in own])
             o[own] = ends - np.array([sizes[i] for i in own])
-            full[own] = last or ends[-1] >= length - length // CLOSE
+            full[own] = last or ends[-1] == length
         g = t.column("_group")
         t = t.drop_columns(["_group"])
         return t.append_column("_round", pa.array(np.full(len(b), k, np.int32))).append_column("_group", g).append_column("_bin", pa.array(b)).append_column("offset", pa.array(o)).append_column("_full", pa.array(full))
@@ -306,10 +344,10 @@ def pack(cut: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES)
     parts = [alone.select("*", F.lit(-1).cast("int").alias("_round"), F.lit(0).cast("int").alias("_group"), F.lit(0).cast("int").alias("_bin"), F.lit(0).cast("long").alias("offset"))]
     rest, n = cut.where(F.col("length") < length), None
     inner = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema) + ", _round int, _group int, _bin int, offset long, _full boolean"
-    for k in range(ROUNDS):
-        n = rest.count()
+    for k in range(1 << 6):
+        before, n = n, rest.count()
         groups = max(1, -(-n // group_pieces))
-        last = groups == 1 or k == ROUNDS - 1
+        last = groups == 1 or (before is not None and n > FALL * before) or k == (1 << 6) - 1
 
         dealt = rest.withColumn("_group", F.pmod(F.xxhash64("row_id", "piece", F.lit(k)), F.lit(groups)).cast("int"))
         done = stored(dealt.groupBy("_group").applyInArrow(packer(k, last, length), inner), f"packed-{k}")
@@ -322,5 +360,5 @@ def pack(cut: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES)
         out = out.unionByName(p)
     # bins are numbered by (round, group, bin); a piece that fills a sequence by itself gets a negative number
     number = F.when(F.col("_round") < 0, -1 - F.monotonically_increasing_id()).otherwise(
-        F.col("_round").cast("long") * F.lit(1 << 58) + F.col("_group").cast("long") * F.lit(1 << 24) + F.col("_bin"))
+        F.col("_round").cast("long") * F.lit(1 << 57) + F.col("_group").cast("long") * F.lit(1 << 24) + F.col("_bin"))
     return out.select(*cut.columns, number.alias("sequence_id"), F.col("offset")).selectExpr(*[f"cast({f.split()[0]} as {f.split()[1]}) as {f.split()[0]}" for f in schema.split(", ")])
