@@ -68,6 +68,13 @@ def test_line_dedup_without_id(spark):
     assert {r.doc_id: r.n_dropped for r in line_dedup.dedup_report(df).collect()} == {1: 1, 2: 1, 3: 0, None: 0}
 
 
+def test_line_dedup_text_ids(spark):
+    line = "a line of more than twenty characters"
+    df = spark.createDataFrame([("b", line), ("a", line), ("c", line + "\nx"), (None, line)], "doc_id string, text string")
+    assert {r.doc_id: r.n_dropped for r in line_dedup.dedup_report(df).collect()} == {"a": 1, "b": 1, "c": 0, None: 0}
+    assert {r.doc_id: r.text for r in line_dedup.dedup(df).collect()} == {"a": "", "b": "", "c": line + "\nx", None: line}
+
+
 def test_minimal_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**63, 20_000).astype(np.uint64))
     parts = mphf.build(keys)
@@ -84,6 +91,14 @@ def test_simhash_groups(docs, rows, none):
     assert simhash.near_groups(none).count() == 0
 
 
+def test_simhash_keeps_rows_without_id(spark):
+    df = spark.createDataFrame([(3, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, "a b c d"), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in simhash.near_groups(df).collect()), key=str)
+    fp = brute.fingerprint("a b c d")
+    assert got == sorted([(3, fp, 1), (1, fp, 1), (None, fp, None), (None, fp, None), (None, 0, None)], key=str)
+    assert simhash.dedup(df).count() == 4
+
+
 def test_simhash_dedup_keeps_one(docs, rows):
     comp = brute.components({d: brute.fingerprint(t) for d, t in rows})
     got = simhash.dedup(docs)
@@ -255,6 +270,21 @@ def test_packing_of_pieces_that_cannot_be_combined(spark):
     assert got.select("sequence_id").distinct().count() == got.count() == 300
 
 
+def test_substring_dedup_repeated_and_text_ids(spark):
+    r = random.Random(5)
+    passage, tail = prose(r, 30), prose(r, 90)
+    rows = [(1, passage + " end"), (1, "other start " + passage), (2, passage + " " + tail), (2, passage + " " + tail), (3, tail), (None, tail)]
+    for kind, ids in (("long", {}), ("string", {1: "a", 2: "b", 3: "c", None: None})):
+        df = spark.createDataFrame([(ids.get(d, d), t) for d, t in rows], f"doc_id {kind}, text string")
+        got = sorted(((x.doc_id, x.n_words, x.n_removed) for x in substring_dedup.report(df).collect()), key=str)
+        # of the two texts of document 1 one is first, the other loses the passage; equal rows share their result
+        counts = {(len(t.split()), gone) for t, gone in ((rows[0][1], 30), (rows[1][1], 30))}
+        first = [g for g in got if g[0] == ids.get(1, 1)]
+        assert sorted(g[2] for g in first) == [0, 30] and {(g[1], 30) for g in first} == counts
+        assert [g for g in got if g[0] == ids.get(2, 2)] == [(ids.get(2, 2), 120, 30)] * 2
+        assert [g for g in got if g[0] == ids.get(3, 3)] == [(ids.get(3, 3), 90, 90)] and (None, 90, 0) in got
+
+
 def test_fingerprint_report(docs, rows, none):
     texts = sorted({(d, t or "") for d, t in rows})
     got = {r.doc_id: r for r in fingerprint.report(docs.dropDuplicates(["doc_id"])).collect()}
@@ -275,6 +305,12 @@ def test_fingerprint_report(docs, rows, none):
     assert fingerprint.report(none).count() == 0
 
 
+def test_fingerprints_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "x y z")] * 3 + [(2, "q r")], "doc_id long, text string")
+    got = [r.doc_id for r in fingerprint.report(df).collect()]
+    assert sorted(got) == [1, 1, 1, 2]
+
+
 def test_block_tables_find_all(spark):
     r = np.random.default_rng(8)
     base = [int(x) for x in r.integers(-(2**63), 2**63 - 1, 60)]
@@ -307,6 +343,19 @@ def test_pii(spark, docs, rows, none):
     assert pii.report(none, model).count() == 0
 
 
+def test_toxicity_fit_is_that_of_rows_at_hand(spark):
+    r = random.Random(12)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    texts = [" ".join(r.choice(vocab) for _ in range(r.randint(0, 60))) + (" vilewordy" * r.randint(1, 3) if k % 4 == 0 else "") for k in range(160)] + ["", None]
+    for ids, kind in ((list(range(162)), "long"), ([f"d{k:03}" for k in range(162)], "string")):
+        toxic = [int(k % 4 == 0) for k in range(160)] + [0, 1]
+        df = spark.createDataFrame([(i, t, 1) for i, t in zip(ids, texts)] + [(ids[0], "~ a larger text of the same document", 2)], f"doc_id {kind}, text string, words int").repartition(5)
+        labels = spark.createDataFrame([(i, t) for i, t in zip(ids, toxic)] + [(ids[3], None), (None, 1)], f"doc_id {kind}, toxic int")
+        model = toxicity.fit(df, labels)
+        assert model == toxicity.fit_rows(ids, texts, toxic) and model["threshold"] < 1
+        assert toxicity.score(df, model).where("is_toxic").count() >= 38
+
+
 def test_toxicity_chain(spark):
     r = random.Random(4)
     bad = ["zorgly", "vexnata"]

@@ -141,3 +141,14 @@ def test_formulas_and_fallback_text_are_judged(model):
     page = f"<body><article><h1>A title</h1>{first}<p>The law is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in short, as we know.</p><object><p>{SENTENCES[0]}</p></object><svg><path d='M0'/><path d='M1'/></svg><p>{SENTENCES[1]}</p></article><button>Send now</button><select><option>One<option>Two</select><footer>&copy; me</footer>"
     want = " ".join(["A title", *SENTENCES, "The law is E=m in short, as we know.", SENTENCES[0], SENTENCES[1]])
     assert html_extract.extract_batch(model, [page])[0] == want
+
+
+def test_long_attributes_and_empty_comments():
+    pages = {
+        f'<p data-x="{"a" * 9000} > b">Hello world</p>': ["Hello world"],
+        "<p>before</p><!--><p>after</p>": ["before", "after"],
+        "<p>before</p><!---><p>after</p><!-- x --!><p>end</p><!-- open": ["before", "after", "end"],
+        "<p>a</p><!-- <p>b</p> --><p title='>'>c</p>": ["a", "c"],
+    }
+    for page, want in pages.items():
+        assert [n.text for n in html_extract.walk(html_extract.parse(page)[0]) if n.text is not None] == want

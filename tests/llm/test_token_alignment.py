@@ -83,16 +83,22 @@ def test_small_blocks(docs, rows, aligner, monkeypatch):
 def test_units_are_whole_texts(aligner):
     """Units give the tokens of the whole text, on random strings."""
     r = random.Random(9)
-    letters = list("abe 'st1.,!\n\t-éß日▁🙂") + [" "] * 8 + [" ", "́", " ", "\x1d"]
-    for _ in range(3000):
-        text = "".join(r.choice(letters) for _ in range(r.randint(1, 30)))
-        units = aligner(ta.CUT.split(text))
-        a, b = aligner.a.encode(" " + text, add_special_tokens=False).ids, aligner.b.encode(text)
-        whole = aligner.align(text, a, b)
-        if whole is None:
-            assert None in units, text
-        else:
-            assert ";".join(u[2] for u in units) == whole[2] and [p for u in units for p in u[4]] == whole[4], text
+    letters = list("abe 'st1.,!\n\t-éß日▁🙂") + [" "] * 8 + ["\u00a0", "\u0301", "\u2003", "\x1d"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    for text in texts:
+        got = aligner(ta.CUT.split(text))
+        (_, n_a, n_b, n_groups, n_links, _, _, sha), = plain([(1, text)], aligner)
+        if not n_a:
+            assert got.sizes.min() < 0, text
+            continue
+        assert got.sizes.sum(axis=0).tolist() == [n_a, n_b, n_groups, n_links], text
+        assert hashlib.sha256(";".join(got.groups).encode()).hexdigest() == sha, text
+
+
+def test_packed_numbers():
+    for numbers in ([], [0], [1, 2, 70_000, 2**31], list(range(500))):
+        got, sizes = ta.unpacked([(len(numbers), ta.packed(ta.np.array(numbers, ta.np.int64)))] * 2)
+        assert got.tolist() == numbers * 2 and sizes.tolist() == [len(numbers)] * 2
 
 
 def test_empty_and_text_ids(spark, aligner):

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from volpanel.session import ensure_checkpoint_dir
 
@@ -67,6 +68,27 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_order_key(docs: DataFrame, name: str, own_text: bool = False) -> DataFrame:
+    """``docs`` with ``name``: a long that orders rows as doc_id does (null where doc_id is null).
+
+    Whole-number ids are their own keys.  Ids of other types get numbers in their order; with ``own_text``, so do tables in which rows
+    of one doc_id have different texts, and those rows get numbers of their own."""
+    kind = docs.schema["doc_id"].dataType
+    plain = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if plain and own_text:
+        text = F.xxhash64("text")
+        plain = not docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b").head(1)
+    if plain:
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
+    rows = docs.withColumn(f"{name}_t", F.xxhash64("text") if own_text else F.lit(0).cast("long"))
+    keys = rows.where("doc_id is not null").select(F.col("doc_id").alias(f"{name}_d"), F.col(f"{name}_t").alias(f"{name}_u")).distinct()
+    # numbers grow along sorted ranges
+    keys = keys.repartitionByRange(shuffle_parts(docs.sparkSession), f"{name}_d", f"{name}_u").sortWithinPartitions(f"{name}_d", f"{name}_u")
+    keys = stored(keys.withColumn(name, F.monotonically_increasing_id()), "order-keys")
+    on = (F.col("doc_id") == F.col(f"{name}_d")) & (F.col(f"{name}_t") == F.col(f"{name}_u"))
+    return rows.join(keys, on, "left").select(*docs.columns, name)
+
+
 def group_min(rows: DataFrame, keys: list[str], value: str, out: str, salts: int = 64) -> DataFrame:
     """``rows`` with ``out`` = the smallest ``value`` among the rows of equal ``keys``.
 

@@ -17,8 +17,8 @@ document by doc_id.  Neighbours are found in range buckets of equal depth (two p
 shuffle partition; their bounds are the only numbers that the driver sees), each bucket also receiving the first row of the next one; no global sort runs.
 
 Defined cases: null or empty text has no terms and fingerprint zero; a row without doc_id is
-left out (it has no place in the order); rows that repeat a doc_id are ordered by text; rows that are
-equal in text, id and next document are returned once; a single document is its own next; an empty table gives
+left out (it has no place in the order); rows that repeat a doc_id are ordered by text, and equal rows
+follow each other, each a row of its own; a single document is its own next; an empty table gives
 an empty result.  Other columns are not read.
 """
 
@@ -116,7 +116,8 @@ def cuts_up_to(x: Column, bounds: Column, n: int) -> Column:
 
 
 def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """doc_id, text, next_id, next_text: every row with its successor by (doc_id, text); the last's is the first.
+    """doc_id, text, place, next_id, next_text: every row with its successor by (doc_id, text); the last's is the first.
+    ``place`` tells equal rows apart.
 
     ``buckets`` (twice the shuffle partitions if not given) sets how much of the table one window sorts."""
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -126,7 +127,7 @@ def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     bucket = cuts_up_to(F.col("doc_id"), constants(cuts), len(cuts))
     heads = sorted(rows.select("doc_id").groupBy(bucket.alias("b")).agg(F.min("doc_id").alias("head")).collect())  # one per bucket
     if not heads:
-        return rows.select("doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
+        return rows.select("doc_id", "text", F.lit(0).cast("long").alias("place"), F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
     # the row that opens a bucket also goes, as a guest, to the bucket before (the first to the last)
     before = constants(_previous([h.b for h in heads], len(cuts) + 1)).cast("array<int>")
     opens = constants(_heads(heads, len(cuts) + 1))
@@ -135,7 +136,8 @@ def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     places = F.concat(F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest"))), F.coalesce(guest, F.array().cast("array<struct<b:int,guest:int>>")))
     placed = home.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.b", "p.guest")
     w = Window.partitionBy("b").orderBy("guest", "doc_id", "text")
-    return placed.select("doc_id", "text", "guest", F.lead("doc_id").over(w).alias("next_id"), F.lead("text").over(w).alias("next_text")).where("guest = 0").drop("guest")
+    place = F.col("b").cast("long") * F.lit(1 << 40) + F.row_number().over(w)
+    return placed.select("doc_id", "text", "guest", place.alias("place"), F.lead("doc_id").over(w).alias("next_id"), F.lead("text").over(w).alias("next_text")).where("guest = 0").drop("guest")
 
 
 def _previous(present: list[int], n: int) -> list[int]:
@@ -163,8 +165,8 @@ def report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Per document: its fingerprint, that of its edited text, their likeness, the likeness to the next
     document's, and whether any document lies within the radius of the edited text."""
     rows = edited(with_next(docs))
-    keys = ["doc_id", "text_key", "next_id", "next_key", "n_chars", "edited_sha256"]
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "next_id", F.xxhash64("next_text").alias("next_key"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
+    keys = ["place", "doc_id", "text_key", "next_id", "next_key", "n_chars", "edited_sha256"]
+    rows = rows.select("place", "doc_id", F.xxhash64("text").alias("text_key"), "next_id", F.xxhash64("next_text").alias("next_key"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
     both = rows.select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("body")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("body")))).alias("v")).select(*keys, "v.which", "v.body")
     fps = fingerprints(both, "body", [*keys, "which"])
     out = stored(fps.groupBy(*keys).agg(F.max(F.when(F.col("which") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("which") == 1, F.col("fp"))).alias("edited_fp")), "fingerprints")

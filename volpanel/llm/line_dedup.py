@@ -16,7 +16,7 @@ A key is the line stripped of space and U+0009..U+000D, A-Z lower-cased.  Keys o
 
 Defined cases: null or empty text is one empty line; repeated rows of one doc_id count as one
 document and are all treated alike; a row without doc_id is counted for no line and keeps all its
-lines; an empty table gives an empty result.  Other columns pass through untouched.
+lines; doc_id may be of any type that has an order; an empty table gives an empty result.  Other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from volpanel.llm import mphf
-from volpanel.llm.common import shared_path, stored, worker_rows
+from volpanel.llm.common import shared_path, stored, with_order_key, worker_rows
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 SHARD_KEYS = 262_144
+KEY = "__order_key"  # the order of doc_id as a long
 STRIP = b" \t\n\x0b\x0c\r"
 
 
@@ -53,7 +54,7 @@ def hashed(key: bytes) -> tuple[int, int]:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id): the distinct long keys of each row."""
+    """(h1, h2, doc_id): the distinct long keys of each row, with its order key."""
     def run(batches):
         for b in batches:
             h, who = [], []
@@ -67,7 +68,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
                 a = np.array(h, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"h1": a[:, 0].copy(), "h2": a[:, 1].copy(), "doc_id": pa.array(who, pa.int64())})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "h1 long, h2 long, doc_id long")
+    return docs.select(KEY, "text").mapInArrow(run, "h1 long, h2 long, doc_id long")
 
 
 def build_index(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> tuple[str, int]:
@@ -185,26 +186,30 @@ class Prober:
 
 def dedup_report(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, kept_text, n_lines, n_dropped, kept_sha256."""
+    docs = with_order_key(docs.select("doc_id", "text"), KEY)
     path, shards = build_index(docs, min_docs, min_chars)
 
     def run(batches):
         probe = Prober(path, shards, min_chars)
         for b in batches:
-            got = probe(b.column(0).to_pylist(), b.column(1).to_pylist())
+            got = probe(b.column(2).to_pylist(), b.column(1).to_pylist())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column(0), "kept_text": pa.array([g[0].decode() for g in got], pa.string()),
                 "n_lines": pa.array([g[1] for g in got], pa.int64()), "n_dropped": pa.array([g[2] for g in got], pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(g[0]).hexdigest() for g in got], pa.string()),
             })
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` (and ``n_chars`` counted anew if present)."""
+    fields = docs.schema.fields
+    docs = with_order_key(docs, KEY)
     path, shards = build_index(docs, min_docs, min_chars)
     names = docs.columns
-    i_doc, i_text = names.index("doc_id"), names.index("text")
+    i_doc, i_text = names.index(KEY), names.index("text")
     i_n = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches):
@@ -216,6 +221,6 @@ def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS)
             columns[i_text] = pa.array(got, b.schema.field(i_text).type)
             if i_n is not None:
                 columns[i_n] = pa.array([old if a is None or a is t else len(a) for a, t, old in zip(got, texts, b.column(i_n).to_pylist())], b.schema.field(i_n).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+            yield pa.RecordBatch.from_arrays(columns[:i_doc], schema=pa.schema(list(b.schema)[:i_doc]))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return docs.mapInArrow(run, T.StructType(fields))

@@ -68,11 +68,12 @@ def majority(total: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (long): one row per distinct doc_id that is not null."""
+    """doc_id, fp (long): one row per distinct doc_id, and one per row without doc_id."""
     text = F.coalesce(ascii_lower(F.col("text")), F.lit(""))
-    words = docs.where("doc_id is not null").select("doc_id", F.filter(F.split(text, BLANK_CLASS + "+"), lambda w: w != "").alias("words"))
-    rows = words.select("doc_id", F.explode_outer(shingle_hashes(F.col("words"), shingle)).alias("h"))
-    sums = rows.groupBy("doc_id").agg(F.count("h").alias("_n"), *vote_sums(F.lit(1).cast("long"), F.coalesce("h", F.lit(0).cast("long"))))
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("_row")
+    words = docs.select("doc_id", alone, F.filter(F.split(text, BLANK_CLASS + "+"), lambda w: w != "").alias("words"))
+    rows = words.select("doc_id", "_row", F.explode_outer(shingle_hashes(F.col("words"), shingle)).alias("h"))
+    sums = rows.groupBy("doc_id", "_row").agg(F.count("h").alias("_n"), *vote_sums(F.lit(1).cast("long"), F.coalesce("h", F.lit(0).cast("long"))))
     return sums.select("doc_id", majority(F.col("_n")).alias("fp"))
 
 
@@ -201,7 +202,8 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp, component_id: component_id is the smallest doc_id reachable over links."""
-    fps = stored(fingerprints(docs, shingle), "fingerprints")
+    made = stored(fingerprints(docs, shingle), "fingerprints")
+    fps = made.where("doc_id is not null")
     firsts = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     edges = links(firsts.select("fp"))
     # from fingerprints to their classes' first documents, so that the smallest vertex is the answer
@@ -209,7 +211,9 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     edges = edges.join(named, F.col("a") == F.col("_fp")).select(F.col("first").alias("a"), "b").join(named, F.col("b") == F.col("_fp")).select("a", F.col("first").alias("b"))
     roots = components(edges)
     out = group_min(fps, ["fp"], "doc_id", "first")
-    return out.join(roots, F.col("first") == F.col("v"), "left").select("doc_id", "fp", F.coalesce("root", "first").alias("component_id"))
+    grouped = out.join(roots, F.col("first") == F.col("v"), "left").select("doc_id", "fp", F.coalesce("root", "first").alias("component_id"))
+    alone = made.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast(grouped.schema["component_id"].dataType).alias("component_id"))
+    return grouped.unionByName(alone)
 
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -28,7 +28,8 @@ The index compares words, not hashes; a segment's or dealt window's 128-bit hash
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined cases: null, empty or short text has no window and keeps all words;
 a row without doc_id is not compared and keeps all words; rows that repeat a doc_id with the same text are one
-document and share its result; an empty table gives an empty result; other columns are not read.
+document and share its result; rows that repeat it with other texts are documents of their own, ordered by a hash of the
+text; doc_id may be of any type that has an order; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volpanel.llm.common import shuffle_parts, stored
+from volpanel.llm.common import shuffle_parts, stored, with_order_key
 from volpanel.llm.fmindex import FMIndex
 
+KEY = "__order_key"  # the order of doc_id as a long
 WINDOW = 20
 GRAM = 5
 MOST_WINDOWS = 64  # a longer run of one minimizer is cut into segments of so many windows
@@ -54,6 +56,11 @@ LOCAL = 64  # the same within one task's text
 HELD_WINDOWS = 400_000  # dealt windows that a task holds at once
 
 
+def order_key(docs: DataFrame):
+    """The order key of rows; without one, their doc_id."""
+    return (F.col(KEY) if KEY in docs.columns else F.col("doc_id").cast("long")).alias("doc_id")
+
+
 # ---- segments --------------------------------------------------------------------------
 
 def word_hashes(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
@@ -166,7 +173,7 @@ def segment_rows(docs: DataFrame, shards: int, window: int, local: int = LOCAL)
                     kept, repeats, held = {}, [], 0
         yield from flush(kept, repeats)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SEGMENT)
+    return docs.select(order_key(docs), "text").mapInArrow(run, SEGMENT)
 
 
 RESOLVED = "kind int, mini long, doc_id long, start int, windows int"
@@ -311,12 +318,12 @@ def asked_words(docs: DataFrame, asked: DataFrame, shards: int, window: int) ->
 
     home = F.pmod(F.xxhash64("mini"), F.lit(shards)).cast("int")
     per_doc = asked.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct(home.alias("shard"), "start", "windows", (F.col("kind") == DEAL).alias("deal"))).alias("segs"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(per_doc, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "segs")
+    rows = docs.select(order_key(docs), "text").join(per_doc, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "segs")
     return rows.mapInArrow(run, ASKED)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, local: int = LOCAL) -> DataFrame:
-    """(doc_id, start, windows): runs of windows whose words also start earlier."""
+    """(doc_id, start, windows): runs of windows whose words also start earlier; ``docs`` and the result by order key."""
     shards = SHARDS_PER_PARTITION * shuffle_parts(docs.sparkSession)
     rows = segment_rows(docs, shards, window, local)
     resolved = stored(rows.groupBy("shard").applyInArrow(resolver(crowded), RESOLVED), "segments")
@@ -335,6 +342,7 @@ def covered(n: int, starts: list[int], windows: list[int], window: int) -> np.nd
 
 def report(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, local: int = LOCAL) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed, kept_sha256."""
+    docs = with_order_key(docs.select("doc_id", "text"), KEY, own_text=True)
     runs = repeats(docs, window, crowded, local).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
 
     def run(batches):
@@ -354,5 +362,6 @@ def report(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, local:
                 sha.append(hashlib.sha256(joined).hexdigest())
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "kept_text": pa.array(kept, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(sha, pa.string())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "starts", "windows")
-    return rows.mapInArrow(run, "doc_id long, kept_text string, n_words long, n_removed long, kept_sha256 string")
+    rows = docs.join(runs, F.col(KEY) == F.col("_id"), "left").select("doc_id", "text", "starts", "windows")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, kept_text string, n_words long, n_removed long, kept_sha256 string")

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,94 +68,114 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_of_char()
         self.bytes_a = {i: bytes(of[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.length_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.length_a[list(self.bytes_a)] = [len(t) for t in self.bytes_a.values()]
         self.bytes_b = [self.piece_bytes(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
+        self.length_b = np.array([len(t) for t in self.bytes_b], np.int64)
 
     @staticmethod
     def piece_bytes(piece: str, is_byte: bool) -> bytes:
         return bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()
 
-    def __call__(self, units: list[str]) -> list:
-        """(ids of A, ids of B, groups as text, number of groups, linked pairs) of each unit, None where the bytes differ.
-
-        A unit is given without the space that stands before it."""
-        got_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        return [self.align(u, a, b) for u, a, b in zip(units, got_a, self.b.encode(units, num_threads=1))]
-
-    def align(self, unit: str, a: list[int], b: list[int]):
-        want = b" " + unit.encode()
-        if len(a) == 1 and len(b) == 1:
-            whole = self.bytes_a[a[0]] == want and self.bytes_b[b[0]] == want
-            return (1, 1, f"{a[0]}|{b[0]}", 1, [a[0] << B_BITS | b[0]]) if whole else None
-        part_a, part_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(part_a) != want or b"".join(part_b) != want:
-            return None
-        groups, links, own_a, own_b = [], [], [], []
-        i = j = end_a = end_b = 0
-        end_a, end_b = len(part_a[0]), len(part_b[0])
-        own_a, own_b = [a[0]], [b[0]]
-        while True:
-            links.append(a[i] << B_BITS | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:  # both end here
-                groups.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                own_a, own_b = [], []
-            if step_a:
-                i += 1
-                if i < len(a):
-                    end_a += len(part_a[i])
-                    own_a.append(a[i])
-            if step_b:
-                j += 1
-                if j < len(b):
-                    end_b += len(part_b[j])
-                    own_b.append(b[j])
-            if i == len(a) or j == len(b):
-                return len(a), len(b), ";".join(groups), len(groups), links
+    def ids_a(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of all units in a row, and each unit's number of bytes.
+
+        Units without white space at their ends are tokenised as one text, which A cuts before each of them."""
+        plain = [k for k, u in enumerate(units) if not (u[:1].isspace() or u[-1:].isspace() or not u)]
+        texts = [" " + " ".join([units[k] for k in plain[lo : lo + 1000]]) for lo in range(0, len(plain), 1000)]
+        got = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter((i for ids in got for i in ids), np.int64)
+        lengths = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        if len(plain) == len(units):
+            return flat, lengths
+        # put the others, tokenised one by one, back into their places
+        ends = np.cumsum(self.length_a[flat])
+        stops = np.searchsorted(ends, np.cumsum(lengths[plain])) + 1
+        parts = dict(zip(plain, np.split(flat, stops[:-1])))
+        odd = [k for k in range(len(units)) if k not in parts]
+        parts |= {k: np.array(e.ids, np.int64) for k, e in zip(odd, self.a.encode_batch_fast([" " + units[k] for k in odd], add_special_tokens=False))}
+        return np.concatenate([parts[k] for k in range(len(units))]), lengths
+
+    def __call__(self, units: list[str]) -> "Aligned":
+        """Tokens and links of units, each given without the space that stands before it."""
+        a, length = self.ids_a(units)
+        of_b = self.b.encode(units, num_threads=1)
+        n_b = np.fromiter(map(len, of_b), np.int64, len(of_b))
+        b = np.fromiter((i for ids in of_b for i in ids), np.int64, int(n_b.sum()))
+        # A spells every text; where B does not, the unit is left out
+        sums = np.concatenate([[0], np.cumsum(self.length_b[b])])
+        stops = np.concatenate([[0], np.cumsum(n_b)])
+        good = sums[stops[1:]] - sums[stops[:-1]] == length
+        spelled = b"".join([self.bytes_b[i] for i in b[np.repeat(good, n_b)].tolist()])
+        if spelled != b"".join([b" " + u.encode() for u, g in zip(units, good.tolist()) if g]):
+            good &= np.array([b"".join([self.bytes_b[i] for i in ids]) == b" " + u.encode() for u, ids in zip(units, of_b)])
+        unit_a = np.searchsorted(np.cumsum(length), np.cumsum(self.length_a[a]))
+        a, unit_a, b = a[good[unit_a]], unit_a[good[unit_a]], b[np.repeat(good, n_b)]
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        # every stretch between neighbouring token ends is the overlap of one token of A and one of B
+        ends = np.union1d(end_a, end_b)
+        i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        both = np.intersect1d(end_a, end_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(end_a, both) + 1, np.searchsorted(end_b, both) + 1
+        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        groups, lo_a, lo_b = [], 0, 0
+        for hi_a, hi_b in zip(last_a.tolist(), last_b.tolist()):
+            one = names_a[lo_a] if hi_a == lo_a + 1 else ",".join(names_a[lo_a:hi_a])
+            groups.append(f"{one}|{names_b[lo_b]}" if hi_b == lo_b + 1 else f"{one}|{','.join(names_b[lo_b:hi_b])}")
+            lo_a, lo_b = hi_a, hi_b
+        n = len(units)
+        unit_group = unit_a[last_a - 1]
+        counts = [np.bincount(u, minlength=n) for u in (unit_a, np.repeat(np.arange(n), n_b)[np.repeat(good, n_b)], unit_group, unit_a[i])]
+        stops = np.concatenate([[0], np.cumsum(counts[2])]).tolist()
+        sizes = np.stack(counts, axis=1).astype(np.int64)
+        sizes[~good] = -1
+        return Aligned([";".join(groups[x:y]) for x, y in zip(stops[:-1], stops[1:])], sizes, unit_a[i], a[i] << B_BITS | b[j])
+
+
+class Aligned:
+    """Of units: groups as text, sizes (tokens of A, of B, groups, links; -1 where B does not spell the unit), and
+    links in order, as (unit, pair of ids)."""
+
+    def __init__(self, groups: list[str], sizes: np.ndarray, link_unit: np.ndarray, link_pair: np.ndarray):
+        self.groups, self.sizes, self.link_unit, self.link_pair = groups, sizes, link_unit, link_pair
 
 
 class Block:
-    """Distinct units and pairs of one block of texts."""
+    """Distinct units and links of one block of texts."""
 
     def __init__(self, aligner: Aligner):
         self.aligner, self.at, self.bytes = aligner, {}, 0
         self.groups: list[str] = []
-        self.sizes: list[tuple] = []  # of a unit: tokens of A, of B, groups, links; all -1 where bytes differ
-        self.pairs: dict[int, int] = {}
-        self.units: list[list[int]] = []  # of a pair: the units that link it, repeated
+        self.sizes = np.zeros((0, 4), np.int64)
+        self.found: list[tuple[np.ndarray, np.ndarray]] = []  # links, as (unit, pair)
         self.seen = np.zeros(0, np.int64)  # of a unit: its occurrences, weighted
 
     def learn(self, units: list[str]):
-        for u, got in zip(units, self.aligner(units)):
-            k = self.at[u] = len(self.sizes)
-            if got is None:
-                self.groups.append("")
-                self.sizes.append((-1, -1, -1, -1))
-                continue
-            n_a, n_b, groups, n_groups, links = got
-            self.groups.append(groups)
-            self.sizes.append((n_a, n_b, n_groups, len(links)))
-            for p in links:
-                if p not in self.pairs:
-                    self.pairs[p] = len(self.units)
-                    self.units.append([])
-                self.units[self.pairs[p]].append(k)
+        got = self.aligner(units)
+        first = len(self.at)
+        self.at.update(zip(units, range(first, first + len(units))))
+        self.groups += got.groups
+        self.sizes = np.concatenate([self.sizes, got.sizes])
+        self.seen = np.append(self.seen, np.zeros(len(units), np.int64))
+        self.found.append((got.link_unit + first, got.link_pair))
 
     def texts(self, texts: list, weights: list[int]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, units) of each text."""
         split = [CUT.split(t) if t else [] for t in texts]
-        new = {u for s in split for u in s}.difference(self.at)
-        self.learn(sorted(new))
-        self.bytes += sum(len(t or "") for t in texts)
-        self.seen = np.append(self.seen, np.zeros(len(self.sizes) - len(self.seen), np.int64))
+        new = set(chain.from_iterable(split)).difference(self.at)
+        if new:
+            self.learn(sorted(new))
+        self.bytes += sum(map(len, filter(None, texts)))
+        none = np.zeros(0, np.int64)
         out = []
         for s, weight in zip(split, weights):
-            own = [self.at[u] for u in s]
-            sizes = np.array([self.sizes[k] for k in own], np.int64).reshape(-1, 4)
-            if not own or sizes.min() < 0:
-                out.append((0, 0, 0, 0, "", []))
+            own = np.fromiter(map(self.at.__getitem__, s), np.int64, len(s))
+            sizes = self.sizes[own]
+            if not len(own) or sizes.min() < 0:
+                out.append((0, 0, 0, 0, "", none))
                 continue
             np.add.at(self.seen, own, weight)
-            groups = ";".join([self.groups[k] for k in own])
+            groups = ";".join(map(self.groups.__getitem__, own.tolist()))
             out.append((*sizes.sum(axis=0).tolist(), hashlib.sha256(groups.encode()).hexdigest(), own))
         return out
 
@@ -163,20 +184,40 @@ class Block:
 
     def links(self):
         """(pair, weighted links, units) of the pairs that a counted unit holds."""
-        for p, k in self.pairs.items():
-            units = self.units[k]
-            weight = int(self.seen[units].sum())
-            if weight:
-                yield p, weight, units
+        if not self.found:
+            return
+        unit, pair = (np.concatenate(c) for c in zip(*self.found))
+        use = self.seen[unit] > 0
+        unit, pair = unit[use], pair[use]
+        order = np.argsort(pair, kind="stable")
+        unit, pair = unit[order], pair[order]
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+        for lo, hi in zip(starts.tolist(), np.append(starts[1:], len(pair)).tolist()):
+            yield int(pair[lo]), int(self.seen[unit[lo:hi]].sum()), unit[lo:hi]
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Small whole numbers in few bytes: their four bytes as four runs, compressed."""
+    runs = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd", 1).compress(runs.tobytes(), asbytes=True)
+
+
+def unpacked(column) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all rows, how many each has) of a column of (n, packed)."""
+    codec, out = pa.Codec("zstd", 1), []
+    for n, data in column:
+        raw = np.frombuffer(codec.decompress(data, 4 * n, asbytes=True), np.uint8)
+        out.append(np.ascontiguousarray(raw.reshape(4, n).T).view("<u4").reshape(-1))
+    return (np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)), np.array([n for n, _ in column], np.int64)
 
 
-MADE = "block string, sha string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, weight long, units array<int>"
+MADE = "block string, sha string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pair long, weight long, n_units long, units binary"
 
 
 def aligned(texts: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
     """Rows of texts (``sha`` set) and of id pairs (``pair`` set) from distinct texts (text, sha, mult)."""
     names = [c.split()[0] for c in MADE.split(", ")]
-    types = {"string": pa.string(), "long": pa.int64(), "array<int>": pa.list_(pa.int32())}
+    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in MADE.split(", ")])
 
     def batch(rows: list[dict]) -> pa.RecordBatch:
@@ -198,7 +239,7 @@ def aligned(texts: DataFrame, path_a: str | None = None, path_b: str | None = No
                     size += len(columns[0][hi] or "")
                     hi += 1
                 got = block.texts(columns[0][lo:hi], columns[2][lo:hi])
-                yield batch([dict(zip(["sha", "block", *names[2:7], "units"], (sha, name, *g))) for sha, g in zip(columns[1][lo:hi], got)])
+                yield batch([dict(zip(names[:7], (name, sha, *g))) | {"n_units": len(g[5]), "units": packed(g[5])} for sha, g in zip(columns[1][lo:hi], got)])
                 lo = hi
                 if block.full():
                     yield from pairs(name, block)
@@ -209,7 +250,7 @@ def aligned(texts: DataFrame, path_a: str | None = None, path_b: str | None = No
     def pairs(name, block):
         rows = []
         for p, weight, units in block.links():
-            rows.append({"block": name, "pair": p, "weight": weight, "units": units})
+            rows.append({"block": name, "pair": p, "weight": weight, "n_units": len(units), "units": packed(units)})
             if len(rows) == 20_000:
                 yield batch(rows)
                 rows = []
@@ -220,15 +261,13 @@ def aligned(texts: DataFrame, path_a: str | None = None, path_b: str | None = No
 
 def summed(key, texts: pa.Table, pairs: pa.Table) -> pa.Table:
     """sha, n_best, count_sum of one block's texts."""
-    units = pairs.column("pair_units").combine_chunks()
-    flat = units.flatten().to_numpy()
-    lengths = np.diff(units.offsets.to_numpy()) if len(units) else np.zeros(0, np.int64)
-    known = int(flat.max()) + 1 if len(flat) else 0
+    flat, lengths = unpacked(list(zip(*(pairs.column(c).to_pylist() for c in ("pair_n", "pair_units")))))
+    use, sizes = unpacked(list(zip(*(texts.column(c).to_pylist() for c in ("n_units", "units")))))
+    known = int(max(flat.max(initial=-1), use.max(initial=-1))) + 1
     best, total = np.zeros(known, np.int64), np.zeros(known, np.int64)
     np.add.at(best, flat, np.repeat(pairs.column("best").to_numpy().astype(np.int64), lengths))
     np.add.at(total, flat, np.repeat(pairs.column("total").to_numpy(), lengths))
-    own = texts.column("units").combine_chunks()
-    use, ends = own.flatten().to_numpy(), own.offsets.to_numpy() - (own.offsets[0].as_py() if len(own) else 0)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
     sums = [np.append(0, np.cumsum(x[use])) for x in (best, total)]
     return pa.table({"sha": texts.column("sha")} | {n: s[ends[1:]] - s[ends[:-1]] for n, s in zip(("n_best", "count_sum"), sums)})
 
@@ -249,11 +288,11 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = rows.groupBy("text").agg(F.count(F.lit(1)).alias("mult")).select("text", F.sha2("text", 256).alias("sha"), "mult")
     made = stored(aligned(texts, path_a, path_b), "aligned")
-    texts = made.where("sha is not null").select("block", "sha", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units")
-    own = made.where("pair is not null").select("block", "pair", "weight", "units")
-    counted = own.drop("weight").join(pair_counts(own), "pair").select(F.col("block").alias("own_block"), F.col("units").alias("pair_units"), "total", "best")
-    sums = texts.select("block", "sha", "units").groupBy("block").cogroup(counted.groupBy("own_block")).applyInArrow(summed, "sha string, n_best long, count_sum long")
-    measures = stored(texts.drop("block", "units").join(sums, "sha"), "measures")
+    texts = made.where("sha is not null").select("block", "sha", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_units", "units")
+    own = made.where("pair is not null").select("block", "pair", "weight", "n_units", "units")
+    counted = own.drop("weight").join(pair_counts(own), "pair").select(F.col("block").alias("own_block"), F.col("n_units").alias("pair_n"), F.col("units").alias("pair_units"), "total", "best")
+    sums = texts.select("block", "sha", "n_units", "units").groupBy("block").cogroup(counted.groupBy("own_block")).applyInArrow(summed, "sha string, n_best long, count_sum long")
+    measures = stored(texts.drop("block", "n_units", "units").join(sums, "sha"), "measures")
 
     salted = rows.select("doc_id", F.sha2("text", 256).alias("sha"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     parts = salted.select("sha", "salt").distinct().join(measures, "sha")
