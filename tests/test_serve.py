@@ -41,6 +41,17 @@ def test_request_shapes(spark):
         assert out[n]["statusCode"] == 400 and out[n]["error"].startswith("bad input")
 
 
+def test_text_behind_the_object_is_rejected(spark):
+    demo = json.dumps(DEMO_REQUEST)
+    bad = [demo + ',"x":1', demo + ',"x":{"b":2}', demo + ',"v":' + demo, demo + ' {}', demo + "]", "[" + demo + "]", '"a"', "1", "", "null", '{"a":1},"x":1']
+    good = [" " + demo + "\n", json.dumps({**DEMO_REQUEST, "v": 1}), json.dumps({"body": {"features": DEMO_REQUEST}}), json.dumps({"body": json.dumps({"features": DEMO_REQUEST, "v": {}})})]
+    inner = [json.dumps({"body": b}) for b in bad if b not in ("", "null")]
+    req = spark.createDataFrame([(r,) for r in bad + good + inner], "request string")
+    out = {r["request"]: r["statusCode"] for r in serve.score_requests(req, demo_model(spark)).collect()}
+    assert [out[r] for r in good] == [200] * len(good)
+    assert [r for r in bad + inner if out[r] != 400] == []
+
+
 def test_model_json_round_trip_and_self_check(spark):
     m = demo_model(spark)
     path = tempfile.mkdtemp(prefix="volpanel-model-", dir="/tmp") + "/model"

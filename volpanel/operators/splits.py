@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from volpanel.schemas import N_FOLDS, SPLIT_THREE, TEST_FRAC
-from volpanel.session import reuse
+from volpanel.operators.sketch import from_key, select_rank
+from volpanel.session import reuse, write_once
 from volpanel.functions.rows import require_date, with_row
 
 
@@ -144,3 +145,29 @@ def walk_forward_pairs(folded: DataFrame, test_fold: int) -> tuple[DataFrame, Da
 def label_set(fold: Column) -> Column:
     """fold 0 is in-sample (``train``); later folds are out-of-sample (``test``)."""
     return F.when(fold == 0, F.lit("train")).otherwise(F.lit("test"))
+
+
+# ---- splits of columns that the calendar does not bound (timestamps, numbers) -----------
+
+def cutoff_values(df: DataFrame, qs: list[float], col: str) -> DataFrame:
+    """``cutoff_dates`` for any ordered column: one row ``c0, c1, ...``, found by range counting.
+
+    No array of distinct values, no sort: a pass counts at most a few hundred sub-ranges per cutoff."""
+    got = select_rank(df, col, [floor_index(F.col("n"), q) for q in qs])
+    return got.select(*[from_key(df, col, F.col(f"r{i}")).alias(f"c{i}") for i in range(len(qs))])
+
+
+def fold_edge_values(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:
+    """``fold_edges`` for any ordered column: edge i is the distinct value at index int(m*i/n)."""
+    values = write_once(df.select(col).where(F.col(col).isNotNull()).distinct(), "values")
+    got = select_rank(values, col, [floor_index(F.col("n"), i / n_folds) for i in range(1, n_folds)])
+    edges = got.select(F.col("n").alias("m"), *[from_key(df, col, F.col(f"r{i - 1}")).alias(f"e{i}") for i in range(1, n_folds)])
+    enough = F.when(F.col("m") >= n_folds, F.lit(True)).otherwise(
+        F.raise_error(F.format_string("bin edges must be unique: %d distinct values for %d folds", F.col("m"), F.lit(n_folds))))
+    return edges.select("*", enough.alias("_ok"))
+
+
+def assign_folds_by_value(df: DataFrame, n_folds: int = N_FOLDS, col: str = "date") -> DataFrame:
+    """``assign_folds`` for any ordered column; the rows themselves are not moved."""
+    j = with_row(df, fold_edge_values(df, n_folds, col)).where(F.col("_ok"))
+    return j.select(*df.columns, fold_expr(n_folds, col).alias("fold"))

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from volpanel.operators import features as feat
 from volpanel.operators import garch, linear, market, splits
 from volpanel.operators import metrics as metrics_mod
+from volpanel.operators import sketch as sk
 from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
-from volpanel.session import reuse
+from volpanel.session import reuse, write_once
 from volpanel.sources import files, panels
 from volpanel.functions.rows import with_row
 
@@ -383,8 +384,8 @@ def q_garch_split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single 80/20 split: GARCH(1,1) grid forecast, one constant per ticker over its test rows."""
     train, test = _garch_split(spark, sf_dir)
     fc = garch.garch_grid(train).select("ticker", F.col("garch_vol").alias("pred"))
-    scored = test.join(fc, "ticker")
-    return rounded(metrics_mod.metrics(scored, TARGET, "pred").withColumn("model", F.lit("GARCH(1,1)")), METRIC_COLS)
+    scored = test.join(fc, "ticker", "left")  # rows of tickers without a forecast are counted as unscored
+    return rounded(metrics_mod.metrics(scored, TARGET, "pred", unscored=True).withColumn("model", F.lit("GARCH(1,1)")), METRIC_COLS)
 
 
 def q_garch_split_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,7 +458,75 @@ def q_prices_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.to_long(wide, files.wide_tickers(wide))
 
 
+# ---- quantiles, selection and fills without the calendar's bound -----------------------
+
+QUANTILES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+def q_quantile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch quantiles of the v2 features, weighted by volume, held against their exact ranks.
+
+    ``rank_held``: the weight below the sketch's value is at most q plus the stated error of the total, the
+    weight up to it at least q less that error.  ``bounded``: the merged sketch has at most 2 * SIZE points."""
+    prices = panels.supplier_day(spark, sf_dir)
+    rows = v2_panel(spark, sf_dir).join(prices.select("ticker", "date", "volume"), ["ticker", "date"])
+    rows = write_once(rows.select("ticker", "date", "volume", *V2), "weighted")
+    n_blocks = sk.block_count(rows.count(), SKETCH_BLOCK)
+    points = write_once(sk.sketch(rows, [], V2, F.struct("ticker", "date"), n_blocks, F.col("volume")), "sketch")
+    error = sk.sketch_levels(n_blocks) / sk.SIZE
+    asked = sk.sketch_quantiles(points, [], QUANTILES)
+    size = points.groupBy("feature").agg(F.count(F.lit(1)).alias("points"))
+    # exact ranks: one aggregate over the rows, each with its few sketch values
+    wanted = asked.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("w"))
+    wanted = wanted.agg(F.map_from_entries(F.collect_list(F.struct("feature", "w"))).alias("wanted"))  # one row: features x quantiles
+    long = rows.select("volume", F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in V2])))
+    long = with_row(long, wanted).select("feature", "x", "volume", F.inline(F.col("wanted")[F.col("feature")]))
+    ranks = long.groupBy("feature", "q").agg(
+        F.sum("volume").alias("total"), F.sum(F.when(F.col("x") < F.col("value"), F.col("volume")).otherwise(0.0)).alias("below"), F.sum(F.when(F.col("x") <= F.col("value"), F.col("volume")).otherwise(0.0)).alias("up_to"))
+    held = (F.col("below") <= (F.col("q") + error) * F.col("total")) & (F.col("up_to") >= (F.col("q") - error) * F.col("total"))
+    return ranks.join(size, "feature").select("feature", "q", "total", held.alias("rank_held"), (F.col("points") <= 2 * sk.SIZE).alias("bounded"))
+
+
+SKETCH_BLOCK = 4096  # rows of a sketched block of this query: several blocks, so merged sketches, at every size
+
+
+def q_tick_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-weighted 60 % and 80 % cutoffs of the tick panel's timestamps."""
+    return splits.cutoff_values(panels.user_ticks(spark, sf_dir), [0.60, 0.80], "date")
+
+
+def q_tick_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds of the tick panel by its distinct timestamps."""
+    return splits.fold_profile(splits.assign_folds_by_value(panels.user_ticks(spark, sf_dir)))
+
+
+def q_tick_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last purchase value known at every event of its user, and the last error's."""
+    ev = panels.table(spark, sf_dir, "events")
+    seen = [F.when(F.col("event_type") == kind, F.col("value")).alias(name) for kind, name in (("purchase", "last_purchase"), ("error", "last_error"))]
+    rows = ev.select("event_id", F.format_string("U%d", F.col("user_id")).alias("ticker"), F.col("ts").alias("date"), *seen)
+    return market.ffill_blocked(rows, ["last_purchase", "last_error"])
+
+
+def q_score_request_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of every shape, by the day: flat, under ``features``, as ``body`` text, as a ``body`` object with ``features``, and
+    flat with text behind the object (rejected)."""
+    features = feat.add_features(panels.supplier_day(spark, sf_dir))
+    req = serve.requests_from_features(features, V1)
+    shape, text = F.pmod(F.unix_date("date"), F.lit(5)), F.col("request")
+    quoted = F.to_json(F.struct(text.alias("body")))
+    shaped = F.when(shape == 0, text).when(shape == 1, F.concat(F.lit('{"features":'), text, F.lit("}"))).when(shape == 2, quoted)
+    shaped = shaped.when(shape == 3, F.concat(F.lit('{"body":{"features":'), text, F.lit("}}"))).otherwise(F.concat(text, F.lit(',"ret":1')))
+    out = serve.score_requests(req.withColumn("request", shaped), final_model(spark, sf_dir))
+    return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
+
+
 REGISTRY = {
+    "quantile_sketch": q_quantile_sketch,
+    "tick_cutoffs": q_tick_cutoffs,
+    "tick_folds": q_tick_folds,
+    "tick_fill": q_tick_fill,
+    "score_request_shapes": q_score_request_shapes,
     "features_clean": q_features_clean,
     "preview_clean": q_preview_clean,
     "features": q_features,

@@ -48,13 +48,16 @@ def read_linear(spark, path: str) -> DataFrame:
     return spark.read.schema(LINEAR_MODEL).json(path)
 
 
+WRAPPED = T.MapType(T.StringType(), STR_MAP)
+
+
 def json_object(text: Column) -> Column:
     """The map of a text that is one whole JSON object, else NULL.
 
-    ``from_json`` stops behind the object and would pass ``{"a":1} x``; the same text as a value
-    inside another object parses only if nothing follows it."""
-    whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), STR_MAP)
-    return F.when(whole.isNotNull(), F.from_json(text, STR_MAP))
+    The text is parsed once, as a value inside another object: what follows the object either breaks
+    the outer one or adds a key to it, and the outer map must have one key."""
+    whole = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), WRAPPED)
+    return F.when(F.size(whole) == 1, whole["v"])
 
 
 def unwrap_request(df: DataFrame, raw: str = "request", out: str = "_f") -> DataFrame:
