@@ -79,7 +79,7 @@ def test_near_groups(docs, rows):
 
 
 def test_cells_lose_no_link(spark, docs, rows, monkeypatch):
-    """Pairs of small entries and cells of clusters find all links, without any star before."""
+    """Cells of any size find all links among the members of table entries."""
     classes = mt.signatures(docs).where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(mt.F.min("doc_id").alias("id"), mt.F.first("subs").alias("subs")).cache()
     entries = mt.table_entries(classes).withColumn("root", mt.F.col("id")).cache()
     of = {}
@@ -89,7 +89,6 @@ def test_cells_lose_no_link(spark, docs, rows, monkeypatch):
     for members in of.values():
         assert sorted(m.place for m in members) == list(range(len(members))) and {m.first for m in members} == {min(m.id for m in members)}
     want = {(a.id, b.id) for members in of.values() for a in members for b in members if a.id < b.id}
-    assert {tuple(p) for p in mt.cross_pairs(entries).collect()} == want
 
     sets = mt.whole_sets(docs, classes.select("id", "n", "s1", mt.F.col("id").alias("doc"))).cache()
     h = {r.id: set(r.h) for r in sets.collect()}
@@ -108,10 +107,13 @@ def test_cells_lose_no_link(spark, docs, rows, monkeypatch):
         return {i: find(i) for i in h}
 
     linked = groups((a, b) for a, b in want if 100 * len(h[a] & h[b]) >= 80 * len(h[a] | h[b]))
-    assert groups(mt.verified(mt.cross_pairs(entries), sets, classes).collect()) == linked
-    for cell, columns in ((5, 7), (1024, 2048)):
+    for cell, columns, stars, bucket in ((5, 7, 1, 300), (1024, 2048, 12, 2_000_000), (1024, 2048, 10_000, 5_000)):
         monkeypatch.setattr(mt, "COLUMNS", columns)
-        assert groups(mt.cluster_links(entries, sets, cell).collect()) == linked
+        monkeypatch.setattr(mt, "STARS", stars)
+        monkeypatch.setattr(mt, "BUCKET", bucket)
+        got = [tuple(p) for p in mt.group_links(entries, sets, cell).collect()]
+        assert all(100 * len(h[a] & h[b]) >= 80 * len(h[a] | h[b]) or linked[a] == linked[b] for a, b in got)
+        assert groups(got) == linked
 
 
 def test_dedup_keeps_columns(docs, rows):

@@ -10,11 +10,10 @@ Two sets of likeness s miss each other with probability 1 - (1 - (1 - s ** ROWS)
    128-bit sum that names the set.  Equal sets are one class, one row from here on.
 2. Sub-keys that no other class holds are dropped, because a table key needs both its sub-keys; the pairs
    of the rest are the table keys.  Tables are read as sorted runs: a task holds a row, not a table entry.
-3. Candidates are verified on whole sets, by exact integer arithmetic.  An entry is first verified as a
-   star around its first, then its last member; only members that are still in different components are compared further.
-   In an entry of up to ``SMALL`` members they are paired.  Larger entries that overlap (families of near copies) are joined to
-   clusters, whose sets meet in cells of at most ``CELL`` x ``CELL`` members: a cell counts common shingles of all its pairs by
-   matrix products and hands out a spanning forest of the links.  No pairs of a large entry are made as rows.
+3. Candidates are verified on whole sets, by exact integer arithmetic.  The members of all table entries with one first member
+   are a group; every candidate pair stands in at least one.  A group's members meet in cells of at most ``CELL`` x ``CELL``, as
+   whole sets: a cell links what it can by a few stars, counts the common shingles of all pairs that are not yet
+   connected by matrix products, and hands out a spanning forest.  No pairs are made as rows.
 4. Components come from the star steps of ``simhash.components``.
 
 Defined cases: null, empty or blank text has no shingle and is linked with nothing (its component is its
@@ -38,8 +37,9 @@ SHINGLE = 2
 SIDE = 16  # sub-keys of a collection
 ROWS = 3  # minhashes of a sub-key
 LIKENESS = 80  # per cent
-SMALL = 12
 CELL = 1024
+STARS = 12  # of a larger cell, before all pairs are counted
+BUCKET = 2_000_000
 COLUMNS = 2048  # shingles of a matrix product
 MOST_WORDS = 300_000  # word hashes that a task holds
 STEP = 2048  # shingles hashed at once
@@ -167,80 +167,102 @@ def whole_sets(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE) -> D
     return rows.select("_text", "id", "n", "s1").mapInArrow(run, "id long, n long, h array<long>").dropDuplicates(["id"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The distinct (a, b) of ``pairs`` whose whole sets are alike enough."""
-    n_a, n_b = (sizes.select(F.col("id").alias(f"_{s}"), F.col("n").alias(f"n_{s}")) for s in "ab")
-    fit = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    fit = fit.join(n_a, F.col("a") == F.col("_a")).join(n_b, F.col("b") == F.col("_b"))
-    fit = fit.where(100 * F.least("n_a", "n_b") >= LIKENESS * F.greatest("n_a", "n_b")).select("a", "b")
-    one, two = (sets.select(F.col("id").alias(f"_{s}"), F.col("n").alias(f"n_{s}"), F.col("h").alias(f"h_{s}")) for s in "ab")
-    both = fit.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
-    common = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), F.size(F.array_intersect("h_a", "h_b")).alias("common"))
-    return common.where(100 * F.col("common") >= LIKENESS * (F.col("n") - F.col("common"))).select("a", "b")
-
-
-def apart(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    """``entries`` with ``root``, of the keys whose members lie in several components."""
-    named = roots.select(F.col("v").alias("_v"), "root")
-    rows = entries.drop("root").join(named, F.col("id") == F.col("_v"), "left").withColumn("root", F.coalesce("root", "id")).drop("_v")
-    split = rows.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select(F.col("key").alias("_key"))
-    return rows.join(split, F.col("key") == F.col("_key"), "left_semi")
-
-
-def cross_pairs(entries: DataFrame) -> DataFrame:
-    """(a, b): members of one small entry and of different components; at most SMALL pairs a row."""
-    of = entries.groupBy("key").agg(F.collect_list(F.struct("id", "root")).alias("m"))
-    one = of.select("m", F.explode("m").alias("x"))
-    other = F.explode(F.filter("m", lambda y: (y["root"] != F.col("x")["root"]) & (y["id"] > F.col("x")["id"])))
-    return one.select(F.col("x")["id"].alias("a"), other.alias("y")).select("a", F.col("y")["id"].alias("b")).distinct()
-
-
-def cell_links(t: pa.Table) -> pa.Table:
-    """Spanning forest of the links between different components of one cell's members (id, root, own, left, n, h)."""
-    ident, root, own, left, n = (t.column(c).to_numpy() for c in ("id", "root", "own", "left", "n"))
-    none = pa.table({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    if own.min() == own.max():  # a block with itself: all but its largest component against all
-        values, counts = np.unique(root, return_counts=True)
-        one, two = np.flatnonzero(root != values[counts.argmax()]), np.arange(len(root))
-    else:
-        one, two = np.flatnonzero(left), np.flatnonzero(~left)
-    if not len(one) or not len(two):
-        return none
+class Cell:
+    """Links among the sets of one cell: members of two blocks of a group, or of one."""
+
+    def __init__(self, n: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.ndarray):
+        self.n, self.h, self.left, self.right = n, h, left, right
+        self.row = np.repeat(np.arange(len(n)), n)
+        self.root = np.arange(len(n))
+
+    def alike(self, common, a, b):
+        return 100 * common >= LIKENESS * (self.n[a] + self.n[b] - common)
+
+    def join(self, a: np.ndarray, b: np.ndarray):
+        """Join the components of linked members (the smallest place is the root)."""
+        while len(a):
+            x, y = self.root[a], self.root[b]
+            if (x == y).all():
+                return
+            np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
+            while (self.root != self.root[self.root]).any():
+                self.root = self.root[self.root]
+
+    def star(self, k: int):
+        own = self.h[self.row == k]
+        common = np.bincount(self.row[np.isin(self.h, own)], minlength=len(self.n))
+        b = np.flatnonzero(self.alike(common, k, np.arange(len(self.n))))
+        self.join(np.full(len(b), k), b)
+
+    def products(self, one: np.ndarray, two: np.ndarray):
+        """Link the members ``one`` with the members ``two``."""
+        if not len(one) or not len(two):
+            return
+        use = np.zeros(len(self.n), bool)
+        use[one] = use[two] = True
+        keep = use[self.row]
+        shingle, row = self.h[keep], self.row[keep]
+        order = np.argsort(shingle, kind="stable")
+        shingle, row = shingle[order], row[order]
+        column = np.cumsum(np.append(False, shingle[1:] != shingle[:-1]))
+        held = np.bincount(column)
+        several = held[column] > 1
+        column, row = (np.cumsum(held > 1) - 1)[column[several]], row[several]
+        common = np.zeros((len(one), len(two)), np.float32)
+        starts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS))
+        for lo, hi in zip(starts, np.append(starts[1:], len(column))):
+            m = np.zeros((len(self.n), COLUMNS), np.float32)
+            m[row[lo:hi], column[lo:hi] % COLUMNS] = 1
+            common += m[one] @ m[two].T  # whole numbers far below 2**24
+        i, j = np.nonzero(self.alike(common, one[:, None], two[None, :]))
+        self.join(one[i], two[j])
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """(root, member) of a spanning forest."""
+        if len(self.n) > 4 * STARS:
+            for k in range(0, len(self.n), max(1, len(self.n) // STARS)):
+                self.star(k)
+        # all pairs but those inside the largest component
+        values, counts = np.unique(self.root, return_counts=True)
+        largest = self.root == values[counts.argmax()] if counts.max() > 1 else np.zeros(len(self.n), bool)
+        l_in, r_in = largest[self.left], largest[self.right]
+        self.products(self.left[~l_in], self.right)
+        self.products(self.left[l_in], self.right[~r_in])
+        member = np.flatnonzero(self.root != np.arange(len(self.n)))
+        return self.root[member], member
+
+
+def cells_links(t: pa.Table) -> pa.Table:
+    """Links of a bucket of cells (cell, id, own, left, n, h)."""
+    t = t.sort_by([("cell", "ascending"), ("id", "ascending")]).combine_chunks()
+    cell, ident, own, left, n = (t.column(c).to_numpy() for c in ("cell", "id", "own", "left", "n"))
     h = t.column("h").combine_chunks()
-    shingle, row = h.flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
-    order = np.argsort(shingle, kind="stable")
-    shingle, row = shingle[order], row[order]
-    column = np.cumsum(np.append(0, shingle[1:] != shingle[:-1]))
-    held = np.bincount(column)
-    several = held[column] > 1
-    column, row = np.cumsum(held > 1)[column[several]] - 1, row[several]
-    common = np.zeros((len(one), len(two)), np.float32)
-    starts = np.searchsorted(column, np.arange(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS))
-    for lo, hi in zip(starts, np.append(starts[1:], len(column))):
-        m = np.zeros((len(n), COLUMNS), np.float32)
-        m[row[lo:hi], column[lo:hi] % COLUMNS] = 1
-        common += m[one] @ m[two].T  # whole numbers far below 2**24
-    both = (n[one][:, None] + n[two][None, :]) - common
-    i, j = np.nonzero((100 * common >= LIKENESS * both) & (root[one][:, None] != root[two][None, :]))
-    # one link per pair of components is enough
-    pair = np.stack([np.minimum(root[one[i]], root[two[j]]), np.maximum(root[one[i]], root[two[j]])], axis=1)
-    _, first = np.unique(pair, axis=0, return_index=True)
-    return pa.table({"a": ident[one[i[first]]], "b": ident[two[j[first]]]})
-
-
-def cluster_links(entries: DataFrame, sets: DataFrame, cell: int = CELL) -> DataFrame:
-    """(a, b): a spanning forest of the links between components inside large entries (key, id, first, root)."""
-    label = stored(components(entries.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()), "clusters")
-    members = entries.select("id", "root").distinct().join(label.select(F.col("v").alias("_v"), F.col("root").alias("cluster")), F.col("id") == F.col("_v"), "left")
-    members = members.select("id", "root", F.coalesce("cluster", "id").alias("cluster"))
-    placed = shared(members.select(F.col("cluster").alias("key"), "id")).select("id", "key", F.floor(F.col("place") / cell).cast("int").alias("own"))
-    placed = stored(placed.join(members.select("id", "root"), "id"), "members")
-    blocks = placed.groupBy("key").agg(F.max("own").alias("_last")).select(F.col("key").alias("_key"), "_last")
-    cells = placed.join(blocks, F.col("key") == F.col("_key")).select("key", "id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("other"))
-    cells = cells.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "id", "root", "own", (F.col("own") <= F.col("other")).alias("left"))
-    mixed = cells.groupBy("cell").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi").select(F.col("cell").alias("_cell"))
-    cells = cells.join(mixed, F.col("cell") == F.col("_cell"), "left_semi")
-    return cells.join(sets, "id").select("cell", "id", "root", "own", "left", "n", "h").groupBy("cell").applyInArrow(cell_links, "a long, b long").distinct()
+    h = (h.chunk(0) if isinstance(h, pa.ChunkedArray) else h).flatten().to_numpy()
+    ends = np.cumsum(n)
+    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in zip(starts, np.append(starts[1:], len(cell))):
+        place = np.arange(hi - lo)
+        one_block = (own[lo:hi] == own[lo]).all()
+        sides = (place, place) if one_block else (place[left[lo:hi]], place[~left[lo:hi]])
+        roots, members = Cell(n[lo:hi], h[ends[lo] - n[lo] : ends[hi - 1]], *sides).links()
+        a.append(ident[lo + roots])
+        b.append(ident[lo + members])
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def group_links(entries: DataFrame, sets: DataFrame, cell: int = CELL) -> DataFrame:
+    """(a, b): forests of the links inside the groups of table entries (key, id, first); ``sets``: (id, n, h)."""
+    placed = shared(entries.select(F.col("first").alias("key"), "id").distinct())
+    placed = stored(placed.select("id", "key", F.floor(F.col("place") / cell).cast("int").alias("own")), "members")
+    blocks = placed.groupBy("key").agg(F.max("own").alias("_last")).where("_last > 0").select(F.col("key").alias("_key"), "_last")
+    cells = placed.join(blocks, F.col("key") == F.col("_key"), "left").select("key", "id", "own", F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))).alias("other"))
+    cells = cells.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "id", "own", (F.col("own") <= F.col("other")).alias("left"))
+    rows = cells.join(sets, "id")
+    # small cells share a task's call, about BUCKET shingles at a time
+    total = cells.join(sets.select("id", "n"), "id").agg(F.sum("n")).first()[0] or 0
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(-(-total // BUCKET) or 1)))
+    return rows.select("bucket", "cell", "id", "own", "left", "n", "h").groupBy("bucket").applyInArrow(cells_links, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -250,23 +272,9 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     classes = known.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc"), F.first("subs").alias("subs"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     entries = stored(table_entries(classes), "entries")
-    sizes = classes.select("id", "n")
     members = classes.drop("subs").join(entries.select("id").distinct(), "id", "left_semi")
     sets = stored(whole_sets(docs, members, shingle), "sets")
-
-    links = stored(verified(entries.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")), sets, sizes), "links")
-    roots = components(links)
-    rest = apart(entries, roots)
-    last = rest.groupBy("key").agg(F.max_by("id", "place").alias("a")).withColumnRenamed("key", "_key")
-    ends = rest.join(last, F.col("key") == F.col("_key")).where("a <> id").select("a", F.col("id").alias("b"))
-    links = stored(links.unionByName(verified(ends, sets, sizes)), "links")
-    roots = components(links)
-    rest = stored(apart(entries, roots), "apart")
-    large = rest.where(F.col("place") >= SMALL).select(F.col("key").alias("_key")).distinct()
-    small = rest.join(large, F.col("key") == F.col("_key"), "left_anti")
-    large = stored(rest.join(large, F.col("key") == F.col("_key"), "left_semi"), "large")
-    links = links.unionByName(verified(cross_pairs(small), sets, sizes)).unionByName(cluster_links(large, sets))
-    roots = stored(components(links), "roots")
+    roots = stored(components(group_links(entries, sets)), "roots")
 
     named = classes.select("n", "s1", "s2", "id", "doc").join(roots, F.col("id") == F.col("v"), "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
