@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from volpanel.functions.scalar import ratio
+from volpanel.functions.scalar import ratio, safe_sqrt
 from volpanel.schemas import HORIZON, RANGE_WINDOW, TARGET, VOL_WINDOWS, VOLUME_WINDOW
 
 
@@ -42,7 +42,7 @@ def rolling_vol_sumsq(c: Column, n: int, key="ticker", order: str = "date") -> C
     w = trailing(n, key, order)
     s = F.sum(c).over(w)
     var = (F.sum(c * c).over(w) - s * s / F.lit(float(n))) / F.lit(float(n - 1))
-    return full_window(F.sqrt(F.greatest(F.lit(0.0), var)), c, n, key, order)
+    return full_window(safe_sqrt(var), c, n, key, order)
 
 
 def rolling_vol(c: Column, n: int, key="ticker", order: str = "date") -> Column:

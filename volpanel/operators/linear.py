@@ -29,14 +29,15 @@ def gram(df: DataFrame, feats: list[str], y: str, by: list[str]) -> DataFrame:
     Sums are taken of features less their overall mean h{i} (a one-row aggregate, inlined), so that
     products of features far from zero keep their digits; every group carries the shifts."""
     p = len(feats)
-    df = with_row(df.select(*by, *feats, y), df.agg(*[F.avg(f).alias(f"_h{i}") for i, f in enumerate(feats)]))
+    shifts = df.agg(*[F.avg(f).alias(f"_h{i}") for i, f in enumerate(feats)])
+    df = with_row(df.select(*by, *feats, y), shifts)
     x = [F.col(f) - F.col(f"_h{i}") for i, f in enumerate(feats)]
     aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(y)).alias("sy")]
     aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
     aggs += [F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in _pairs(p)]
     aggs += [F.sum(x[i] * F.col(y)).alias(f"s{i}y") for i in range(p)]
-    aggs += [F.max(f"_h{i}").alias(f"h{i}") for i in range(p)]
-    return df.groupBy(*by).agg(*aggs)
+    # the shifts are the same in all groups: attached behind the aggregate, which stays narrow enough for generated code
+    return with_row(df.groupBy(*by).agg(*aggs), shifts.toDF(*[f"h{i}" for i in range(p)]))
 
 
 def stat_names(p: int) -> list[str]:
@@ -151,16 +152,6 @@ def predict(df: DataFrame, coefs: DataFrame, feats: list[str], on: list[str], ou
     return j.select(*df.columns, pred.alias(out))
 
 
-def coef_arrays(coefs: DataFrame, feats: list[str], keep: list[str]) -> DataFrame:
-    """Coefficient row → (features ARRAY<STRING>, coef ARRAY<DOUBLE>, intercept)."""
-    return coefs.select(
-        *keep,
-        F.array(*[F.lit(f) for f in feats]).alias("features"),
-        F.array(*[F.col(f"b{i}") for i in range(len(feats))]).alias("coef"),
-        "intercept",
-    )
-
-
 def score_with(df: DataFrame, model: DataFrame, feats: list[str], out: str = "pred") -> Column:
     """Positional dot product against a model row carrying ``coef`` / ``intercept`` arrays."""
     return dot(F.col("coef"), F.array(*[F.col(f) for f in feats]), F.col("intercept")).alias(out)

@@ -137,11 +137,6 @@ def fold_profile(folded: DataFrame, col: str = "date") -> DataFrame:
     )
 
 
-def walk_forward_pairs(folded: DataFrame, test_fold: int) -> tuple[DataFrame, DataFrame]:
-    """(train = fold < k, test = fold = k) for one test fold."""
-    return folded.where(F.col("fold") < test_fold), folded.where(F.col("fold") == test_fold)
-
-
 def label_set(fold: Column) -> Column:
     """fold 0 is in-sample (``train``); later folds are out-of-sample (``test``)."""
     return F.when(fold == 0, F.lit("train")).otherwise(F.lit("test"))

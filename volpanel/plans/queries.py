@@ -17,8 +17,8 @@ from volpanel.operators import metrics as metrics_mod
 from volpanel.operators import sketch as sk
 from volpanel.plans import evaluate, publish, serve
 from volpanel.schemas import FEATURE_SETS, TARGET, V1, V2
-from volpanel.session import reuse, write_once
-from volpanel.sources import files, panels
+from volpanel.session import reuse, write_once, write_path
+from volpanel.sources import files, panels, versions
 from volpanel.functions.rows import with_row
 
 # ret is left unrounded: it is one IEEE division in both engines (bit-identical), and a
@@ -521,7 +521,60 @@ def q_score_request_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("date", "ticker", "statusCode", "pred_daily_vol", "pred_annual_pct", "error")
 
 
+# ---- sources, sinks and versions ---------------------------------------------------------
+
+def _price_files(spark: SparkSession, sf_dir: str) -> str:
+    """Flag-day bars as CSV text files, with faults on some days of the month (7: text for a number, 11: no date, 13: a field
+    less, 17: no ticker, 19: an empty number, which is none)."""
+    day = F.dayofmonth("date")
+    value = {c: F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")}
+    fields = [
+        F.when(day == 11, F.lit("2024-99-01")).otherwise(F.col("date").cast("string")), F.when(day == 17, F.lit("")).otherwise(F.col("ticker")),
+        value["open"], value["high"], value["low"], F.when(day == 19, F.lit("")).otherwise(value["close"]), F.when(day == 7, F.lit("n/a")).otherwise(value["volume"])]
+    line = F.when(day == 13, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *[F.coalesce(f, F.lit("")) for f in fields]))
+    path = write_path(spark, "price-lines")
+    panels.flag_day(spark, sf_dir).select(line.alias("value")).write.text(path)
+    spark.createDataFrame([("Date,Ticker,Open,High,Low,Close,Volume",)], "value string").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+def q_price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of every line of those files: a bar, or rejected for a reason."""
+    bars, rejected = files.read_price_lines(spark, _price_files(spark, sf_dir))
+    bars = files.guarded(bars)
+    good = bars.select(F.lit("bar").alias("outcome"), F.col("volume"), F.col("close").isNull().cast("long").alias("no_close"))
+    bad = rejected.select(F.col("reason").alias("outcome"), F.lit(None).cast("double").alias("volume"), F.lit(0).cast("long").alias("no_close"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"), F.sum("volume").alias("volume"), F.sum("no_close").alias("no_close"))
+
+
+def q_features_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table published twice, first without its fill of features; readers see the second version."""
+    path = write_path(spark, "features-table")
+    panel = files.guarded(feat.add_features(panels.supplier_day(spark, sf_dir)))
+    versions.publish(feat.clean_v1(panel).where(F.col("vol_5") < 0), path, note="empty")
+    versions.publish(rounded(feat.clean_v1(panel), R6_V1), path, note="all")
+    number = versions.current(spark, path)["number"]
+    return versions.read(spark, path).withColumn("version", F.lit(number).cast("long"))
+
+
+def q_score_model_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests through a stream whose model is replaced half-way: a fixed model until the middle date, the final one from there."""
+    from volpanel.streaming.scoring import score_with_versions
+
+    features = feat.clean_v1(feat.add_features(panels.supplier_day(spark, sf_dir)))
+    req = write_once(features.select("date", F.to_json(F.struct("date", "ticker", *[F.col(f) for f in V1])).alias("request")), "requests")
+    middle = splits.cutoff_dates(req, [0.5])
+    dated = with_row(req, middle)
+    fixed = spark.createDataFrame([(0.1, 0.2, 0.3, 0.4, 0.001)], "b0 double, b1 double, b2 double, b3 double, intercept double")
+    out = score_with_versions([dated.where(F.col("date") < F.col("c0")), dated.where(F.col("date") >= F.col("c0"))], [serve.model_row(fixed, V1), final_model(spark, sf_dir)])
+    field = lambda c, kind: F.get_json_object("request", f"$.{c}").cast(kind).alias(c)
+    return out.select(field("date", "date"), field("ticker", "string"), "model_version", "statusCode", "pred_daily_vol")
+
+
 REGISTRY = {
+    "price_lines": q_price_lines,
+    "features_versions": q_features_versions,
+    "score_model_swap": q_score_model_swap,
     "quantile_sketch": q_quantile_sketch,
     "tick_cutoffs": q_tick_cutoffs,
     "tick_folds": q_tick_folds,

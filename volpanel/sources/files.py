@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from volpanel.functions.scalar import to_double
 from volpanel.schemas import PRICE_FIELDS, PRICES
 
 
@@ -35,30 +34,36 @@ def read_prices(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.lower() for c in df.columns])
+PRICE_LINE = "date string, ticker string, open string, high string, low string, close string, volume string, _broken string"
 
 
-def norm_date(c: Column) -> Column:
-    """Timestamp or text → DATE (midnight normalisation)."""
-    return F.to_date(c)
+def read_price_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(bars, rejected) of CSV text files with the columns of ``PRICES`` and a header line each.
 
+    Every line that is neither blank nor a header is a bar or is rejected, as (file, line, reason): ``fields`` (not one value per
+    column), ``date`` (no date), ``ticker`` (empty), or the name of the first field that holds text but no number.  An empty number is a NULL, no
+    fault.  One scan, two views of it; nothing is dropped silently."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    names = [f.name for f in PRICES.fields]
+    lines = lines.where((F.trim("line") != "") & (F.lower(F.regexp_replace("line", r"[\s\"]", "")) != ",".join(names)))
+    row = lines.select("*", F.from_csv("line", PRICE_LINE, {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"}).alias("r"))
+    value = {c: F.trim(F.col(f"r.{c}")) for c in names}
+    number = {c: to_double(value[c]) for c in PRICE_FIELDS}
+    reason = F.when(F.col("r._broken").isNotNull(), "fields").when(value["date"].try_cast("date").isNull(), "date")
+    reason = reason.when(F.coalesce(value["ticker"], F.lit("")) == "", "ticker")
+    for c in PRICE_FIELDS:
+        reason = reason.when((F.coalesce(value[c], F.lit("")) != "") & number[c].isNull(), c)
+    row = row.withColumn("reason", reason)
+    bars = row.where("reason is null").select(value["date"].try_cast("date").alias("date"), value["ticker"].alias("ticker"), *[number[c].alias(c) for c in PRICE_FIELDS])
+    return bars, row.where("reason is not null").select("file", "line", "reason")
 
-def fmt_date(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
 
-
-def padded_range(df: DataFrame, before: int = 40, after: int = 2, col: str = "date") -> tuple[dt.date, dt.date]:
-    """(min(date) − before days, max(date) + after days) from one scalar aggregate."""
-    row = df.agg(F.date_sub(F.min(col), before).alias("lo"), F.date_add(F.max(col), after).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        raise EmptySourceError("no rows to take a date range from")
-    return row["lo"], row["hi"]
+def lower_names(df: DataFrame) -> DataFrame:
+    return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_between(df: DataFrame, lo, hi, col: str = "date") -> DataFrame:
-    """Rows with lo ≤ date < hi; literal bounds are pushed down to the Parquet scan."""
-    return df.where((F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
+def fmt_date(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd")
 
 
 def lookback(df: DataFrame, as_of, months: int = 6, col: str = "date") -> DataFrame:
@@ -67,11 +72,6 @@ def lookback(df: DataFrame, as_of, months: int = 6, col: str = "date") -> DataFr
     return df.where((F.col(col) >= F.add_months(as_of_c, -months)) & (F.col(col) <= as_of_c))
 
 
-def lookback_days(df: DataFrame, as_of, days: int, col: str = "date") -> DataFrame:
-    as_of_c = F.lit(as_of) if not isinstance(as_of, Column) else as_of
-    return df.where((F.col(col) >= F.date_sub(as_of_c, days)) & (F.col(col) < as_of_c))
-
-
 def require_rows(df: DataFrame, msg: str) -> DataFrame:
     """Raise when the source came back empty (one probe row, not a count)."""
     if df.isEmpty():
@@ -87,19 +87,13 @@ def assert_unique(df: DataFrame, keys: tuple[str, ...] = ("ticker", "date")) ->
     return df
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def guarded(df: DataFrame, msg: str = "the source holds no bars", keys: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
+    """``df`` after both guards of a source: it has rows, and one row per key."""
+    return assert_unique(require_rows(df, msg), keys)
 
 
-def write_table(df: DataFrame, path_or_name: str, as_table: bool = False, partition_by: list[str] | None = None) -> None:
-    """Replace a table: Parquet files under a path, or a catalog table."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if as_table:
-        w.format("parquet").saveAsTable(path_or_name)
-    else:
-        w.parquet(path_or_name)
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def ordered(df: DataFrame, *keys: str, within_partitions: bool = False) -> DataFrame:

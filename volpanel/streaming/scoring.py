@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volpanel.plans.serve import score_requests
+from volpanel.session import write_path
+from volpanel.sources import versions
 
 
 def read_request_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -56,6 +58,42 @@ def start_scoring(
     return writer.start()
 
 
+def start_versioned_scoring(
+    spark: SparkSession, request_dir: str, model_table: str, out_dir: str, checkpoint_dir: str, max_files_per_trigger: int | None = None, available_now: bool = True
+):
+    """Start the stream with a model that may change while it runs.
+
+    ``model_table`` is a versioned table of one-row models (``sources.versions``).  Each micro-batch resolves the newest
+    published version when it starts and stamps its number on every response.  A batch's responses go to a
+    folder of their own that a repeated batch replaces, so a restart leaves no response twice; no model is fitted in the stream."""
+    def answer(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        version = versions.current(session, model_table)
+        if version is None:
+            raise FileNotFoundError(f"no published model under {model_table}")
+        model = versions.read(session, model_table, version["number"])
+        scored = score_requests(batch, model).withColumn("model_version", F.lit(version["number"]).cast("long"))
+        scored.write.mode("overwrite").parquet(f"{out_dir}/batch={number}")
+
+    writer = read_request_stream(spark, request_dir, max_files_per_trigger).writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
+def score_with_versions(requests: list[DataFrame], models: list[DataFrame], workdir: str | None = None) -> DataFrame:
+    """Responses of a stream that gets ``requests[k]`` (column ``request``) after ``models[k]`` was published."""
+    spark = models[0].sparkSession
+    base = f"{workdir.rstrip('/')}/swap" if workdir else write_path(spark, "swap")
+    for part, model in zip(requests, models):
+        versions.publish(model, f"{base}/model")
+        part.select("request").write.mode("append").text(f"{base}/requests")
+        q = start_versioned_scoring(spark, f"{base}/requests", f"{base}/model", f"{base}/responses", f"{base}/checkpoint")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"scoring stream failed: {q.exception()}")
+    return spark.read.parquet(f"{base}/responses")
+
+
 def score_through_stream(requests: DataFrame, model: DataFrame, workdir: str | None = None) -> DataFrame:
     """Run request lines through the streaming query and return the sink's contents.
 
