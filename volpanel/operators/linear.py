@@ -28,16 +28,26 @@ def gram(df: DataFrame, feats: list[str], y: str, by: list[str]) -> DataFrame:
 
     Sums are taken of features less their overall mean h{i} (a one-row aggregate, inlined), so that
     products of features far from zero keep their digits; every group carries the shifts."""
-    p = len(feats)
     shifts = df.agg(*[F.avg(f).alias(f"_h{i}") for i, f in enumerate(feats)])
     df = with_row(df.select(*by, *feats, y), shifts)
-    x = [F.col(f) - F.col(f"_h{i}") for i, f in enumerate(feats)]
+    out = df.groupBy(*by).agg(*sums_of(feats, [F.col(f"_h{i}") for i in range(len(feats))], y))
+    # the shifts are the same in all groups: attached behind the aggregate, which stays narrow enough for generated code
+    return with_row(out, shifts.toDF(*[f"h{i}" for i in range(len(feats))]))
+
+
+def shifted_gram(df: DataFrame, feats: list[str], y: str, by: list[str], shifts: list[float]) -> DataFrame:
+    """``gram`` with shifts that are given: statistics of separate tables then add up."""
+    out = df.groupBy(*by).agg(*sums_of(feats, [F.lit(float(h)) for h in shifts], y))
+    return out.select("*", *[F.lit(float(h)).alias(f"h{i}") for i, h in enumerate(shifts)])
+
+
+def sums_of(feats: list[str], shifts: list[Column], y: str) -> list[Column]:
+    p = len(feats)
+    x = [F.col(f) - h for f, h in zip(feats, shifts)]
     aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(y)).alias("sy")]
     aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
     aggs += [F.sum(x[i] * x[j]).alias(f"s{i}_{j}") for i, j in _pairs(p)]
-    aggs += [F.sum(x[i] * F.col(y)).alias(f"s{i}y") for i in range(p)]
-    # the shifts are the same in all groups: attached behind the aggregate, which stays narrow enough for generated code
-    return with_row(df.groupBy(*by).agg(*aggs), shifts.toDF(*[f"h{i}" for i in range(p)]))
+    return aggs + [F.sum(x[i] * F.col(y)).alias(f"s{i}y") for i in range(p)]
 
 
 def stat_names(p: int) -> list[str]:

@@ -257,3 +257,13 @@ def linear_segment(segmented: DataFrame, upto: int, feats: list[str]) -> DataFra
     """Segment ``upto`` with ``pred`` of a linear model fitted on the segments before it."""
     coefs = linear.fit(segmented.where(F.col("fold") < upto), feats, TARGET)
     return linear.predict(segmented.where(F.col("fold") == upto).withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
+
+
+def fit_predict_any(train: DataFrame, test: DataFrame, feats: list[str], model: str) -> DataFrame:
+    """``test`` with ``pred`` from one model fitted on ``train`` (linear via sufficient statistics, trees by Spark ML)."""
+    from volpanel.operators import trees
+
+    if model == "Linear":
+        coefs = linear.fit(train, feats, TARGET)
+        return linear.predict(test.withColumn("_all", F.lit(0)), coefs, feats, ["_all"])
+    return trees.fit_predict(train, test, feats, trees.MODELS[model]())

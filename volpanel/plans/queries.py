@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volpanel.operators import features as feat
-from volpanel.operators import garch, linear, market, splits
+from volpanel.operators import garch, increments, linear, market, splits
 from volpanel.operators import metrics as metrics_mod
 from volpanel.operators import sketch as sk
 from volpanel.plans import evaluate, publish, serve
@@ -571,7 +571,21 @@ def q_score_model_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(field("date", "date"), field("ticker", "string"), "model_version", "statusCode", "pred_daily_vol")
 
 
+def q_refit_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linear model as of each quarter's last day, from a table of day statistics that was built in three deliveries."""
+    clean = write_once(clean_panel(spark, sf_dir), "clean")
+    path = write_path(spark, "day-statistics")
+    cut = with_row(clean, splits.cutoff_dates(clean, [0.4, 0.7]))
+    increments.start(cut.where("date < c0"), V1, TARGET, path)
+    increments.add_days(spark, path, cut.where("date >= c0 and date < c1"), V1, TARGET)
+    increments.add_days(spark, path, cut.where("date >= c1"), V1, TARGET)
+    stats = versions.read(spark, path)
+    ends = stats.groupBy(F.year("date").alias("y"), F.quarter("date").alias("q")).agg(F.max("date").alias("date"))
+    return rounded(increments.refit_each(stats, len(V1), ends), [f"b{i}" for i in range(len(V1))] + ["intercept"])
+
+
 REGISTRY = {
+    "refit_by_quarter": q_refit_by_quarter,
     "price_lines": q_price_lines,
     "features_versions": q_features_versions,
     "score_model_swap": q_score_model_swap,
