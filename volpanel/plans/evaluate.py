@@ -219,6 +219,22 @@ def choose_model(board: DataFrame) -> DataFrame:
     )
 
 
+def ship_chosen(clean: DataFrame, feats: list[str] = V1, test_frac: float = 0.20, log_target: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(choice, model): the single-split benchmark's choice and that model, fitted on its training rows, as the one row that
+    request scoring takes: linear coefficients, or the forest as node arrays."""
+    from volpanel.functions.scalar import to_log
+    from volpanel.operators import portable, trees
+    from volpanel.plans.serve import model_row
+
+    choice = choose_model(benchmark_split(clean, feats, test_frac, log_target))
+    shipped = choice.first()["shipped"]
+    train = _split_frames(clean, [1.0 - test_frac]).where(F.col("date") < F.col("c0")).drop("c0")
+    if shipped == "Random forest":
+        return choice, portable.from_spark_ml(trees.fit_model(train, feats, trees.forest(200, 6), log_target), feats, log_target)
+    y = "_ly" if log_target else TARGET
+    return choice, model_row(linear.fit(train.withColumn("_ly", to_log(F.col(TARGET))), feats, y), feats, log_space=log_target)
+
+
 def select_on_validation(df: DataFrame, sets: dict[str, list[str]], models: list[str], qs=(0.60, 0.80)) -> DataFrame:
     """60/20/20: choose on validation, refit on train and validation, score the test set once.
 

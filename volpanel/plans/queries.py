@@ -584,7 +584,23 @@ def q_refit_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(increments.refit_each(stats, len(V1), ends), [f"b{i}" for i in range(len(V1))] + ["intercept"])
 
 
+def q_portable_forest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest shipped as node arrays: the test rows' answers to JSON requests against the fitted model's own predictions."""
+    from volpanel.operators import portable, trees
+
+    clean = write_once(clean_panel(spark, sf_dir), "clean")
+    j = with_row(clean, splits.cutoff_dates(clean, [0.8]))
+    test = j.where("date >= c0").drop("c0")
+    model = trees.fit_model(j.where("date < c0"), V1, trees.forest(30, 6))
+    answers = serve.score_requests(serve.requests_from_features(test, V1), portable.from_spark_ml(model, V1))
+    own = model.transform(trees.assemble(test, V1)).select("date", "ticker", F.round("pred", 6).alias("own"))
+    both = answers.join(own, ["date", "ticker"])
+    off = (F.col("statusCode") != 200) | (F.abs(F.col("pred_daily_vol") - F.col("own")) > 1.5e-6) | F.col("pred_daily_vol").isNull()
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(off).alias("differing"))
+
+
 REGISTRY = {
+    "portable_forest_check": q_portable_forest_check,
     "refit_by_quarter": q_refit_by_quarter,
     "price_lines": q_price_lines,
     "features_versions": q_features_versions,

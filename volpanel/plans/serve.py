@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from volpanel.functions.scalar import annualise, dot, to_double
+from volpanel.operators.portable import TREE, tree_score
 from volpanel.schemas import HORIZON, LINEAR_MODEL
 from volpanel.functions.rows import with_row
 
@@ -43,6 +44,14 @@ def export_linear(model: DataFrame, path: str) -> None:
     model.coalesce(1).write.mode("overwrite").json(path)
 
 
+TREE_MODEL = f"features array<string>, intercept double, depth int, kind string, log_space boolean, trees array<{TREE}>"
+
+
+def read_trees(spark, path: str) -> DataFrame:
+    """Read a portable tree model written by ``export_linear``."""
+    return spark.read.schema(TREE_MODEL).json(path)
+
+
 def read_linear(spark, path: str) -> DataFrame:
     """Read the portable model with its explicit schema (no inference)."""
     return spark.read.schema(LINEAR_MODEL).json(path)
@@ -91,10 +100,13 @@ def _py_list(names: Column) -> Column:
 
 
 def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "request") -> DataFrame:
-    """Adds statusCode, pred_daily_vol, pred_annual_pct, error, body (JSON) to each request row."""
+    """Adds statusCode, pred_daily_vol, pred_annual_pct, error, body (JSON) to each request row.
+
+    ``model`` is one row: a linear model, or trees as node arrays (``operators.portable``)."""
+    trees = "trees" in model.columns
     m = model.select(
         F.col("features").alias("_mf"),
-        F.col("coef").alias("_mc"),
+        (F.struct("trees", "depth") if trees else F.col("coef")).alias("_mc"),
         F.col("intercept").alias("_mi"),
         F.coalesce(F.col("log_space"), F.lit(False)).alias("_ml"),
     )
@@ -103,7 +115,10 @@ def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "re
     xs = F.transform(F.col("_mf"), lambda f: to_double(F.col("_f")[f]))
     j = j.withColumn("_miss", missing).withColumn("_x", xs)
     bad = F.col("_f").isNull() | F.exists(F.col("_x"), lambda x: x.isNull())
-    raw = dot(F.col("_mc"), F.col("_x"), F.col("_mi"))
+    if trees:
+        raw = F.when(~bad, tree_score(F.col("_mc.trees"), F.col("_x"), F.col("_mi"), F.col("_mc.depth")))
+    else:
+        raw = dot(F.col("_mc"), F.col("_x"), F.col("_mi"))
     daily = F.when(F.col("_ml"), F.exp(raw)).otherwise(raw)
     status = (
         F.when(F.col("_f").isNull(), F.lit(400))
