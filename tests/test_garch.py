@@ -47,3 +47,35 @@ def test_free_fit_at_least_as_likely_as_grid(spark):
     assert r["alpha"] + r["beta"] < 1 and r["omega"] > 0
     assert r["loglik"] >= g["loglik"] - 1e-6
     assert r["garch_vol"] > 0
+
+
+def test_likelihood_in_pieces_equals_the_fold(spark):
+    """A hot key in many pieces and partitions, short keys, and keys without a likelihood."""
+    import datetime as dt
+    import random
+
+    import pytest
+
+    r = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(seconds=i), r.gauss(0, 0.02) * (3 if i % 500 < 100 else 1)) for i in range(4000)]
+    rows += [(f"k{k}", t0 + dt.timedelta(seconds=i), r.gauss(0, 0.01) if i else None) for k in range(6) for i in range(3 + 9 * k)]
+    rows += [("one", t0, 0.1), ("flat", t0, 0.0), ("flat", t0 + dt.timedelta(1), 0.0)]
+    df = spark.createDataFrame(rows, "ticker string, date timestamp, ret double")
+    series = {}
+    for k, d, x in rows:
+        if x is not None:
+            series.setdefault(k, []).append((d, x * 100))
+    for pieces, parts in ((37, 9), (100_000, 1)):
+        got = {x.ticker: x for x in garch.loglik_in_pieces(df, 0.08, 0.9, n_parts=parts, rows_per_piece=pieces).collect()}
+        assert set(got) == {"hot", *[f"k{k}" for k in range(6)]}
+        for k, x in got.items():
+            xs = [v for _, v in sorted(series[k])]
+            vbar = sum(v * v for v in xs) / len(xs)
+            s2, ll = vbar, 0.0
+            for v in xs:
+                ll -= 0.5 * (garch.LN_2PI + math.log(s2) + v * v / s2)
+                s2 = vbar * (1 - 0.08 - 0.9) + 0.08 * v * v + 0.9 * s2
+            assert (x.n, x.vbar, x.s2, x.loglik) == pytest.approx((len(xs), vbar, s2, ll), rel=1e-9)
+    with pytest.raises(ValueError):
+        garch.loglik_in_pieces(df, 0.5, 0.6)

@@ -23,10 +23,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from volpanel.session import cpu_partitions
+from volpanel.session import cpu_partitions, write_once
 
 LN_2PI = math.log(2.0 * math.pi)
 
@@ -101,6 +101,43 @@ def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float
     )
 
 
+# ---- long series: the recursion as an associative scan over pieces -------------------
+
+def loglik_in_pieces(
+    df: DataFrame, alpha: float, beta: float, ret: str = "ret", key: str = "ticker", order: str = "date", scale: float = 100.0, n_parts: int | None = None, rows_per_piece: int = 50_000
+) -> DataFrame:
+    """(key, n, vbar, s2 after the last return, loglik) under variance targeting, for keys of any length.
+
+    The variance recursion is an affine map, s2 -> omega + alpha * r**2 + beta * s2, and affine maps compose: a piece of
+    consecutive returns is (add, mul) with s2_out = add + mul * s2_in.  Rows are range-partitioned by (key, order) and cut into pieces of
+    at most ``rows_per_piece``; a scan over the few pieces of a key gives each piece the variance that it starts with, and
+    the pieces' likelihoods are summed.  No array and no task holds a whole key.  Equal to the fold over the whole series up to
+    the rounding of the sums."""
+    if not (alpha >= 0 and beta >= 0 and alpha + beta < 1):
+        raise ValueError("alpha and beta must be a stationary pair")
+    n = n_parts or cpu_partitions(df)
+    r = df.where(F.col(ret).isNotNull()).select(key, order, (F.col(ret) * F.lit(scale)).alias("_r"))
+    r = r.repartitionByRange(n, key, order).sortWithinPartitions(key, order, "_r")
+    # range bounds are sampled: the numbered rows are written once for all readers
+    r = write_once(r.select(key, "_r", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "returns")
+    # a piece is a stretch of one partition's numbers, so pieces of a key follow each other by their number
+    piece = F.floor(F.col("_at") / F.lit(rows_per_piece))
+    part = r.groupBy(key, piece.alias("_piece")).agg(F.array_sort(F.collect_list(F.struct("_at", "_r"))).alias("_s"))
+    part = write_once(part.select(key, "_piece", F.transform("_s", lambda s: s["_r"]).alias("_x")), "pieces")
+    squares = F.aggregate("_x", F.lit(0.0), lambda acc, x: acc + x * x)
+    size = part.groupBy(key).agg(F.sum(F.size("_x")).cast("long").alias("n"), F.sum(squares).alias("_sq")).where((F.col("n") >= 2) & (F.col("_sq") > 0))
+    size = size.select(F.col(key).alias("_key"), "n", (F.col("_sq") / F.col("n")).alias("vbar"))
+    part = part.join(size, F.col(key) == F.col("_key")).withColumn("_omega", F.col("vbar") * F.lit(1.0 - alpha - beta))
+    add = F.aggregate("_x", F.lit(0.0), lambda acc, x: F.col("_omega") + F.lit(alpha) * x * x + F.lit(beta) * acc)
+    maps = part.select(key, "_piece", F.struct(add.alias("add"), F.pow(F.lit(float(beta)), F.size("_x")).alias("mul")).alias("_map"), "vbar")
+    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.aggregate(F.collect_list("_map").over(before), F.col("vbar"), lambda s2, m: m["add"] + m["mul"] * s2)
+    starts = maps.select(F.col(key).alias("_k"), F.col("_piece").alias("_p"), start.alias("_s2"))
+    run = part.join(starts, (F.col(key) == F.col("_k")) & (F.col("_piece") == F.col("_p")))
+    run = run.select(key, "_piece", "n", "vbar", loglik(F.col("_x"), F.col("_omega"), F.lit(float(alpha)), F.lit(float(beta)), F.col("_s2")).alias("_res"))
+    return run.groupBy(key).agg(F.max("n").alias("n"), F.max("vbar").alias("vbar"), F.max_by("_res", "_piece")["s2"].alias("s2"), F.sum("_res.ll").alias("loglik"))
+
+
 # ---- free-ω refinement per ticker (NumPy inside mapInPandas) -----------------------
 
 EDGE = 0.9999  # largest α + β

@@ -599,7 +599,15 @@ def q_portable_forest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(off).alias("differing"))
 
 
+def q_tick_garch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GARCH(1,1) likelihood of every user's tick returns, in pieces of 20 returns (most users span several)."""
+    ticks = feat.add_features_blocked(panels.user_ticks(spark, sf_dir))
+    got = garch.loglik_in_pieces(ticks, 0.1, 0.85, rows_per_piece=20)
+    return got.select("ticker", "n", F.round(F.ln("vbar"), 6).alias("ln_vbar"), F.round(F.ln("s2"), 6).alias("ln_s2"), F.round("loglik", 6).alias("loglik"))
+
+
 REGISTRY = {
+    "tick_garch": q_tick_garch,
     "portable_forest_check": q_portable_forest_check,
     "refit_by_quarter": q_refit_by_quarter,
     "price_lines": q_price_lines,
