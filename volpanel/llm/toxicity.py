@@ -334,7 +334,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = rows.select("id", "toxic", "fold", "words", "n").mapInArrow(count, f"id {kind}, toxic int, fold int, task int, at array<int>, n array<long>")
-    got = counted.groupBy("task").applyInArrow(one, "model string, p array<double>, y array<double>").collect()
+    # a given number of partitions stays as it is, so the fits run side by side
+    got = counted.repartition(8 * len(features), "task").groupBy("task").applyInArrow(one, "model string, p array<double>, y array<double>").collect()
     models = next(json.loads(r["model"]) for r in got if r["model"] is not None)
     oof, y = (np.concatenate([r[k] for r in got if r["model"] is None]) for k in ("p", "y"))
     return as_model(features[-1], models, oof, y)
