@@ -606,7 +606,22 @@ def q_tick_garch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("ticker", "n", F.round(F.ln("vbar"), 6).alias("ln_vbar"), F.round(F.ln("s2"), 6).alias("ln_s2"), F.round("loglik", 6).alias("loglik"))
 
 
+def q_split_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundle metadata of the 60/20/20 split: what train and validation hold, and both boundary dates."""
+    from volpanel.sources.models import split_meta
+
+    clean = write_once(clean_panel(spark, sf_dir), "clean")
+    return split_meta(clean, splits.cutoff_dates(clean, [0.60, 0.80]))
+
+
+def q_ticker_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ticker with its bars' number and dates."""
+    return panels.supplier_day(spark, sf_dir).groupBy("ticker").agg(F.count(F.lit(1)).alias("bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
 REGISTRY = {
+    "split_meta": q_split_meta,
+    "ticker_list": q_ticker_list,
     "tick_garch": q_tick_garch,
     "portable_forest_check": q_portable_forest_check,
     "refit_by_quarter": q_refit_by_quarter,

@@ -13,11 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from volpanel.functions.rows import with_row
 from volpanel.schemas import LINEAR_MODEL, TARGET, V1
 
 META_NOTE = "Forecast: standard deviation of the next five daily returns."
 
 
+def split_meta(df: DataFrame, cutoffs: DataFrame, target: str = TARGET, note: str = META_NOTE) -> DataFrame:
+    """``model_meta`` of the rows before the last cutoff, with the cutoffs (``c0``, ``c1``, ... of ``splits.cutoff_dates``) as
+    ``boundary_0``, ``boundary_1``, ...: what a model chosen on a chronological split was trained on."""
+    names = [c for c in cutoffs.columns if c.startswith("c")]
+    train = with_row(df, cutoffs).where(F.col("date") < F.col(names[-1])).drop(*names)
+    meta = model_meta(train, target, note).withColumn("trained_on", F.lit("rows before the last boundary"))
+    return with_row(meta, cutoffs.select(*[F.date_format(c, "yyyy-MM-dd").alias(f"boundary_{i}") for i, c in enumerate(names)]))
+
+
 def model_meta(df: DataFrame, target: str = TARGET, note: str = META_NOTE) -> DataFrame:
     """One-row training metadata: rows, tickers, first and last date (one aggregate)."""
     return df.agg(
