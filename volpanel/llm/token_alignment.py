@@ -84,7 +84,7 @@ class Aligner:
         plain = [k for k, u in enumerate(units) if not (u[:1].isspace() or u[-1:].isspace() or not u)]
         texts = [" " + " ".join([units[k] for k in plain[lo : lo + 1000]]) for lo in range(0, len(plain), 1000)]
         got = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter((i for ids in got for i in ids), np.int64)
+        flat = np.fromiter(chain.from_iterable(got), np.int64)
         lengths = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
         if len(plain) == len(units):
             return flat, lengths
@@ -101,7 +101,7 @@ class Aligner:
         a, length = self.ids_a(units)
         of_b = self.b.encode(units, num_threads=1)
         n_b = np.fromiter(map(len, of_b), np.int64, len(of_b))
-        b = np.fromiter((i for ids in of_b for i in ids), np.int64, int(n_b.sum()))
+        b = np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum()))
         # A spells every text; where B does not, the unit is left out
         sums = np.concatenate([[0], np.cumsum(self.length_b[b])])
         stops = np.concatenate([[0], np.cumsum(n_b)])
@@ -110,12 +110,14 @@ class Aligner:
         if spelled != b"".join([b" " + u.encode() for u, g in zip(units, good.tolist()) if g]):
             good &= np.array([b"".join([self.bytes_b[i] for i in ids]) == b" " + u.encode() for u, ids in zip(units, of_b)])
         unit_a = np.searchsorted(np.cumsum(length), np.cumsum(self.length_a[a]))
-        a, unit_a, b = a[good[unit_a]], unit_a[good[unit_a]], b[np.repeat(good, n_b)]
+        if not good.all():
+            a, unit_a, b = a[good[unit_a]], unit_a[good[unit_a]], b[np.repeat(good, n_b)]
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         # every stretch between neighbouring token ends is the overlap of one token of A and one of B
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs
+        ends = ends[np.append(True, ends[1:] != ends[:-1])[: len(ends)]]
         i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        both = np.intersect1d(end_a, end_b, assume_unique=True)
+        both = end_a[end_b[np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)] == end_a] if len(end_b) else end_a
         last_a, last_b = np.searchsorted(end_a, both) + 1, np.searchsorted(end_b, both) + 1
         names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         groups, lo_a, lo_b = [], 0, 0
@@ -164,7 +166,7 @@ class Block:
         split = [CUT.split(t) if t else [] for t in texts]
         new = set(chain.from_iterable(split)).difference(self.at)
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         self.bytes += sum(map(len, filter(None, texts)))
         none = np.zeros(0, np.int64)
         out = []
