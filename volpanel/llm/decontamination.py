@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from volpanel.llm.common import shared_path, worker_rows
+from volpanel.llm.common import release_memory, shared_path, worker_rows
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -219,5 +219,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             keep = np.ones(b.num_rows, bool)
             keep[[g[0] for g in search(b.column(at).to_pylist())]] = False
             yield b.filter(pa.array(keep))
+        del search
+        release_memory()
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from volpanel.llm import mphf
-from volpanel.llm.common import shared_path, stored, with_order_key, worker_rows
+from volpanel.llm.common import release_memory, shared_path, stored, with_order_key, worker_rows
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -222,5 +222,7 @@ def dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS)
             if i_n is not None:
                 columns[i_n] = pa.array([old if a is None or a is t else len(a) for a, t, old in zip(got, texts, b.column(i_n).to_pylist())], b.schema.field(i_n).type)
             yield pa.RecordBatch.from_arrays(columns[:i_doc], schema=pa.schema(list(b.schema)[:i_doc]))
+        del probe
+        release_memory()
 
     return docs.mapInArrow(run, T.StructType(fields))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volpanel.llm.common import stored
+from volpanel.llm.common import release_memory, stored
 
 LENGTH = 2048
 END_ID = 0
@@ -57,7 +57,7 @@ class Encoder:
     other texts are encoded by the whole tokenizer, once each.
     """
 
-    MOST = 250_000  # words held at once
+    MOST = 200_000  # words held at once
 
     def __init__(self, path: str):
         import os
@@ -65,11 +65,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        # texts that spell one of these are left to the whole tokenizer
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.tokenizer = Tokenizer.from_file(path)  # for words of other texts
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # texts that spell one of these are encoded whole, with the tokenizer's default
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.clear()
 
@@ -118,8 +117,10 @@ class Encoder:
         named = [k for k, t in enumerate(texts) if t and any(s in t for s in self.special)]
         if named:
             out = self([None if k in set(named) else t for k, t in enumerate(texts)])
+            self.tokenizer.encode_special_tokens = False
             for k in named:
-                out[k] = np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+                out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+            self.tokenizer.encode_special_tokens = True
             return out
         split = [t.encode().lower().split() if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
         words = list(chain.from_iterable(split))
@@ -175,6 +176,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH)
                     yield pa.RecordBatch.from_pydict({"doc_id": pa.array(out["doc_id"], b.schema.field(0).type), "row_id": pa.array(out["row_id"], pa.int64()), "piece": pa.array(out["piece"], pa.int32())} | {k: pa.array(out[k], pa.int64()) for k in ("start", "length", "ids_crc32")})
         finally:
             gc.enable()
+        del encoder
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"), "text")

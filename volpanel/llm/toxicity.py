@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from volpanel.llm.common import shuffle_parts, stored
+from volpanel.llm.common import release_memory, shuffle_parts, stored
 
 SAMPLE_ROWS = 8_000  # bound of the labelled sample
 FOLDS = 5
@@ -224,7 +224,7 @@ def fit_rows(ids: list, texts: list, toxic: list) -> dict:
 
 
 SAMPLE = "id {kind}, toxic int, fold int, words array<binary>, n array<int>"
-FLUSH = 300_000  # features that a counting task holds at once
+FLUSH = 150_000  # features that a counting task holds at once
 
 
 def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
@@ -266,6 +266,8 @@ def holders(rows: DataFrame, only: set | None = None) -> DataFrame:
                     yield out()
                     held.clear()
         yield out()
+        held.clear()
+        release_memory()
 
     return rows.select("words", "fold").mapInArrow(run, "feature binary, fold int, n long").groupBy("feature", "fold").agg(F.sum("n").cast("long").alias("n"))
 
@@ -326,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
         for row, at, n in zip(x, t.column("at").to_pylist(), t.column("n").to_pylist()):
             row[at] = n
         x = np.log1p(x)
+        release_memory()
         if task < 0:
             models, _ = fit_chain(x, chain_labels(x, y), fold)
             return pa.table({"model": pa.array([json.dumps([m.tolist() for m in models])]), "p": pa.array([None], pa.list_(pa.float64())), "y": pa.array([None], pa.list_(pa.float64()))})
@@ -334,8 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = rows.select("id", "toxic", "fold", "words", "n").mapInArrow(count, f"id {kind}, toxic int, fold int, task int, at array<int>, n array<long>")
-    # a given number of partitions stays as it is, so the fits run side by side
-    got = counted.repartition(8 * len(features), "task").groupBy("task").applyInArrow(one, "model string, p array<double>, y array<double>").collect()
+    got = counted.groupBy("task").applyInArrow(one, "model string, p array<double>, y array<double>").collect()
     models = next(json.loads(r["model"]) for r in got if r["model"] is not None)
     oof, y = (np.concatenate([r[k] for r in got if r["model"] is None]) for k in ("p", "y"))
     return as_model(features[-1], models, oof, y)
@@ -346,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> d
 class Scorer:
     """Scores texts with a fitted model; features of a word are looked up once while the cache holds it."""
 
-    MOST_BYTES = 32_000_000
+    MOST_BYTES = 24_000_000
 
     def __init__(self, model: dict):
         self.at = {bytes.fromhex(f): i for i, f in enumerate(model["features"])}
@@ -383,6 +385,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             p = scorer.scores(b.column(1).to_pylist())
             out = {"doc_id": b.column(0)} | {f"p_{c}": p[:, k] for k, c in enumerate(CATEGORIES)}
             yield pa.RecordBatch.from_pydict(out | {"is_toxic": pa.array(p[:, -1] > scorer.cut)})
+        del scorer
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"p_{c} double" for c in CATEGORIES) + ", is_toxic boolean")
@@ -398,5 +402,7 @@ def keep_clean(docs: DataFrame, model: dict) -> DataFrame:
         for b in batches:
             p = scorer.scores(b.column(at).to_pylist())
             yield b.filter(pa.array(p[:, -1] <= scorer.cut))
+        del scorer
+        release_memory()
 
     return docs.mapInArrow(run, schema)
