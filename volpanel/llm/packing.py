@@ -57,7 +57,7 @@ class Encoder:
     other texts are encoded by the whole tokenizer, once each.
     """
 
-    MOST = 200_000  # words held at once
+    MOST = 450_000  # words held at once
 
     def __init__(self, path: str):
         import os
