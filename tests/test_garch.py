@@ -79,3 +79,14 @@ def test_likelihood_in_pieces_equals_the_fold(spark):
             assert (x.n, x.vbar, x.s2, x.loglik) == pytest.approx((len(xs), vbar, s2, ll), rel=1e-9)
     with pytest.raises(ValueError):
         garch.loglik_in_pieces(df, 0.5, 0.6)
+
+
+def test_free_fit_of_a_series_does_not_depend_on_its_batch():
+    """Series used to be searched until the slowest of their batch was done."""
+    import numpy as np
+
+    r = np.random.default_rng(0)
+    series = [r.normal(size=int(k)) * (1 + (np.arange(int(k)) // 40) % 3) for k in r.integers(60, 90, 12)]
+    together = garch.fit_batch(series, 5)
+    assert together == [garch.fit_batch([s], 5)[0] for s in series]
+    assert together == garch.fit_batch(series[::-1], 5)[::-1]

@@ -4,9 +4,8 @@ Model: rₜ = σₜ·εₜ, σ²ₜ₊₁ = ω + α·r²ₜ + β·σ²ₜ, on pe
 training rows.  Two forms:
 
 * ``garch_grid`` – variance targeting (ω = v̄·(1 − α − β), v̄ = mean r², σ²₁ = v̄) and
-  the Gaussian log-likelihood evaluated on a fixed (α, β) grid.  The recursion is a
-  fold (``aggregate``) over the ticker's ordered return array, the grid a
-  ``transform`` over a literal array: pure built-in expressions, checkable in SQL.
+  the Gaussian log-likelihood evaluated on a fixed (α, β) grid, all tickers of a few and all
+  candidates as one vector recursion (NumPy inside ``mapInArrow``); checkable in SQL.
 * ``garch_fit`` – the same likelihood maximised per ticker with ω free: a coarse grid over the
   whole region α, β ≥ 0, α + β < 1, then a pattern search that re-centres while it improves and
   halves its steps when it does not, until they are negligible (``converged``).  All tickers of a
@@ -23,6 +22,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,27 +78,24 @@ def garch_grid(train: DataFrame, horizon: int = 5, grid: list[tuple[float, float
     arr = return_arrays(train.select("ticker", "date", "ret")).where((F.col("n") >= 2) & (F.col("vbar") > 0))
     # one row per ticker, small in bytes but CPU-heavy: spread round-robin over the cluster
     arr = arr.repartition(cpu_partitions(train))
-    g = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in grid])
-
-    def score(p):
-        omega = F.col("vbar") * (F.lit(1.0) - p["a"] - p["b"])
-        # the recursion's result stays one field: reading its parts here would run it once for each
-        return F.struct(p["a"].alias("a"), p["b"].alias("b"), omega.alias("omega"), loglik(F.col("r"), omega, p["a"], p["b"], F.col("vbar")).alias("res"))
-
-    scored = arr.select("ticker", "vbar", F.transform(g, score).alias("cand"))
-    first = F.element_at(F.col("cand"), 1)
-    best = F.aggregate(F.col("cand"), first, lambda acc, x: F.when(x["res"]["ll"] > acc["res"]["ll"], x).otherwise(acc))
-    b = scored.select("ticker", "vbar", best.alias("best"))
-    phi = F.col("best.a") + F.col("best.b")
-    var = mean_forecast(F.col("vbar"), F.col("best.res.s2"), phi, horizon)
-    return b.select(
-        "ticker",
-        F.col("best.a").alias("alpha"),
-        F.col("best.b").alias("beta"),
-        F.col("best.omega").alias("omega"),
-        F.col("best.res.ll").alias("loglik"),
-        (F.sqrt(var) / F.lit(100.0)).alias("garch_vol"),
-    )
+    a, b = (np.array(v) for v in zip(*grid))
+
+    def best_of(batches):
+        for batch in batches:
+            names, vbar = batch.column(0), batch.column(2).to_numpy()
+            if not len(vbar):
+                continue
+            r2, n = squares([np.asarray(r) for r in split_lists(batch.column(1))])
+            omega = vbar[:, None] * (1.0 - a - b)[None, :]
+            ll, s2 = _recursion(r2, n, omega, np.repeat(a[None, :], len(n), axis=0), np.repeat(b[None, :], len(n), axis=0), vbar)
+            rows, i = np.arange(len(n)), np.argmax(ll, axis=1)  # the first of equals
+            cols = {"alpha": a[i], "beta": b[i], "omega": omega[rows, i], "loglik": ll[rows, i], "_s2": s2[rows, i], "_vbar": vbar}
+            yield pa.RecordBatch.from_arrays([names, *map(pa.array, cols.values())], ["ticker", *cols])
+
+    schema = f"ticker {arr.schema['ticker'].dataType.simpleString()}, alpha double, beta double, omega double, loglik double, _s2 double, _vbar double"
+    found = arr.select("ticker", "r", "vbar").mapInArrow(best_of, schema)
+    var = mean_forecast(F.col("_vbar"), F.col("_s2"), F.col("alpha") + F.col("beta"), horizon)
+    return found.select("ticker", "alpha", "beta", "omega", "loglik", (F.sqrt(var) / F.lit(100.0)).alias("garch_vol"))
 
 
 # ---- long series: the recursion as an associative scan over pieces -------------------
@@ -146,55 +143,100 @@ LEAST_STEP = 1e-4
 LEAST_GAIN = 1e-4  # log-likelihood units
 
 
-def _recursion(r2: np.ndarray, n: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, vbar: np.ndarray):
-    """Log-likelihood and next variance for tickers × candidates.
+TICKERS = 64  # tickers of one vector recursion: its arrays stay in a core's cache
+BATCH = 1024  # tickers fitted together
 
-    r2: tickers × time (zero-padded behind n), omega/alpha/beta: tickers × candidates."""
-    s2 = np.repeat(vbar[:, None], omega.shape[1], axis=1)
-    ll = np.zeros(omega.shape)
-    for t in range(r2.shape[1]):
-        live = (t < n)[:, None]
-        x2 = r2[:, t][:, None]
-        ll -= np.where(live, 0.5 * (LN_2PI + np.log(s2) + x2 / s2), 0.0)
-        s2 = np.where(live, np.maximum(omega + alpha * x2 + beta * s2, 1e-300), s2)
-    return np.where(np.isfinite(ll), ll, -np.inf), s2
 
+def split_lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The values of each list."""
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), ends[:-1])
 
-def fit_batch(series: list[np.ndarray], horizon: int) -> list[tuple]:
-    """Per series of percent returns: (omega, alpha, beta, loglik, volatility, converged)."""
+
+def squares(series: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(r² as tickers × time, zero-padded; lengths) of series of percent returns."""
     n = np.array([len(r) for r in series])
     r2 = np.zeros((len(series), int(n.max())))
     for k, r in enumerate(series):
         r2[k, : len(r)] = r * r
-    vbar = r2.sum(axis=1) / n
-    rows = np.arange(len(series))
+    return r2, n
+
+
+def _recursion(r2: np.ndarray, n: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, vbar: np.ndarray):
+    """Log-likelihood and next variance for tickers × candidates.
+
+    r2: tickers × time (zero-padded behind n), omega/alpha/beta: tickers × candidates.  Tickers of like length run
+    together, candidates × tickers, in place; a ticker leaves when its series ends."""
+    ll, s2 = np.empty(omega.shape), np.empty(omega.shape)
+    order = np.argsort(-n, kind="stable")
+    for lo in range(0, len(order), TICKERS):
+        own = order[lo : lo + TICKERS]
+        ll[own], s2[own] = _run(r2[own, : n[own[0]]].T.copy(), n[own], omega[own].T.copy(), alpha[own].T.copy(), beta[own].T.copy(), vbar[own])
+    return np.where(np.isfinite(ll), ll, -np.inf), s2
+
+
+def _run(x2: np.ndarray, n: np.ndarray, omega: np.ndarray, alpha: np.ndarray, beta: np.ndarray, vbar: np.ndarray):
+    """``_recursion`` of a few tickers, longest first; x2: time × tickers, the others candidates × tickers."""
+    live = len(n) - np.searchsorted(n[::-1], np.arange(len(x2)), side="right")  # tickers with a return at each time
+    s2_all, ll_all = np.empty(omega.shape), np.empty(omega.shape)
+    w, a, b, s2, ll = omega, alpha, beta, np.repeat(vbar[None, :], len(omega), axis=0), np.zeros(omega.shape)
+    term, part = np.empty(omega.shape), np.empty(omega.shape)
+    for t, k in enumerate(live):
+        if k < w.shape[1]:
+            s2_all[:, k : w.shape[1]], ll_all[:, k : w.shape[1]] = s2[:, k:], ll[:, k:]
+            # whole arrays again: a logarithm's last bit may depend on how its argument lies in memory
+            w, a, b, s2, ll, term, part = (v[:, :k].copy() for v in (w, a, b, s2, ll, term, part))
+        x = x2[t, :k]
+        np.log(s2, out=term)
+        term += LN_2PI
+        np.divide(x, s2, out=part)
+        term += part
+        term *= 0.5
+        ll -= term
+        np.multiply(a, x, out=part)
+        part += w
+        s2 *= b
+        s2 += part
+        np.maximum(s2, 1e-300, out=s2)
+    s2_all[:, : w.shape[1]], ll_all[:, : w.shape[1]] = s2, ll
+    return ll_all.T, s2_all.T
+
+
+def fit_batch(series: list[np.ndarray], horizon: int) -> list[tuple]:
+    """Per series of percent returns: (omega, alpha, beta, loglik, volatility, converged).
+
+    A series leaves the search when its own steps are negligible, so its fit does not depend on the others."""
+    r2, n = squares(series)
+    vbar = np.array([r2[k, :m].sum() / m for k, m in enumerate(n)])  # over its own returns: a sum's rounding depends on its length
 
-    def evaluate(a, b, m):
+    def evaluate(own, a, b, m):
         """Candidates (tickers × K): α, β and the unconditional variance as a multiple of v̄."""
         ok = (a >= 0) & (b >= 0) & (a + b <= EDGE) & (m > 0)
         a, b, m = np.where(ok, a, 0.0), np.where(ok, b, 0.0), np.where(ok, m, 1.0)
-        w = m * vbar[:, None] * (1.0 - a - b)
-        ll, s2 = _recursion(r2, n, w, a, b, vbar)
+        w = m * vbar[own][:, None] * (1.0 - a - b)
+        ll, s2 = _recursion(r2[own], n[own], w, a, b, vbar[own])
         ll = np.where(ok, ll, -np.inf)
-        i = np.argmax(ll, axis=1)
-        return a[rows, i], b[rows, i], m[rows, i], w[rows, i], ll[rows, i], s2[rows, i]
+        rows, i = np.arange(len(own)), np.argmax(ll, axis=1)
+        return np.stack([v[rows, i] for v in (a, b, m, w, ll, s2)])
 
     grid = np.array([(a, b, m) for a in (0.01, 0.05, 0.1, 0.2, 0.35, 0.6, 0.85) for b in (0.0, 0.2, 0.4, 0.6, 0.75, 0.85, 0.92, 0.97) for m in (0.6, 1.0, 1.6) if a + b < 0.99]).T
-    best = evaluate(*(np.repeat(g[None, :], len(series), axis=0) for g in grid))
+    best = evaluate(np.arange(len(series)), *(np.repeat(g[None, :], len(series), axis=0) for g in grid))
     # steps in α, β and log m; every combination of -1, 0, 1 steps is tried at once
     move = np.array([(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)], float)
     step = np.full(len(series), 1.0)
     size = np.array([0.08, 0.1, 0.35])
     for _ in range(ROUNDS):
-        if (step * size[1] < LEAST_STEP).all():
+        open_ = np.flatnonzero(step * size[1] >= LEAST_STEP)
+        if not len(open_):
             break
-        d = move[None, :, :] * (step[:, None, None] * size)
-        a = np.maximum(best[0][:, None] + d[:, :, 0], 0.0)
-        b = np.clip(best[1][:, None] + d[:, :, 1], 0.0, np.maximum(EDGE - a, 0.0))
-        new = evaluate(a, b, best[2][:, None] * np.exp(d[:, :, 2]))
-        better = new[4] > best[4] + LEAST_GAIN
-        best = tuple(np.where(better, x, y) for x, y in zip(new, best))
-        step = np.where(better, step, step / 2)
+        now = best[:, open_]
+        d = move[None, :, :] * (step[open_, None, None] * size)
+        a = np.maximum(now[0][:, None] + d[:, :, 0], 0.0)
+        b = np.clip(now[1][:, None] + d[:, :, 1], 0.0, np.maximum(EDGE - a, 0.0))
+        new = evaluate(open_, a, b, now[2][:, None] * np.exp(d[:, :, 2]))
+        better = new[4] > now[4] + LEAST_GAIN
+        best[:, open_] = np.where(better, new, now)
+        step[open_] = np.where(better, step[open_], step[open_] / 2)
     done = step * size[1] < LEAST_STEP
     alpha, beta, _, omega, ll, s2 = best
     f, total = s2, np.zeros(len(series))
@@ -224,8 +266,8 @@ def garch_fit(train: DataFrame, horizon: int = 5) -> DataFrame:
             series = {t: np.asarray(r, dtype=float) * 100.0 for t, r in zip(pdf["ticker"], pdf["r"])}
             good = [t for t, r in series.items() if len(r) >= 2 and (r * r).mean() > 0]
             got = {}
-            for lo in range(0, len(good), 64):
-                own = good[lo : lo + 64]
+            for lo in range(0, len(good), BATCH):
+                own = good[lo : lo + BATCH]
                 got |= dict(zip(own, fit_batch([series[t] for t in own], horizon)))
             out = [(t, *got[t], "fitted") if t in got else (t, None, None, None, None, None, None, "short" if len(r) < 2 else "constant") for t, r in series.items()]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FIT_SCHEMA.split(", ")])
