@@ -129,3 +129,12 @@ def test_other_horizon_uses_its_own_window(spark):
     for t in range(len(f7) - 7):
         assert f7[t]["target_vol_fwd"] == v7[t + 7]["vol_7"]
     assert "vol_7" not in f7[0]
+
+
+def test_every_window_sum_is_evaluated_once(spark):
+    """The volatility formula names its window sums several times; each used to be evaluated for every naming."""
+    import re
+
+    f = feat.add_features(prices_df(spark, [(0, "A", 1.0)]))
+    plan = f._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\b(?:sum|count)\([^()]*\) windowspecdefinition", plan)) == 9  # count, sum, sum of squares of three windows

@@ -20,3 +20,9 @@ def test_scan_prunes_columns_and_keeps_all_rows(spark):
     assert "GreaterThan(l_quantity" not in plan  # no row of the source is filtered away
     for unused in ("l_discount", "l_tax", "l_returnflag", "l_linestatus"):
         assert unused not in plan
+
+
+@pytest.mark.parametrize("name", ["final_model", "split_two_best", "split_two_metrics", "split_log_metrics", "garch_grid", "garch_forecast", "garch_split_coverage", "market_misses", "forecast_ranked"])
+def test_panel_is_built_once(spark, name):
+    """The result reads stored rows: the panel used to be built again for every part that reads it."""
+    assert not any("lineitem" in f for f in q.REGISTRY[name](spark, SF001).inputFiles())
