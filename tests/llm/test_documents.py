@@ -396,3 +396,23 @@ def test_out_of_fold_predictions_are_not_own(spark):
     x, y = r.normal(size=(200, 150)), (r.random((200, 1)) < 0.5).astype(float)
     _, oof = toxicity.fit_chain(x, y, np.arange(200) % 5)
     assert abs(np.corrcoef(oof[:, 0], y[:, 0])[0, 1]) < 0.25
+
+
+def test_line_dedup_tasks_give_memory_back(monkeypatch):
+    """Workers live on beside the next stage's: the report's and the hashing tasks used to keep what they had freed."""
+    import pyarrow as pa
+
+    from volpanel.llm import line_dedup
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return lambda batch: list(run(iter([batch])))
+
+    calls = []
+    monkeypatch.setattr(line_dedup, "release_memory", lambda: calls.append(1))
+    run = line_dedup.line_hashes(Docs(), 3)
+    rows = run(pa.RecordBatch.from_pydict({line_dedup.KEY: pa.array([1, 2]), "text": pa.array(["a long line\nb", "a long line"])}))
+    assert sum(b.num_rows for b in rows) == 2 and calls == [1]

@@ -67,6 +67,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
             if who:
                 a = np.array(h, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"h1": a[:, 0].copy(), "h2": a[:, 1].copy(), "doc_id": pa.array(who, pa.int64())})
+        release_memory()
 
     return docs.select(KEY, "text").mapInArrow(run, "h1 long, h2 long, doc_id long")
 
@@ -198,6 +199,9 @@ def dedup_report(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
                 "n_lines": pa.array([g[1] for g in got], pa.int64()), "n_dropped": pa.array([g[2] for g in got], pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(g[0]).hexdigest() for g in got], pa.string()),
             })
+            del got
+        del probe
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
