@@ -416,3 +416,14 @@ def test_line_dedup_tasks_give_memory_back(monkeypatch):
     run = line_dedup.line_hashes(Docs(), 3)
     rows = run(pa.RecordBatch.from_pydict({line_dedup.KEY: pa.array([1, 2]), "text": pa.array(["a long line\nb", "a long line"])}))
     assert sum(b.num_rows for b in rows) == 2 and calls == [1]
+
+
+def test_encoder_learns_pieces_not_words():
+    """A word and its marks used to be learned anew for every mark behind it."""
+    from volpanel.llm.packing import Encoder, default_tokenizer
+
+    encoder = Encoder(default_tokenizer())
+    texts = ["Sea, sea. sea; SEA! it's sea's ''s 42", "sea it's"]
+    got = [a.tolist() for a in encoder(texts)]
+    assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(encoder.words) == {b"sea", b",", b".", b";", b"!", b"it", b"'s", b"''", b"s", b"4", b"2"}

@@ -52,9 +52,9 @@ class Encoder:
     """Token ids of texts, piece by piece.
 
     The tokenizer drops white space and never joins characters across it, and cuts words into runs of
-    letters, single digits and runs of other characters before it merges.  An ASCII text is lower-cased and cut by that
-    rule here, so each distinct piece of a task is merged once, by the tokenizer's own merge model; words of
-    other texts are encoded by the whole tokenizer, once each.
+    letters, single digits and runs of other characters before it merges.  An ASCII text is lower-cased and cut into
+    pieces by that rule here, and each distinct piece of a task is merged once, by the tokenizer's own merge model (a word is not
+    looked up as a whole: most differ by their marks only); words of other texts are cut once each.
     """
 
     MOST = 450_000  # words held at once
@@ -82,6 +82,11 @@ class Encoder:
         merge, memo = self.model.tokenize, self.memo
         out, hard = [], {}
         for w in words:
+            if PLAIN.fullmatch(w):  # a piece of its own, as most words are
+                if w not in memo:
+                    memo[w] = tuple([t.id for t in merge(w.decode())])
+                out.append((w,))
+                continue
             m = SIMPLE.fullmatch(w)
             if m is None:
                 pieces = self.parts(w)
@@ -122,7 +127,7 @@ class Encoder:
                 out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, np.uint32)
             self.tokenizer.encode_special_tokens = True
             return out
-        split = [t.encode().lower().split() if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
+        split = [PIECE.findall(t.encode().lower()) if t.isascii() else t.encode().split() for t in (x or "" for x in texts)]
         words = list(chain.from_iterable(split))
         at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0).tolist()
@@ -132,7 +137,7 @@ class Encoder:
                 self.clear()
                 unknown, new = set(words), range(len(words))
             self.learn(unknown)
-            at[new] = np.fromiter((self.words[words[i]] for i in new), np.int64, len(new))
+            at[new] = np.fromiter(map(self.words.__getitem__, map(words.__getitem__, new)), np.int64, len(new))
         n = self.sizes[at]
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)]
