@@ -40,7 +40,7 @@ def portable_row(trees: DataFrame, feats: list[str], intercept: float, depth: in
         F.lit(log_space).alias("log_space"), F.transform("_t", lambda t: t.dropFields("tree")).cast(f"array<{TREE}>").alias("trees"))
 
 
-def from_grid(grid, trees: DataFrame, fit: int, upto: int, depth: int | None = None) -> DataFrame:
+def from_grid(grid, trees: DataFrame, fit: int, upto: int, depth: int | None = None, log_space: bool = False) -> DataFrame:
     """The portable row of one fit of ``hist_trees.fit_grid`` (forests: walked to ``depth``, if less than fitted)."""
     from volpanel.operators.hist_trees import Forest
 
@@ -56,7 +56,14 @@ def from_grid(grid, trees: DataFrame, fit: int, upto: int, depth: int | None = N
         F.transform(inner, lambda i: F.get(F.get(edges, F.get("feature", i)), F.get("bin", i))).alias("threshold"),
         F.transform(inner, lambda i: 2 * i + 1).alias("left"), F.transform(inner, lambda i: 2 * i + 2).alias("right"), "value",
         F.lit(1.0 / spec.trees if forest else 1.0).alias("weight"))
-    return portable_row(rows, [grid.feats[i] for i in at], 0.0 if forest else grid.mean[upto], depth, "forest" if forest else "boosted")
+    return portable_row(rows, [grid.feats[i] for i in at], 0.0 if forest else grid.mean[upto], depth, "forest" if forest else "boosted", log_space)
+
+
+def from_model(model, feats: list[str], log_space: bool = False) -> DataFrame:
+    """The portable row of what ``trees.fit_model`` returns."""
+    from volpanel.operators.hist_trees import FittedForest
+
+    return from_grid(model.grid, model.trees, 0, 1, log_space=log_space) if isinstance(model, FittedForest) else from_spark_ml(model, feats, log_space)
 
 
 def from_spark_ml(model, feats: list[str], log_space: bool = False) -> DataFrame:
