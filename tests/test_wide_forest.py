@@ -66,3 +66,11 @@ def test_walks_reach_the_same_node_on_every_path(monkeypatch):
         assert (tree.walk(x, 6) == node).all() and (tree.place(6)[at] == node).all()
         made.append(tree)
     assert (made[0].feature == made[1].feature).all() and (made[0].value == made[1].value).all()
+
+
+def test_selection_stores_its_panel_once(spark, panel, monkeypatch):
+    """The panel was built for the cutoffs and again for the rows."""
+    stored = []
+    monkeypatch.setattr(evaluate, "write_once", lambda df, name="table": stored.append(name) or write_once(df, name))
+    got = evaluate.select_on_validation(panel, {"v1": V1}, ["Linear"]).collect()
+    assert stored == ["panel", "validation"] and len(got) == 4
