@@ -74,3 +74,12 @@ def test_selection_stores_its_panel_once(spark, panel, monkeypatch):
     monkeypatch.setattr(evaluate, "write_once", lambda df, name="table": stored.append(name) or write_once(df, name))
     got = evaluate.select_on_validation(panel, {"v1": V1}, ["Linear"]).collect()
     assert stored == ["panel", "validation"] and len(got) == 4
+
+
+def test_the_trees_are_walked_once_per_request(spark, panel):
+    """They were walked once for every output that reads the answer, and copied into the rows on the way."""
+    from volpanel.plans import serve
+
+    row = write_once(portable.from_model(trees.fit_model(panel, V1, trees.wide_forest(3, 2)), V1), "model")
+    out = serve.score_requests(serve.requests_from_features(panel, V1), row)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("sequence(1") == 1

@@ -16,19 +16,27 @@ from volpanel.session import write_path
 TREE = "struct<feature:array<int>,threshold:array<double>,left:array<int>,right:array<int>,value:array<double>,weight:double>"
 
 
+def nodes_of(trees: Column) -> Column:
+    """The trees as (weight, nodes), made once per model: a step of a walk fetches one node; a leaf leads to itself."""
+    def nodes(t: Column) -> Column:
+        def node(f: Column, i: Column) -> Column:
+            leaf = f < 0
+            return F.struct(F.when(leaf, 0).otherwise(f).alias("f"), F.get(t["threshold"], i).alias("c"), F.when(leaf, i).otherwise(F.get(t["left"], i)).alias("l"),
+                            F.when(leaf, i).otherwise(F.get(t["right"], i)).alias("r"), F.get(t["value"], i).alias("v"))
+
+        return F.struct(t["weight"].alias("weight"), F.transform(t["feature"], node).alias("nodes"))
+
+    return F.transform(trees, nodes)
+
+
 def tree_score(trees: Column, x: Column, intercept: Column, depth: int | Column) -> Column:
-    """Prediction for the feature array ``x``; no tree is deeper than ``depth`` (one at least)."""
-    levels = depth if isinstance(depth, Column) else F.lit(depth)
+    """Prediction of ``nodes_of`` trees for the feature array ``x``; no tree is deeper than ``depth`` (one at least)."""
+    levels = F.sequence(F.lit(1), depth if isinstance(depth, Column) else F.lit(depth))
 
     def leaf(t: Column) -> Column:
-        def down(node: Column, _: Column) -> Column:
-            f = F.get(t["feature"], node)
-            side = F.when(F.get(x, f) <= F.get(t["threshold"], node), F.get(t["left"], node)).otherwise(F.get(t["right"], node))
-            return F.when(f >= 0, side).otherwise(node)
-
-        return F.aggregate(F.sequence(F.lit(1), levels), F.lit(0), down)
+        return F.aggregate(levels, F.get(t["nodes"], F.lit(0)), lambda n, _: F.get(t["nodes"], F.when(F.get(x, n["f"]) <= n["c"], n["l"]).otherwise(n["r"])))
 
-    return F.aggregate(trees, intercept.cast("double"), lambda total, t: total + t["weight"] * F.get(t["value"], leaf(t)))
+    return F.aggregate(trees, intercept.cast("double"), lambda total, t: total + t["weight"] * leaf(t)["v"])
 
 
 def portable_row(trees: DataFrame, feats: list[str], intercept: float, depth: int, kind: str, log_space: bool = False) -> DataFrame:
@@ -89,6 +97,7 @@ def predict(df: DataFrame, model: DataFrame, feats: list[str], depth: int, out:
     """``df`` with the prediction of a portable row."""
     from volpanel.functions.rows import with_row
 
-    m = model.select(F.struct("trees", "intercept", F.coalesce("log_space", F.lit(False)).alias("log_space")).alias("_model"))
-    raw = tree_score(F.col("_model.trees"), F.array(*[F.col(f).cast("double") for f in feats]), F.col("_model.intercept"), depth)
-    return with_row(df, m).withColumn(out, F.when(F.col("_model.log_space"), F.exp(raw)).otherwise(raw)).drop("_model")
+    m = model.select(F.struct("intercept", F.coalesce("log_space", F.lit(False)).alias("log_space")).alias("_model"))
+    raw = tree_score(F.col("_nodes"), F.array(*[F.col(f).cast("double") for f in feats]), F.col("_model.intercept"), depth)
+    j = with_row(with_row(df, m), model.select(nodes_of(F.col("trees")).alias("_nodes"))).withColumn("_raw", raw).drop("_nodes")
+    return j.withColumn(out, F.when(F.col("_model.log_space"), F.exp("_raw")).otherwise(F.col("_raw"))).drop("_model", "_raw")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from volpanel.functions.scalar import annualise, dot, to_double
-from volpanel.operators.portable import TREE, tree_score
+from volpanel.operators.portable import TREE, nodes_of, tree_score
 from volpanel.schemas import HORIZON, LINEAR_MODEL
 from volpanel.functions.rows import with_row
 
@@ -106,7 +106,7 @@ def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "re
     trees = "trees" in model.columns
     m = model.select(
         F.col("features").alias("_mf"),
-        (F.struct("trees", "depth") if trees else F.col("coef")).alias("_mc"),
+        F.col("depth" if trees else "coef").alias("_mc"),
         F.col("intercept").alias("_mi"),
         F.coalesce(F.col("log_space"), F.lit(False)).alias("_ml"),
     )
@@ -116,7 +116,9 @@ def score_requests(requests: DataFrame, model: DataFrame, request_col: str = "re
     j = j.withColumn("_miss", missing).withColumn("_x", xs)
     bad = F.col("_f").isNull() | F.exists(F.col("_x"), lambda x: x.isNull())
     if trees:
-        raw = F.when(~bad, tree_score(F.col("_mc.trees"), F.col("_x"), F.col("_mi"), F.col("_mc.depth")))
+        # the trees are named once, next to their subquery: as a column of the steps before they would be copied into every row
+        j = with_row(j, model.select(nodes_of(F.col("trees")).alias("_nodes"))).withColumn("_raw", F.when(~bad, tree_score(F.col("_nodes"), F.col("_x"), F.col("_mi"), F.col("_mc")))).drop("_nodes")
+        raw = F.col("_raw")
     else:
         raw = dot(F.col("_mc"), F.col("_x"), F.col("_mi"))
     daily = F.when(F.col("_ml"), F.exp(raw)).otherwise(raw)
