@@ -52,11 +52,61 @@ def rolling_mean(c: Column, n: int, key="ticker", order: str = "date") -> Column
     return full_window(F.avg(c).over(trailing(n, key, order)), c, n, key, order)
 
 
+def add_from_blocks(df: DataFrame, asked: dict[str, tuple[str, str, int]], key="ticker", order: str = "date") -> DataFrame:
+    """Adds ``name: (kind, column, n)``: the ``mean``, the ``std`` (ddof 1) or the ``sumsq`` std of the trailing n rows, full
+    windows only.
+
+    A sliding frame is summed anew for every row, so a frame of 30 rows costs six times one of 5.  Here only the shortest
+    frame slides; a window of k times its rows is put together from k adjacent ones, read by ``lag`` (a missing one is NULL:
+    not a full window).  Nothing is ever subtracted from a running sum, so an outlier or NaN stays in its own windows:
+    sums are added, and deviations are merged around the mean of the block means.  Other lengths slide on their own.
+    """
+    names, shortest = df.columns, min(n for _, _, n in asked.values())
+    stats = {
+        "n": F.count, "s": F.sum, "q": lambda c: F.sum(c * c), "a": F.avg, "v": F.var_samp,
+    }
+    reads = {"mean": "ns", "std": "nav", "sumsq": "nsq"}
+    slid, lagged, formulas = {}, {}, []
+    for name, (kind, c, n) in asked.items():
+        rows = shortest if n % shortest == 0 and (shortest > 1 or kind != "std") else n
+        k = n // rows
+        for st in reads[kind]:
+            at = f"_{st}{rows}_{c}"
+            slid[at] = stats[st](F.col(c)).over(trailing(rows, key, order))
+            for j in range(1, k):
+                lagged[f"{at}_{j}"] = F.lag(at, j * rows).over(by_ticker(key, order))
+
+        def parts(st):
+            return [F.col(f"_{st}{rows}_{c}" + (f"_{j}" if j else "")) for j in range(k)]
+
+        def total(cols):
+            return sum(cols[1:], cols[0])
+
+        n_full = total(parts("n"))
+        if kind == "mean":
+            out = F.when(n_full == n, total(parts("s")) / F.lit(float(n)))
+        elif kind == "sumsq":
+            out = rolling_vol_sumsq(n_full, total(parts("s")), total(parts("q")), n)
+        elif k == 1:
+            out = F.when(n_full == n, F.sqrt(F.col(f"_v{rows}_{c}")))
+        else:
+            mean = total(parts("a")) / F.lit(float(k))
+            around = total([(a - mean) * (a - mean) for a in parts("a")])
+            var = (total(parts("v")) * F.lit(float(rows - 1)) + around * F.lit(float(rows))) / F.lit(float(n - 1))
+            out = F.when(n_full == n, F.sqrt(var))
+        formulas.append(out.alias(name))
+    df = df.select("*", *[e.alias(a) for a, e in slid.items()])
+    if lagged:
+        df = df.select("*", *[e.alias(a) for a, e in lagged.items()])
+    return df.select(*names, *formulas)
+
+
 def add_vols(df: DataFrame, method: str = "sumsq", windows=VOL_WINDOWS, key="ticker", order: str = "date") -> DataFrame:
     """Adds ``vol_n`` of ``ret``.  The window sums become columns before the formula reads them: it names each of them several
     times, and a window is evaluated once for every time it is named."""
     if method != "sumsq":
-        return df.select("*", *[rolling_vol(F.col("ret"), n, key, order).alias(f"vol_{n}") for n in windows])
+        kind = "sumsq" if method == "blocks" else "std"
+        return add_from_blocks(df, {f"vol_{n}": (kind, "ret", n) for n in windows}, key, order)
     c, names = F.col("ret"), df.columns
     sums = []
     for n in windows:
@@ -74,7 +124,8 @@ def add_features(prices: DataFrame, method: str = "sumsq", horizon: int = HORIZO
     """``features``: date, ticker, close, ret, vol_5, vol_10, vol_30, target_vol_fwd.
 
     One row per input row (warm-up and tail rows keep NULLs).  ``method`` picks the
-    variance form: ``sumsq`` (window sums) or ``std`` (``stddev_samp``).  With
+    variance form: ``sumsq`` (window sums), ``blocks`` (the same sums, put together from
+    those of the shortest window: for large panels) or ``std`` (deviations from the mean).  With
     ``target_end`` a column ``target_end`` holds the date of the last bar the target
     looks at (``lead(date, h)``), used to purge training rows whose target overlaps a
     test period.
@@ -118,19 +169,12 @@ def add_features_v2(prices: DataFrame, horizon: int = HORIZON, clean: bool = Tru
     Rows with a NULL/NaN in any output column are dropped (unless ``clean=False``).  ``keep`` names price columns to carry along.
     """
     df = add_return(prices.select("date", "ticker", "close", "high", "low", "volume"))
+    df = df.select("*", range_hl(df).alias("range_hl"), parkinson_term().alias("_park"), F.col("volume").cast("double").alias("_volume"))
+    asked = {f"vol_{n}": ("std", "ret", n) for n in sorted(set(VOL_WINDOWS) | {horizon})}
+    asked |= {"range_5": ("mean", "range_hl", RANGE_WINDOW), "_park_5": ("mean", "_park", RANGE_WINDOW), "_volume_20": ("mean", "_volume", VOLUME_WINDOW)}
+    df = add_from_blocks(df, asked)
     df = df.select(
-        "*",
-        *[rolling_vol(F.col("ret"), n).alias(f"vol_{n}") for n in sorted(set(VOL_WINDOWS) | {horizon})],
-        range_hl(df).alias("range_hl"),
-        parkinson_term().alias("_park"),
-    )
-    df = df.select(
-        "*",
-        rolling_mean(F.col("range_hl"), RANGE_WINDOW).alias("range_5"),
-        F.sqrt(rolling_mean(F.col("_park"), RANGE_WINDOW)).alias("parkinson_5"),
-        ratio(F.col("volume").cast("double"), rolling_mean(F.col("volume").cast("double"), VOLUME_WINDOW)).alias(
-            "vol_ratio"
-        ),
+        "*", F.sqrt("_park_5").alias("parkinson_5"), ratio(F.col("_volume"), F.col("_volume_20")).alias("vol_ratio")
     )
     df = add_target(df, horizon)
     cols = [
