@@ -59,3 +59,8 @@ def test_windows_of_blocks_equal_sliding_ones(spark, kind, lengths):
             u, v = x[f"w{n}"], y[f"w{n}"]
             assert (u is None) == (v is None), (x["ticker"], x["date"], n)
             assert u is None or u == pytest.approx(v, rel=1e-9, abs=1e-8, nan_ok=True)
+
+
+def test_market_reads_the_panel_dates_from_one_small_table(spark):
+    """The bounds, the test for missing dates and the calendar each used to pass over the whole panel."""
+    assert any("/dates-" in f for f in q.v3_panel(spark, SF001).inputFiles())
