@@ -64,3 +64,9 @@ def test_windows_of_blocks_equal_sliding_ones(spark, kind, lengths):
 def test_market_reads_the_panel_dates_from_one_small_table(spark):
     """The bounds, the test for missing dates and the calendar each used to pass over the whole panel."""
     assert any("/dates-" in f for f in q.v3_panel(spark, SF001).inputFiles())
+
+
+def test_board_keeps_only_what_it_reads(spark):
+    folded = q.board_panel(spark, SF001)
+    assert "fold" in folded.columns and not {"ticker", "close"} & set(folded.columns)
+    assert folded.count() == q.v3_panel(spark, SF001).count()
